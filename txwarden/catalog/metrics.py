@@ -127,15 +127,25 @@ def threshold_for_precision(spark, folder) -> DataFrame:
     return curves.precision_threshold(curves.precision_recall_points(sales(spark, folder), "score"))
 
 
-@query("A23", SALES + _curve("sales") + """
-SELECT TRUE AS reached, threshold, (2 * ("precision" * recall)) / ("precision" + recall) AS f1 FROM points
-WHERE "precision" >= 0.4 ORDER BY recall DESC, threshold LIMIT 1""")
+def _searched(target: str) -> str:
+    return f"""
+, valid AS (SELECT TRUE AS reached, threshold, (2 * ("precision" * recall)) / ("precision" + recall) AS f1 FROM points
+            WHERE "precision" >= {target} ORDER BY recall DESC, threshold LIMIT 1),
+anywhere AS (SELECT FALSE AS reached, threshold, {F1_EPS} AS f1 FROM points ORDER BY {F1_EPS} DESC, threshold LIMIT 1)
+SELECT * FROM valid UNION ALL SELECT * FROM anywhere WHERE NOT EXISTS (SELECT * FROM valid)"""
+
+
+@query("A23", SALES + _curve("sales") + _searched("0.4"))
 def search_score(spark, folder) -> DataFrame:
     return curves.search_objective(curves.precision_recall_points(sales(spark, folder), "score"))
 
 
-@query("A23", TX + _curve("tx") + f"""
-SELECT FALSE AS reached, threshold, {F1_EPS} AS f1 FROM points ORDER BY {F1_EPS} DESC, threshold LIMIT 1""")
+@query("A23", SALES + _curve("sales") + _searched("0.33"))
+def search_score_low_target(spark, folder) -> DataFrame:
+    return curves.search_objective(curves.precision_recall_points(sales(spark, folder), "score"), target=0.33)
+
+
+@query("A23", TX + _curve("tx") + _searched("0.99"))
 def search_score_unreached(spark, folder) -> DataFrame:
     return curves.search_objective(curves.precision_recall_points(transactions(spark, folder), "score"), target=0.99)
 

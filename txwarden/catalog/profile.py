@@ -115,7 +115,7 @@ ends AS (SELECT c, min(v) AS lo, max(v) AS hi FROM long GROUP BY c),
 edges AS (SELECT c, CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 50) AS low,
                  CASE WHEN i = 49 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 50) END AS high FROM ends, range(50) r(i))
 SELECT e.c AS "column", e.bin, round(e.low, 6) AS low, round(e.high, 6) AS high,
-       CAST(count_if(y = 0) AS BIGINT) AS negatives, CAST(count_if(y = 1) AS BIGINT) AS positives
+       CAST(coalesce(count_if(y = 0), 0) AS BIGINT) AS negatives, CAST(coalesce(count_if(y = 1), 0) AS BIGINT) AS positives
 FROM edges e LEFT JOIN long l ON l.c = e.c AND l.v >= e.low AND (l.v < e.high OR (e.bin = 49 AND l.v <= e.high))
 GROUP BY ALL""")
 def class_histograms(spark, folder) -> DataFrame:
@@ -138,11 +138,12 @@ def amount_boxes(spark, folder) -> DataFrame:
     return out.withColumns({c: F.round(c, 4) for c in ("q1", "med", "q3", "whisker_low", "whisker_high")})
 
 
-HASH = "CAST(('0x' || substr(md5('42|' || event_id), 1, 13)) AS BIGINT)"
+def _hash(purpose: str) -> str:
+    return f"CAST(('0x' || substr(md5('{purpose}|42|' || event_id), 1, 13)) AS BIGINT)"
 
 
 @query("U3", TX + f"""
-SELECT event_id, "Class", {HASH} < 900719925474099 AS held_out FROM tx""")
+SELECT event_id, "Class", {_hash("split")} < 900719925474099 AS held_out FROM tx""")
 def split_by_hash(spark, folder) -> DataFrame:
     rows = transactions(spark, folder).select("event_id", "Class")
     train, test = stratified_split(rows, ["event_id"])
@@ -154,7 +155,7 @@ def split_by_hash(spark, folder) -> DataFrame:
 quota AS (SELECT "Class", n, total - ceil(0.2 * total) AS train_total, (total - ceil(0.2 * total)) * n / total AS q FROM n),
 dealt AS (SELECT *, floor(q) + CASE WHEN row_number() OVER (ORDER BY floor(q) - q, "Class")
                  <= train_total - sum(floor(q)) OVER () THEN 1 ELSE 0 END AS n_train FROM quota)
-SELECT event_id, t."Class", row_number() OVER (PARTITION BY t."Class" ORDER BY {HASH}) <= n - n_train AS held_out
+SELECT event_id, t."Class", row_number() OVER (PARTITION BY t."Class" ORDER BY {_hash("split")}) <= n - n_train AS held_out
 FROM tx t JOIN dealt USING ("Class")""")
 def split_exact(spark, folder) -> DataFrame:
     rows = transactions(spark, folder).select("event_id", "Class")
@@ -162,7 +163,7 @@ def split_exact(spark, folder) -> DataFrame:
     return train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
 
 
-@query("U4", TX + f'SELECT event_id, "Amount" FROM tx ORDER BY {HASH}, event_id LIMIT 500')
+@query("U4", TX + f'SELECT event_id, "Amount" FROM tx ORDER BY {_hash("sample")}, event_id LIMIT 500')
 def seeded_sample(spark, folder) -> DataFrame:
     return sample_rows(transactions(spark, folder).select("event_id", "Amount"), 500, ["event_id"])
 

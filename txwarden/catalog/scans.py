@@ -62,8 +62,8 @@ MESSAGE_SCHEMA = T.StructType(
 
 
 @query("P1", TX + """
-SELECT CAST(event_id AS VARCHAR) AS transaction_id, "Amount", CAST(epoch_ms(ts) AS VARCHAR) AS "timestamp",
-       make_timestamp(epoch_ms(ts) * 1000) AS event_time
+SELECT CAST(event_id AS VARCHAR) AS transaction_id, "Amount", CAST(epoch_us(ts) // 1000 AS VARCHAR) AS "timestamp",
+       make_timestamp(epoch_us(ts) // 1000 * 1000) AS event_time
 FROM tx WHERE event_type <> 'signup'""")
 def decoded_events(spark, folder) -> DataFrame:
     good = readable(decode(_messages(spark, folder), MESSAGE_SCHEMA))
@@ -71,7 +71,7 @@ def decoded_events(spark, folder) -> DataFrame:
 
 
 @query("P1", TX + """
-SELECT '{"Amount":' || CAST("Amount" AS VARCHAR) || ',"transaction_id":"' || event_id || '","timestamp":' || epoch_ms(ts)
+SELECT '{"Amount":' || CAST("Amount" AS VARCHAR) || ',"transaction_id":"' || event_id || '","timestamp":' || CAST(epoch_us(ts) // 1000 AS VARCHAR)
        || ',"Class":' || "Class" || ',"producer_id":"kafka_producer_v1"' AS value
 FROM tx WHERE event_type = 'signup'""")
 def unreadable_events(spark, folder) -> DataFrame:
@@ -185,16 +185,22 @@ def logged_run(spark, folder) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# The last row has no successor and waits the fixed delay.
+CLAMPED = """CASE WHEN gap IS NULL THEN CAST(0.1 AS DOUBLE)
+       ELSE least(greatest(gap, CAST(0.001 AS DOUBLE)), CAST(1 AS DOUBLE)) END"""
+
+
 @query("W2 T1", TX + """
-SELECT event_id, "Time", coalesce(least(greatest((lead("Time") OVER (ORDER BY "Time", event_id) - "Time") * CAST(0.01 AS DOUBLE),
-       CAST(0.001 AS DOUBLE)), CAST(1 AS DOUBLE)), CAST(0.1 AS DOUBLE)) AS gap_seconds FROM tx""")
+, near AS (SELECT event_id, "Time", (lead("Time") OVER (ORDER BY "Time", event_id) - "Time") * CAST(0.01 AS DOUBLE) AS gap FROM tx)
+SELECT event_id, "Time", """ + CLAMPED + " AS gap_seconds FROM near")
 def send_gaps_overall(spark, folder) -> DataFrame:
     return send_gaps(transactions(spark, folder).select("event_id", "Time"), "Time", "event_id")
 
 
 @query("W2", TX + """
-SELECT event_id, user_id, coalesce(least(greatest((lead("Time") OVER (PARTITION BY user_id ORDER BY "Time", event_id) - "Time")
-       * CAST(0.01 AS DOUBLE), CAST(0.001 AS DOUBLE)), CAST(1 AS DOUBLE)), CAST(0.1 AS DOUBLE)) AS gap_seconds FROM tx""")
+, near AS (SELECT event_id, user_id, (lead("Time") OVER (PARTITION BY user_id ORDER BY "Time", event_id) - "Time") * CAST(0.01 AS DOUBLE) AS gap
+           FROM tx)
+SELECT event_id, user_id, """ + CLAMPED + " AS gap_seconds FROM near")
 def send_gaps_by_user(spark, folder) -> DataFrame:
     rows = transactions(spark, folder).select("event_id", "user_id", "Time")
     return send_gaps(rows, "Time", "event_id", ["user_id"]).select("event_id", "user_id", "gap_seconds")

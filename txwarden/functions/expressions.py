@@ -75,12 +75,13 @@ def send_gap(seconds: Column) -> Column:
     return F.least(F.greatest(seconds * GAP_SCALE, F.lit(GAP_MIN)), F.lit(GAP_MAX))
 
 
-def row_hash(keys: Sequence[str], seed: int) -> Column:
-    """A whole number in [0, 2^52) that depends only on the key values and the seed.
+def row_hash(keys: Sequence[str], seed: int, purpose: str) -> Column:
+    """A whole number in [0, 2^52) that depends only on the key values, the seed and the purpose.
 
-    From MD5, so another engine can compute the same split; 52 bits are exact as a double.
+    From MD5, so another engine can compute the same split; 52 bits are exact as a double. The
+    purpose keeps a sample and a later split with the same seed independent.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    text = F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.expressions import ratio
-from txwarden.plans.ordered import next_row, running_totals
+from txwarden.plans.ordered import walk
 from txwarden.schemas import TARGET
 
 # Fixed values of threshold selection.
@@ -28,22 +28,15 @@ def score_counts(df: DataFrame, score: str, label: str = TARGET, by: Sequence[st
     return counts, rows
 
 
-def score_curve(df: DataFrame, score: str, label: str = TARGET, by: Sequence[str] = (), **slicing) -> DataFrame:
+def score_curve(df: DataFrame, score: str, label: str = TARGET, by: Sequence[str] = (),
+                ahead: dict[str, str] | None = None, **slicing) -> DataFrame:
     """One row per distinct score: true and false positives when everything at or above it is
-    flagged (`tp`, `fp`), and what the score itself holds (`npos`, `nneg`)."""
+    flagged (`tp`, `fp`), what the score itself holds (`npos`, `nneg`), and class sizes (`pos`,
+    `neg`). `ahead` adds values of the next lower score."""
     counts, rows = score_counts(df, score, label, by)
-    return running_totals(
-        counts, ["threshold"], {"tp": "npos", "fp": "nneg"}, by, descending=True, source=rows, **slicing
-    )
-
-
-def with_class_totals(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add `pos` and `neg`, the size of each class, to every point of a curve."""
-    totals = curve.groupBy(*by).agg(F.sum("npos").alias("pos"), F.sum("nneg").alias("neg"))
-    if by:
-        return curve.join(totals, list(by))
-    return curve.select(
-        "*", totals.select("pos").scalar().alias("pos"), totals.select("neg").scalar().alias("neg")
+    return walk(
+        counts, ["threshold"], by, totals={"tp": "npos", "fp": "nneg"}, overall={"pos": "npos", "neg": "nneg"},
+        ahead=ahead, descending=True, source=rows, **slicing,
     )
 
 
@@ -51,7 +44,7 @@ def ranking_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """ROC AUC by trapezoids and average precision by steps; NULL without both classes."""
     tp, fp, npos, nneg = (F.col(c).cast("double") for c in ("tp", "fp", "npos", "nneg"))
     sums = curve.groupBy(*by).agg(
-        F.max("tp").alias("pos"), F.max("fp").alias("neg"),
+        F.max("pos").alias("pos"), F.max("neg").alias("neg"),
         F.sum(nneg * (tp - npos / 2)).alias("_area"),
         F.sum(npos * tp / (tp + fp)).alias("_steps"),
     )
@@ -67,11 +60,9 @@ def roc_points(df: DataFrame, score: str, label: str = TARGET, drop_intermediate
 
     Points on a straight line between their neighbours are left out unless asked for.
     """
-    curve = with_class_totals(score_curve(df, score, label, **slicing))
+    ahead = {"_npos": "npos", "_nneg": "nneg"} if drop_intermediate else None
+    curve = score_curve(df, score, label, ahead=ahead, **slicing)
     if drop_intermediate:
-        _, rows = score_counts(df, score, label)
-        curve = next_row(curve, ["threshold"], {"_npos": "npos", "_nneg": "nneg"}, descending=True,
-                         source=rows, **slicing)
         first = (F.col("tp") == F.col("npos")) & (F.col("fp") == F.col("nneg"))
         last = F.col("_npos").isNull()
         corner = (F.col("_npos") != F.col("npos")) | (F.col("_nneg") != F.col("nneg"))
@@ -85,8 +76,7 @@ def roc_points(df: DataFrame, score: str, label: str = TARGET, drop_intermediate
 
 def precision_recall_points(df: DataFrame, score: str, label: str = TARGET, by: Sequence[str] = (), **slicing) -> DataFrame:
     """Precision and recall at each threshold."""
-    curve = with_class_totals(score_curve(df, score, label, by, **slicing), by)
-    return curve.select(
+    return score_curve(df, score, label, by, **slicing).select(
         *by, "threshold",
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         ratio(F.col("tp"), F.col("pos")).alias("recall"),

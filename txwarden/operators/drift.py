@@ -16,7 +16,7 @@ from txwarden.functions.expressions import ratio
 from txwarden.functions.significance import chi_square_tail, ks_two_sample_tail, normal_two_sided
 from txwarden.operators.prepare import align, drop_repeats, fill_medians, long_values
 from txwarden.operators.profile import quality
-from txwarden.plans.ordered import next_row, running_totals
+from txwarden.plans.ordered import walk
 from txwarden.schemas import FEATURES
 
 # Fixed values of the public drift defaults: small references are tested, large ones measured.
@@ -59,22 +59,29 @@ def _side_totals(counts: DataFrame) -> DataFrame:
     )
 
 
-def distances(rows: DataFrame, **slicing) -> DataFrame:
-    """Exact Kolmogorov-Smirnov and Wasserstein distance of the two sides, one row per column."""
-    counts = value_counts(rows)
-    source = rows.select("column", "value")
-    slicing.setdefault("n_rows", source.count())
-    walked = running_totals(counts, ["value"], {"upto_reference": "reference", "upto_current": "current"},
-                            ["column"], source=source, **slicing)
-    walked = next_row(walked, ["value"], {"next_value": "value"}, ["column"], source=source, **slicing)
-    walked = walked.join(_side_totals(counts), "column")
-    apart = F.abs(
+# Along the value axis of a column: counts so far of both sides, the next value, and side sizes.
+ALONG = {
+    "totals": {"upto_reference": "reference", "upto_current": "current"},
+    "overall": {"n_reference": "reference", "n_current": "current"},
+    "ahead": {"next_value": "value"},
+}
+
+
+def _apart() -> Column:
+    """Gap between the two distribution functions at a value."""
+    return F.abs(
         ratio(F.col("upto_reference"), F.col("n_reference"), None) - ratio(F.col("upto_current"), F.col("n_current"), None)
     )
-    return walked.groupBy("column").agg(
-        F.max(apart).alias("ks"),
-        F.coalesce(F.sum(apart * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"),
-    )
+
+
+def _moved() -> Column:
+    return F.coalesce(F.sum(_apart() * (F.col("next_value") - F.col("value"))), F.lit(0.0))
+
+
+def distances(rows: DataFrame, **slicing) -> DataFrame:
+    """Exact Kolmogorov-Smirnov and Wasserstein distance of the two sides, one row per column."""
+    walked = walk(value_counts(rows), ["value"], ["column"], **ALONG, source=rows.select("column", "value"), **slicing)
+    return walked.groupBy("column").agg(F.max(_apart()).alias("ks"), _moved().alias("wasserstein"))
 
 
 def binned_distances(rows: DataFrame, spans: dict[str, tuple[float, float]], bins: int) -> DataFrame:
@@ -89,16 +96,9 @@ def binned_distances(rows: DataFrame, spans: dict[str, tuple[float, float]], bin
     placed = rows.join(F.broadcast(frame), "column")  # one row per column
     number = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")), F.lit(bins - 1))
     counts = value_counts(placed.select("column", "width", number.cast("double").alias("value"), "is_current"), "width")
-    walked = running_totals(counts, ["value"], {"upto_reference": "reference", "upto_current": "current"},
-                            ["column"], n_rows=bins * len(spans))
-    walked = next_row(walked, ["value"], {"next_value": "value"}, ["column"], n_rows=bins * len(spans))
-    walked = walked.join(_side_totals(counts), "column")
-    apart = F.abs(
-        ratio(F.col("upto_reference"), F.col("n_reference"), None) - ratio(F.col("upto_current"), F.col("n_current"), None)
-    )
+    walked = walk(counts, ["value"], ["column"], **ALONG, n_rows=bins * len(spans))
     return walked.groupBy("column").agg(
-        (F.coalesce(F.sum(apart * (F.col("next_value") - F.col("value"))), F.lit(0.0)) * F.max("width")).alias("wasserstein"),
-        F.max("width").alias("width"),
+        (_moved() * F.max("width")).alias("wasserstein"), F.max("width").alias("width")
     )
 
 
@@ -172,7 +172,8 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
                 open_columns.remove(r["column"])
     if open_columns:
         chosen = rows if len(open_columns) == len(columns) else rows.where(F.col("column").isin(open_columns))
-        for r in distances(chosen, **slicing).collect():
+        sizes = sum(usable[c]["n_reference"] + usable[c]["n_current"] for c in open_columns)
+        for r in distances(chosen, **{"n_rows": sizes, **slicing}).collect():
             c, at = r["column"], usable[r["column"]]
             if c in large:
                 scores[c] = ("wasserstein", r["wasserstein"] / norm[c])

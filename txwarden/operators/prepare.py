@@ -177,7 +177,7 @@ def stratified_split(df: DataFrame, keys: Sequence[str], share: float = 0.2, see
     Every class has the share in expectation; the assignment of a row never changes with
     partitioning, and no shuffle is needed.
     """
-    held_out = row_hash(keys, seed) < F.lit(int(share * HASH_RANGE))
+    held_out = row_hash(keys, seed, "split") < F.lit(int(share * HASH_RANGE))
     return df.where(~held_out), df.where(held_out)
 
 
@@ -188,7 +188,7 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str], label: str = TARG
     ceil(share * rows) rows are held out; training rows are dealt to classes in proportion, by
     largest remainder. Each class is cut at an order statistic of its hashes.
     """
-    hashed = df.withColumn("_h", row_hash(keys, seed))
+    hashed = df.withColumn("_h", row_hash(keys, seed, "split"))
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     total = sum(counts.values())
     train_total = total - math.ceil(share * total)
@@ -215,7 +215,7 @@ def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> D
     A cut slightly above the expected n-th hash leaves little to sort; if it leaves too few rows,
     all of them are sorted.
     """
-    hashed = df.withColumn("_h", row_hash(keys, seed))
+    hashed = df.withColumn("_h", row_hash(keys, seed, "sample"))
     rows = df.count()
     if rows > n:
         wide = min((n + 6 * math.sqrt(n) + 20) / rows, 1.0)

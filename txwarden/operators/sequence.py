@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.expressions import PRODUCER_ID, nan_to_null, send_gap, transaction_id
-from txwarden.plans.ordered import next_row, running_totals
+from txwarden.plans.ordered import walk
 
 # Fixed delay of a message without a successor.
 LAST_DELAY = 0.1
@@ -16,7 +16,8 @@ LAST_DELAY = 0.1
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str = "number", **slicing) -> DataFrame:
     """Row number from 1 along `order`, in slices rather than one global window."""
-    return running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, {out: "_one"}, **slicing).drop("_one")
+    ones = df.withColumn("_one", F.lit(1).cast("long"))
+    return walk(ones, order, totals={out: "_one"}, **slicing).drop("_one")
 
 
 def with_metadata(df: DataFrame, number: str, sent_at: Column | None = None) -> DataFrame:
@@ -31,9 +32,10 @@ def with_metadata(df: DataFrame, number: str, sent_at: Column | None = None) ->
 
 def send_gaps(df: DataFrame, time: str, key: str, by: Sequence[str] = (), **slicing) -> DataFrame:
     """Scaled gap between a row and the next one in Time order; a fixed delay on the last row."""
-    ahead = next_row(df, [time, key], {"_next": time}, by, **slicing)
-    gap = F.coalesce(send_gap(F.col("_next") - F.col(time)), F.lit(LAST_DELAY))
-    return ahead.withColumn("gap_seconds", gap).drop("_next")
+    walked = walk(df, [time, key], by, ahead={"_next": time}, **slicing)
+    # least and greatest skip NULL, so the last row needs its own branch
+    gap = F.when(F.col("_next").isNotNull(), send_gap(F.col("_next") - F.col(time))).otherwise(F.lit(LAST_DELAY))
+    return walked.withColumn("gap_seconds", gap).drop("_next")
 
 
 def head_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE = "_slice"
-ROWS_PER_SLICE = 50_000
+ROWS_PER_SLICE = 200_000
 SAMPLES_PER_SLICE = 20
 
 
@@ -157,77 +157,76 @@ def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def _join_carry(left: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach the per-slice carry; both sides are already hashed on (by, slice)."""
-    names = {c: f"_r{i}" for i, c in enumerate([*by, SLICE])}
-    right = carry.withColumnsRenamed(names)
-    on = F.lit(True)
-    for name, other in names.items():
-        on = on & (left[name] == right[other] if name == SLICE else left[name].eqNullSafe(right[other]))
-    return left.join(right, on, "left").drop(*names.values())
-
-
-def running_totals(
-    df: DataFrame,
-    order: Sequence[str],
-    totals: dict[str, str],
-    by: Sequence[str] = (),
-    *,
-    descending: bool = False,
-    **slicing,
-) -> DataFrame:
-    """Add inclusive running sums: `totals` maps a new column to the column it adds up.
+def _join_slices(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach per-slice values; the rows are already hashed on (by, slice) by their window.
 
-    `order` must be unique within a series. Equal to SUM(..) OVER (PARTITION BY by ORDER BY
-    order), without ever holding a whole series in one task.
+    Null-safe equality adds no filter below the join, so both sides read the same shuffle.
     """
-    parts, several = slice_rows(df, order, by, **slicing)
-    local = Window.partitionBy(*by, SLICE).orderBy(*_sorted(order, descending))
-    local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = parts.select("*", *[F.sum(c).over(local).alias(name) for name, c in totals.items()])
-    if not several:
-        return out.drop(SLICE)
+    return _match(left, right, [*by, SLICE])
 
-    per_slice = parts.groupBy(*by, SLICE).agg(
-        *[F.sum(c).alias(f"_add{i}") for i, c in enumerate(totals.values())]
-    )
-    # One row per slice, so this window is as short as the list of slices.
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*_sorted([SLICE], descending))
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_slice.select(
-        *by, SLICE, *[F.sum(f"_add{i}").over(before).alias(f"_carry{i}") for i in range(len(totals))]
-    )
-    joined = _join_carry(out, carry, by)
-    for i, name in enumerate(totals):
-        joined = joined.withColumn(name, F.col(name) + F.coalesce(F.col(f"_carry{i}"), F.lit(0)))
-    return joined.drop(SLICE, *[f"_carry{i}" for i in range(len(totals))])
+
+def _first_row(columns: dict[str, str], order: Sequence[str], descending: bool) -> Column:
+    """Struct of the columns on the first row along `order`, as an aggregate."""
+    if set(columns.values()) == {order[0]}:  # a plain minimum keeps the hash aggregate
+        end = F.max if descending else F.min
+        return F.struct(*[end(c).alias(name) for name, c in columns.items()])
+    picked = F.struct(*[F.col(c).alias(name) for name, c in columns.items()])
+    return (F.max_by if descending else F.min_by)(picked, F.struct(*order))
 
 
-def next_row(
+def walk(
     df: DataFrame,
     order: Sequence[str],
-    columns: dict[str, str],
     by: Sequence[str] = (),
     *,
+    totals: dict[str, str] | None = None,
+    ahead: dict[str, str] | None = None,
+    overall: dict[str, str] | None = None,
     descending: bool = False,
     **slicing,
 ) -> DataFrame:
-    """Add values of the following row: `columns` maps a new column to the one it looks up.
+    """Add values that depend on a row's place along `order` within its `by` series.
 
-    NULL on the last row of a series. Equal to LEAD(..) OVER (PARTITION BY by ORDER BY order).
+    Each argument maps a new column to the column it is made from: `totals` are inclusive running
+    sums, `ahead` looks up the following row (NULL on the last one), `overall` is the sum of the
+    whole series. `order` must be unique within a series. Equal to the window functions SUM and
+    LEAD over (PARTITION BY by ORDER BY order), without ever holding a whole series in one task.
     """
+    totals, ahead, overall = totals or {}, ahead or {}, overall or {}
     parts, several = slice_rows(df, order, by, **slicing)
-    picked = F.struct(*[F.col(c).alias(name) for name, c in columns.items()])
-    local = Window.partitionBy(*by, SLICE).orderBy(*_sorted(order, descending))
-    out = parts.withColumn("_next", F.lead(picked).over(local))
-    if several:
-        edge = F.max_by if descending else F.min_by
-        heads = parts.groupBy(*by, SLICE).agg(edge(picked, F.struct(*order)).alias("_head"))
-        along = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*_sorted([SLICE], descending))
-        carry = heads.select(*by, SLICE, F.lead("_head").over(along).alias("_after"))
-        out = _join_carry(out, carry, by)
-        out = out.withColumn("_next", F.coalesce("_next", "_after")).drop("_after")
-    return out.select("*", *[F.col(f"_next.{name}").alias(name) for name in columns]).drop("_next", SLICE)
+    group = Window.partitionBy(*by, SLICE)
+    local = group.orderBy(*_sorted(order, descending))
+    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    picked = F.struct(*[F.col(c).alias(name) for name, c in ahead.items()])
+    added = [F.sum(c).over(upto).alias(name) for name, c in totals.items()]
+    if ahead:
+        added.append(F.lead(picked).over(local).alias("_ahead"))
+    if not several:
+        added += [F.sum(c).over(group).alias(name) for name, c in overall.items()]
+        out = parts.select("*", *added)
+    else:
+        sums = {c: f"_add{i}" for i, c in enumerate(dict.fromkeys([*totals.values(), *overall.values()]))}
+        facts = [F.sum(c).alias(name) for c, name in sums.items()]
+        if ahead:
+            facts.append(_first_row(ahead, order, descending).alias("_head"))
+        # One row per slice of a series, so these windows are as short as the list of slices.
+        series = Window.partitionBy(*(by or [F.lit(0)]))
+        along = series.orderBy(*_sorted([SLICE], descending))
+        before = along.rowsBetween(Window.unboundedPreceding, -1)
+        carried = [F.sum(sums[c]).over(before).alias(f"_carry{i}") for i, c in enumerate(totals.values())]
+        carried += [F.sum(sums[c]).over(series).alias(name) for name, c in overall.items()]
+        if ahead:
+            carried.append(F.lead("_head").over(along).alias("_after"))
+        per_slice = parts.groupBy(*by, SLICE).agg(*facts).select(*by, SLICE, *carried)
+        out = _join_slices(parts.select("*", *added), per_slice, by)
+        for i, name in enumerate(totals):
+            out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"_carry{i}"), F.lit(0)))
+        if ahead:
+            out = out.withColumn("_ahead", F.coalesce("_ahead", "_after"))
+    if ahead:
+        out = out.select("*", *[F.col("_ahead")[name].alias(name) for name in ahead])
+    extra = [SLICE, "_ahead", "_after", *[f"_carry{i}" for i in range(len(totals))]]
+    return out.drop(*extra)
 
 
 def quantiles(
@@ -252,6 +251,9 @@ def quantiles(
     by = list(by)
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     rows = rows.select(*by, F.col(value).cast("double").alias("_v"))
+    at_most = df.count()
+    if at_most <= direct_rows and ranks is None:
+        return _rank_all(rows, by, probs, {"n_rows": at_most, **slicing})
     slack = 3.0 / accuracy
     around = [min(max(p + s, 0.0), 1.0) for p in probs for s in (-slack, slack)]
     shape = rows.groupBy(*by).agg(
@@ -280,8 +282,8 @@ def quantiles(
         inside = inside | F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j])
     kept = _with_bounds(rows, bounds, by).where(inside)
     counted = kept.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    ranked = running_totals(
-        counted, ["_v"], {"_upto": "_n"}, by, source=kept.select(*by, "_v"), n_rows=n_rows, **slicing
+    ranked = walk(
+        counted, ["_v"], by, totals={"_upto": "_n"}, source=kept.select(*by, "_v"), n_rows=n_rows, **slicing
     )
     ranked = _with_bounds(ranked, bounds, by)
     # Rows of the brackets that lie under bracket j were counted in `_upto`, not in `below`.
@@ -306,12 +308,31 @@ def quantiles(
         r = found[g["key"]]
         q = []
         for j, rank in enumerate(g["ranks"]):
-            low, high = r[f"_f{j}"], r[f"_c{j}"]
-            q.append(low + (high - low) * (rank - math.floor(rank)))
+            q.append(_between(r[f"_f{j}"], r[f"_c{j}"], rank))
         out.append(Row(**dict(zip(by, g["key"])), n=g["n"], q=q))
     return out
 
 
+def _between(low: float, high: float, rank: float) -> float:
+    return low + (high - low) * (rank - math.floor(rank))
+
+
+def _rank_all(rows: DataFrame, by: list[str], probs: Sequence[float], slicing: dict) -> list[Row]:
+    """Quantiles by ranking every distinct value, in one plan."""
+    counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
+    ranked = walk(counted, ["_v"], by, totals={"_upto": "_n"}, overall={"_all": "_n"}, source=rows, **slicing)
+    picks = [F.max("_all").alias("n")]
+    for j, p in enumerate(probs):
+        rank = (F.col("_all") - 1) * F.lit(float(p))
+        picks.append(F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_v"))).alias(f"_f{j}"))
+        picks.append(F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_v"))).alias(f"_c{j}"))
+    return [
+        Row(**{c: r[c] for c in by}, n=r["n"],
+            q=[_between(r[f"_f{j}"], r[f"_c{j}"], (r["n"] - 1) * p) for j, p in enumerate(probs)])
+        for r in ranked.groupBy(*by).agg(*picks).collect() if r["n"]
+    ]
+
+
 def _narrow(rows: DataFrame, by: list[str], groups: list[dict], around: list[float], accuracy: int) -> int:
     """Replace full ranges by sketch brackets that provably hold the ranks; rows left inside."""
     sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in around]), accuracy)
