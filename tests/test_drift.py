@@ -1,0 +1,154 @@
+import itertools
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from txwarden.functions import significance as s
+from txwarden.operators import drift as d
+
+
+def brute_ks(a, b):
+    points = np.unique(np.concatenate([a, b]))
+    gaps = [abs((a <= x).mean() - (b <= x).mean()) for x in points]
+    return max(gaps), sum(g * (q - p) for g, p, q in zip(gaps, points, points[1:]))
+
+
+def sides(spark, columns):
+    old = spark.createDataFrame(list(zip(*[map(float, v[0]) for v in columns.values()])), ", ".join(f"{c} double" for c in columns))
+    new = spark.createDataFrame(list(zip(*[map(float, v[1]) for v in columns.values()])), ", ".join(f"{c} double" for c in columns))
+    return old, new
+
+
+@pytest.mark.parametrize("slicing", [{}, {"rows_per_slice": 60}])
+def test_distances_match_brute_force(spark, slicing):
+    rng = np.random.default_rng(0)
+    columns = {"a": (rng.normal(0, 1, 400), rng.normal(0.3, 1, 300)), "b": (rng.integers(0, 9, 400), rng.integers(2, 12, 300))}
+    columns = {c: (v[0], v[1]) for c, v in columns.items()}
+    old, new = sides(spark, columns)
+    got = {r["column"]: r for r in d.distances(d.both_sides(old, new, list(columns)), **slicing).collect()}
+    back = {r["column"]: r for r in d.distances(d.both_sides(new, old, list(columns)), **slicing).collect()}
+    for c, (x, y) in columns.items():
+        ks, w = brute_ks(np.asarray(x, float), np.asarray(y, float))
+        assert got[c]["ks"] == pytest.approx(ks) and got[c]["wasserstein"] == pytest.approx(w)
+        assert back[c]["ks"] == pytest.approx(ks)
+
+
+def test_binned_distance_is_within_a_bin(spark):
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(0, 1, 2000), rng.normal(0.2, 1.1, 1500)
+    old, new = sides(spark, {"a": (x, y)})
+    lo, hi = min(x.min(), y.min()), max(x.max(), y.max())
+    r = d.binned_distances(d.both_sides(old, new, ["a"]), {"a": (float(lo), float(hi))}, 64).first()
+    assert abs(r["wasserstein"] - brute_ks(x, y)[1]) <= r["width"]
+
+
+def test_ks_tail_counts_merge_orders():
+    for n, m in ((2, 3), (3, 3), (4, 2)):
+        every = []
+        for chosen in itertools.combinations(range(n + m), n):
+            a, b = np.array(chosen), np.array([i for i in range(n + m) if i not in chosen])
+            every.append(brute_ks(a, b)[0])
+        for dist in sorted(set(every)):
+            want = np.mean([e >= dist - 1e-12 for e in every])
+            assert s.ks_two_sample_tail(dist, n, m) == pytest.approx(want)
+    assert s.ks_two_sample_tail(0.0, 5, 5) == 1.0
+    exact, series = s.ks_two_sample_tail(0.05, 1000, 9000), s.ks_two_sample_tail(0.05, 1000, 10_001)
+    assert exact == pytest.approx(series, rel=0.1)
+
+
+def test_chi_square_and_normal_tails():
+    # 5% points of the chi-square distribution, from printed tables
+    for dof, point in ((1, 3.841459), (2, 5.991465), (3, 7.814728), (4, 9.487729), (10, 18.307038)):
+        assert s.chi_square_tail(point, dof) == pytest.approx(0.05, abs=1e-6)
+    assert s.normal_two_sided(1.959964) == pytest.approx(0.05, abs=1e-6)
+    assert s.chi_square_tail(math.inf, 3) == 0.0 and s.chi_square_tail(0.0, 3) == 1.0
+
+
+def test_methods_follow_rows_and_values(spark):
+    rng = np.random.default_rng(2)
+
+    def table(n, shift):
+        rows = zip(rng.normal(shift, 1, n), rng.integers(0, 2, n), rng.integers(0, 4, n))
+        return spark.createDataFrame([(float(a), int(b), int(c)) for a, b, c in rows], "many double, two int, four int")
+
+    columns = ["many", "two", "four"]
+    small = {r["column"]: r for r in d.column_drift(table(500, 0), table(400, 0.6), columns).collect()}
+    assert {c: small[c]["method"] for c in columns} == {"many": "ks", "two": "z", "four": "chisquare"}
+    assert small["many"]["drifted"] and small["many"]["score"] < 1e-6
+    old, new = table(1500, 0), table(800, 0.6)
+    large = {r["column"]: r for r in d.column_drift(old, new, columns).collect()}
+    assert {c: large[c]["method"] for c in columns} == {"many": "wasserstein", "two": "jensenshannon", "four": "jensenshannon"}
+    assert large["many"]["drifted"] and not large["two"]["drifted"]
+    quick = {r["column"]: r for r in d.column_drift(old, new, columns, precise=False).collect()}
+    assert {c: quick[c]["drifted"] for c in columns} == {c: large[c]["drifted"] for c in columns}
+    assert quick["many"]["score"] == pytest.approx(large["many"]["score"], abs=0.01)
+
+
+def test_undecided_bins_are_ranked_exactly(spark):
+    """A score next to the limit cannot be settled by coarse bins."""
+    x = np.linspace(0, 1, 1201)
+    old, new = sides(spark, {"a": (x, x + 0.1 * x.std())})
+    coarse = d.column_drift(old, new, ["a"], precise=False, bins=4).first()
+    exact = d.column_drift(old, new, ["a"]).first()
+    assert coarse["score"] == pytest.approx(exact["score"], rel=1e-12) == pytest.approx(0.1)
+
+
+def test_empty_columns_and_missing_values(spark):
+    old = spark.createDataFrame([(1.0, None)] * 5 + [(float("inf"), None)], "a double, b double")
+    new = spark.createDataFrame([(1.0, 2.0)] * 3 + [(float("nan"), 2.0)], "a double, b double")
+    got = {r["column"]: r for r in d.column_drift(old, new, ["a", "b"]).collect()}
+    assert got["b"]["method"] == "no values" and not got["b"]["drifted"]
+    assert not got["a"]["drifted"]
+
+
+def test_category_with_a_new_value(spark):
+    old = spark.createDataFrame([(float(i % 3),) for i in range(90)], "a double")
+    new = spark.createDataFrame([(float(i % 4),) for i in range(80)], "a double")
+    row = d.category_statistics(d.value_counts(d.both_sides(old, new, ["a"]))).first()
+    assert row["chi_square"] == math.inf and row["values"] == 4
+    assert d.column_drift(old, new, ["a"]).first()["score"] == 0.0
+
+
+def test_flags(spark):
+    df = spark.createDataFrame(
+        [("a", "ks", 0.0, 0.05, True), ("b", "ks", 0.5, 0.05, False), ("target", "ks", 0.5, 0.05, False)], d.RESULT
+    )
+    row = d.drift_flags(df).first()
+    assert not row["dataset_drift"] and not row["target_drift"] and not row["drift_detected"]
+    assert d.drift_flags(df, share=1 / 3).first()["dataset_drift"]
+    target = df.withColumn("drifted", F.col("column") == "target")
+    assert d.drift_flags(target).first()["drift_detected"]
+
+
+@pytest.fixture(scope="module")
+def monitored(spark):
+    rng = np.random.default_rng(123)
+    features = ["V1", "V2", "Amount"]
+    old = [(*map(float, r), int(y)) for r, y in zip(np.c_[rng.normal(0, 1, (1000, 2)), rng.exponential(100, 1000)], rng.random(1000) < 0.05)]
+    new = [(*map(float, r), float(p)) for r, p in zip(np.c_[rng.normal(0.5, 1, 500), rng.normal(0, 1, 500), rng.exponential(150, 500)], rng.beta(2, 8, 500))]
+    new += new[:7]
+    return (spark.createDataFrame(old, "V1 double, V2 double, Amount double, Class int"),
+            spark.createDataFrame(new, "V1 double, V2 double, Amount double, prediction double"), features)
+
+
+def test_drift_job(spark, monitored, tmp_path):
+    from txwarden.sources.sinks import write_summary
+
+    old, new, features = monitored
+    summary = d.drift_job(old, new, features)
+    assert summary["column_drifts"]["V1"] and summary["column_drifts"]["Amount"] and not summary["column_drifts"]["V2"]
+    assert summary["target_drift"] and summary["dataset_drift"] and summary["drift_detected"]
+    assert summary["data_quality"]["duplicate_rows"] == 7 and summary["data_quality"]["total_rows"] == 507
+    write_summary(d.summary_frame(spark, summary, "r1"), str(tmp_path / "s"))
+    back = spark.read.json(str(tmp_path / "s")).first()
+    assert back["run_id"] == "r1" and back["column_drifts"]["V1"] and back["duplicate_rows"] == 7
+    cut = d.drift_job(old, new, features, target_cut=0.5)
+    assert cut["column_scores"]["target"] != summary["column_scores"]["target"]
+
+
+def test_too_few_rows(monitored):
+    old, new, features = monitored
+    summary = d.drift_job(old, new.limit(60), features)
+    assert summary["status"] == "insufficient_data" and "60" in summary["message"]
