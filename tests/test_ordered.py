@@ -107,7 +107,7 @@ def test_a_missed_bracket_falls_back_to_the_whole_group(spark, monkeypatch):
     df = spark.createDataFrame([(float(i),) for i in range(100)], "v double")
 
     def far_off(*_args):
-        return F.array(F.max("_v"), F.max("_v"))
+        return F.array(F.max("_v"), F.max("_v"))  # a bracket that cannot hold the median
 
     monkeypatch.setattr(ordered.F, "percentile_approx", far_off)
     assert quantiles(df, "v", [0.5], direct_rows=10)[0]["q"] == [49.5]

@@ -131,6 +131,18 @@ def test_quality_facts(spark):
     assert {r["column"]: r["missing"] for r in missing_values(df).collect()} == {"a": 3, "s": 0}
 
 
+def test_repeats_by_hash_first(spark, monkeypatch):
+    rows = [(i % 40, float("nan") if i % 5 == 0 else -0.0 if i % 2 else 0.0, None if i % 3 else "x") for i in range(100)]
+    rows += [(7, 1.0, "hot")] * 200
+    df = spark.createDataFrame(rows, "a int, b double, s string")
+    want, distinct = duplicate_rows(df).first()[0], p.drop_repeats(df)
+    assert duplicate_rows(df, hash_from=1).first()[0] == want == 300 - distinct.count()
+    by_hash = p.drop_repeats(df, hash_from=1)
+    assert by_hash.exceptAll(distinct).count() == 0 and distinct.exceptAll(by_hash).count() == 0
+    # too many candidates to broadcast: whole rows are grouped
+    assert p.repeat_candidates(df, limit=3) is None
+
+
 def test_class_facts_without_positives(spark):
     df = spark.createDataFrame([(0,), (0,)], "Class int")
     assert class_weight(df).first()["scale_pos_weight"] is None

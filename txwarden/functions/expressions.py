@@ -75,14 +75,25 @@ def send_gap(seconds: Column) -> Column:
     return F.least(F.greatest(seconds * GAP_SCALE, F.lit(GAP_MIN)), F.lit(GAP_MAX))
 
 
-def row_hash(keys: Sequence[str], seed: int, purpose: str) -> Column:
-    """A whole number in [0, 2^52) that depends only on the key values, the seed and the purpose.
+HASH_DIGITS = 13
+HASH_RANGE = 16**HASH_DIGITS
 
-    From MD5, so another engine can compute the same split; 52 bits are exact as a double. The
-    purpose keeps a sample and a later split with the same seed independent.
+
+def row_digest(keys: Sequence[str], seed: int, purpose: str) -> Column:
+    """Hex text that depends only on the key values, the seed and the purpose, and sorts evenly.
+
+    MD5, so another engine can compute the same split. The purpose keeps a sample and a later
+    split with the same seed independent.
     """
-    text = F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+    return F.md5(F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+
+
+def in_share(digest: Column, share: float) -> Column:
+    """Whether a digest lies in the first `share` of all digests; compares text, parses nothing."""
+    cut = int(share * HASH_RANGE)
+    return F.lit(True) if cut >= HASH_RANGE else digest < F.lit(f"{cut:0{HASH_DIGITS}x}")
 
 
-HASH_RANGE = 1 << 52
+def digest_number(digest: Column) -> Column:
+    """The digest's leading digits as a whole number below 2^52, exact as a double."""
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwarden.functions.expressions import ratio
@@ -153,20 +153,16 @@ def with_scores(cells: DataFrame) -> DataFrame:
 def threshold_report(df: DataFrame, score: str, label: str = TARGET, **slicing) -> DataFrame:
     """Scores at the F1-optimal and at the precision-floor threshold."""
     points = precision_recall_points(df, score, label, **slicing)
-    both = best_f1_threshold(points).select(F.lit("f1_optimized").alias("kind"), "threshold").unionByName(
-        precision_threshold(points).select(F.lit("precision_optimized").alias("kind"), "threshold")
-    )
-    chosen = {r["kind"]: r["threshold"] for r in both.collect()}  # two rows
-    parts = [
-        with_scores(confusion(df, score, label, [t])).select(
-            F.lit(kind).alias("kind"), "threshold", "precision", "recall", "f1_score"
-        )
-        for kind, t in chosen.items() if t is not None
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    p, low = F.col("precision"), (-F.col("threshold")).alias("low")
+    both = points.agg(
+        F.max(F.struct(_f1(p, F.col("recall")).alias("f1"), low)).alias("_b"),
+        F.coalesce(F.min(F.when(p >= PRECISION_FLOOR, F.col("threshold"))), F.lit(PRECISION_FALLBACK)).alias("floor"),
+    ).select((-F.col("_b.low")).alias("best"), "floor").first()
+    chosen = [("f1_optimized", both["best"]), ("precision_optimized", both["floor"])]
+    chosen = [(kind, t) for kind, t in chosen if t is not None]
+    kinds = df.sparkSession.createDataFrame(chosen, "kind string, threshold double")
+    cells = with_scores(confusion(df, score, label, sorted({t for _, t in chosen})))
+    return kinds.join(cells, "threshold").select("kind", "threshold", "precision", "recall", "f1_score")
 
 
 def classification_report(df: DataFrame, score: str, label: str = TARGET, threshold: float = 0.5) -> DataFrame:
@@ -210,11 +206,9 @@ def compare_models(scores: DataFrame, models: Sequence[str], score: str = "score
         flagged.select("model", "precision", "recall", "f1_score"), "model"
     )
     place = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
-    summary = table.agg(
-        F.max(F.struct("pr_auc", (-place).alias("place"), "model")).alias("_best"),
-        (F.max("pr_auc") - F.min("pr_auc")).alias("_gap"),
-    )
+    everything = Window.partitionBy(F.lit(0))  # one row per model
+    rank = F.struct(F.col("pr_auc"), (-place).alias("place"))
     return table.select(
-        "*", (F.col("model") == summary.select("_best.model").scalar()).alias("best"),
-        summary.select("_gap").scalar().alias("performance_gap"),
+        "*", (rank == F.max(rank).over(everything)).alias("best"),
+        (F.max("pr_auc").over(everything) - F.min("pr_auc").over(everything)).alias("performance_gap"),
     )

@@ -24,6 +24,8 @@ SMALL_REFERENCE, FEW_VALUES = 1000, 5
 P_LIMIT, DISTANCE_LIMIT, SMALLEST_NORM = 0.05, 0.1, 0.001
 DRIFT_SHARE = 0.5
 MIN_ROWS = 100
+# Values above which Wasserstein columns are settled by bins where that is certain.
+EXACT_VALUES = 100_000_000
 
 RESULT = "column string, method string, score double, threshold double, drifted boolean"
 
@@ -126,7 +128,7 @@ def category_statistics(counts: DataFrame) -> DataFrame:
     )
 
 
-def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], precise: bool = True,
+def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], precise: bool | None = None,
                  bins: int = 4096, **slicing) -> DataFrame:
     """Method, score, limit and drift flag of each column.
 
@@ -136,12 +138,15 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
 
     `precise=False` settles Wasserstein columns by binned counts where the error bound allows a
     certain decision and ranks whole columns only for the rest; flags are the same, scores of the
-    settled columns are off by at most one bin width.
+    settled columns are off by at most one bin width. By default that is done above EXACT_VALUES
+    values.
     """
     rows = both_sides(reference, current, columns)
     found = {r["column"]: r for r in column_profile(rows).collect()}  # one row per column
     usable = {c: r for c, r in found.items() if r["n_reference"] and r["n_current"]}
     scores: dict[str, tuple[str, float]] = {}
+    if precise is None:
+        precise = sum(r["n_reference"] + r["n_current"] for r in found.values()) <= EXACT_VALUES
 
     # Counts near the limit come from a sketch, so the few columns concerned are counted exactly.
     maybe_few = [c for c, r in usable.items() if r["values"] <= 4 * FEW_VALUES]
@@ -209,7 +214,7 @@ def enough_rows(df: DataFrame, minimum: int = MIN_ROWS) -> bool:
 
 
 def drift_job(reference: DataFrame, current: DataFrame, features: Sequence[str] = FEATURES, minimum: int = MIN_ROWS,
-              target_cut: float | None = None, precise: bool = True, reference_target: str = "Class",
+              target_cut: float | None = None, precise: bool | None = None, reference_target: str = "Class",
               current_target: str = "prediction") -> dict:
     """Gate, fill, dedupe, align and compare; the summary as a dictionary.
 
@@ -225,7 +230,12 @@ def drift_job(reference: DataFrame, current: DataFrame, features: Sequence[str]
     )
     if target_cut is not None:
         new = new.withColumn("target", (F.col("target") > target_cut).cast("int"))
-    columns = column_drift(old, new, [*common, "target"], precise=precise)
+    old, new = old.persist(), new.persist()  # read by several passes; lost blocks are recomputed
+    try:
+        columns = column_drift(old, new, [*common, "target"], precise=precise)
+    finally:
+        old.unpersist()
+        new.unpersist()
     flags = drift_flags(columns).first().asDict()
     details = columns.collect()
     return {

@@ -12,12 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txwarden.functions.expressions import HASH_RANGE, row_hash
+from txwarden.functions.expressions import digest_number, in_share, row_digest
 from txwarden.plans.ordered import quantiles
 from txwarden.schemas import FEATURES, TARGET
 
 log = logging.getLogger(__name__)
 
+# Rows from which repeats are looked for by hash first, and how many hashes may be broadcast.
+HASH_FROM = 10_000_000
+CANDIDATE_LIMIT = 1_000_000
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -165,9 +169,31 @@ def _missing(df: DataFrame, column: str) -> Column:
     return test
 
 
-def drop_repeats(df: DataFrame) -> DataFrame:
-    """Rows that repeat another row are dropped; missing values count as equal."""
-    return df.dropDuplicates()
+def repeat_candidates(df: DataFrame, limit: int = CANDIDATE_LIMIT) -> DataFrame | None:
+    """Row hashes that occur more than once, or None if there are more than `limit` of them.
+
+    Only eight bytes per row are shuffled. Any repeated row has such a hash; a hash may also be
+    there by collision, so callers compare whole rows among the candidates.
+    """
+    hashes = df.select(F.xxhash64(*df.columns).alias("_h")).groupBy("_h").count().where("count > 1").select("_h").persist()
+    if hashes.limit(limit + 1).count() > limit:
+        hashes.unpersist()
+        return None
+    return hashes
+
+
+def drop_repeats(df: DataFrame, hash_from: int = HASH_FROM) -> DataFrame:
+    """Rows that repeat another row are dropped; missing values count as equal.
+
+    From `hash_from` rows on, only rows whose hash repeats are shuffled in full.
+    """
+    hashes = repeat_candidates(df) if df.count() >= hash_from else None
+    if hashes is None:
+        return df.dropDuplicates()
+    keyed = df.withColumn("_h", F.xxhash64(*df.columns))
+    single = keyed.join(F.broadcast(hashes), "_h", "left_anti")  # at most CANDIDATE_LIMIT hashes
+    repeated = keyed.join(F.broadcast(hashes), "_h", "left_semi")
+    return single.select(*df.columns).unionByName(repeated.select(*df.columns).dropDuplicates())
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42
@@ -177,7 +203,7 @@ def stratified_split(df: DataFrame, keys: Sequence[str], share: float = 0.2, see
     Every class has the share in expectation; the assignment of a row never changes with
     partitioning, and no shuffle is needed.
     """
-    held_out = row_hash(keys, seed, "split") < F.lit(int(share * HASH_RANGE))
+    held_out = in_share(row_digest(keys, seed, "split"), share)
     return df.where(~held_out), df.where(held_out)
 
 
@@ -188,7 +214,7 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str], label: str = TARG
     ceil(share * rows) rows are held out; training rows are dealt to classes in proportion, by
     largest remainder. Each class is cut at an order statistic of its hashes.
     """
-    hashed = df.withColumn("_h", row_hash(keys, seed, "split"))
+    hashed = df.withColumn("_h", digest_number(row_digest(keys, seed, "split")))
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     total = sum(counts.values())
     train_total = total - math.ceil(share * total)
@@ -215,11 +241,11 @@ def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> D
     A cut slightly above the expected n-th hash leaves little to sort; if it leaves too few rows,
     all of them are sorted.
     """
-    hashed = df.withColumn("_h", row_hash(keys, seed, "sample"))
+    hashed = df.withColumn("_h", row_digest(keys, seed, "sample"))
     rows = df.count()
     if rows > n:
         wide = min((n + 6 * math.sqrt(n) + 20) / rows, 1.0)
-        near = hashed.where(F.col("_h") < F.lit(int(wide * HASH_RANGE)))
+        near = hashed.where(in_share(F.col("_h"), wide))
         if near.count() >= n:
             hashed = near
     return hashed.orderBy("_h", *keys).limit(n).drop("_h")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txwarden.functions.expressions import ratio
-from txwarden.operators.prepare import long_values, numeric_columns
+from txwarden.operators.prepare import HASH_FROM, numeric_columns, repeat_candidates
 from txwarden.plans.ordered import quantiles
 from txwarden.schemas import TARGET
 
@@ -52,9 +52,17 @@ def total_missing(df: DataFrame) -> DataFrame:
     return missing_values(df).agg(F.sum("missing").alias("missing"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row. Copies collapse before the shuffle."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+def duplicate_rows(df: DataFrame, hash_from: int = HASH_FROM) -> DataFrame:
+    """Rows that repeat an earlier row. Copies collapse before the shuffle.
+
+    From `hash_from` rows on, only rows whose hash repeats are grouped in full.
+    """
+    hashes = repeat_candidates(df) if df.count() >= hash_from else None
+    rows = df
+    if hashes is not None:
+        keyed = df.withColumn("_h", F.xxhash64(*df.columns))
+        rows = keyed.join(F.broadcast(hashes), "_h", "left_semi")  # at most CANDIDATE_LIMIT hashes
+    groups = rows.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

@@ -162,7 +162,7 @@ def _join_slices(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFr
 
     Null-safe equality adds no filter below the join, so both sides read the same shuffle.
     """
-    return _match(left, right, [*by, SLICE])
+    return _match(left, right, [*by, SLICE], "left")
 
 
 def _first_row(columns: dict[str, str], order: Sequence[str], descending: bool) -> Column:
@@ -201,10 +201,9 @@ def walk(
     added = [F.sum(c).over(upto).alias(name) for name, c in totals.items()]
     if ahead:
         added.append(F.lead(picked).over(local).alias("_ahead"))
-    if not several:
-        added += [F.sum(c).over(group).alias(name) for name, c in overall.items()]
-        out = parts.select("*", *added)
-    else:
+    added += [F.sum(c).over(group).alias(name) for name, c in overall.items()]
+    out = parts.select("*", *added)
+    if several:
         sums = {c: f"_add{i}" for i, c in enumerate(dict.fromkeys([*totals.values(), *overall.values()]))}
         facts = [F.sum(c).alias(name) for c, name in sums.items()]
         if ahead:
@@ -214,18 +213,23 @@ def walk(
         along = series.orderBy(*_sorted([SLICE], descending))
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         carried = [F.sum(sums[c]).over(before).alias(f"_carry{i}") for i, c in enumerate(totals.values())]
-        carried += [F.sum(sums[c]).over(series).alias(name) for name, c in overall.items()]
+        carried += [F.sum(sums[c]).over(series).alias(f"_all{i}") for i, c in enumerate(overall.values())]
         if ahead:
             carried.append(F.lead("_head").over(along).alias("_after"))
-        per_slice = parts.groupBy(*by, SLICE).agg(*facts).select(*by, SLICE, *carried)
-        out = _join_slices(parts.select("*", *added), per_slice, by)
+        per_slice = parts.groupBy(*by, SLICE).agg(*facts)
+        # Series that lie in one slice carry nothing, so what is joined stays as small as the cuts.
+        carry = per_slice.select(*by, SLICE, F.count("*").over(series).alias("_slices"), *carried)
+        out = _join_slices(out, carry.where("_slices > 1"), by)
         for i, name in enumerate(totals):
             out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"_carry{i}"), F.lit(0)))
+        for i, name in enumerate(overall):
+            out = out.withColumn(name, F.coalesce(f"_all{i}", name))
         if ahead:
             out = out.withColumn("_ahead", F.coalesce("_ahead", "_after"))
     if ahead:
         out = out.select("*", *[F.col("_ahead")[name].alias(name) for name in ahead])
-    extra = [SLICE, "_ahead", "_after", *[f"_carry{i}" for i in range(len(totals))]]
+    extra = [SLICE, "_ahead", "_after", "_slices", *[f"_carry{i}" for i in range(len(totals))],
+             *[f"_all{i}" for i in range(len(overall))]]
     return out.drop(*extra)
 
 
@@ -256,10 +260,11 @@ def quantiles(
         return _rank_all(rows, by, probs, {"n_rows": at_most, **slicing})
     slack = 3.0 / accuracy
     around = [min(max(p + s, 0.0), 1.0) for p in probs for s in (-slack, slack)]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in around]), accuracy)
+    large = at_most > direct_rows
     shape = rows.groupBy(*by).agg(
-        F.count("_v").alias("n"),
-        F.min("_v").alias("lo"),
-        F.max("_v").alias("hi"),
+        F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
+        *([sketch.alias("s")] if large else []),
     ).collect()
     shape = [r for r in shape if r["n"] > 0]
     n_rows = sum(r["n"] for r in shape)
@@ -271,10 +276,11 @@ def quantiles(
         wanted = ranks(key, r["n"]) if ranks else [(r["n"] - 1) * p for p in probs]
         groups.append(
             {"key": key, "n": r["n"], "ranks": wanted,
-             "lo": [r["lo"]] * len(probs), "hi": [r["hi"]] * len(probs), "below": [0] * len(probs)}
+             "lo": [r["lo"]] * len(probs), "hi": [r["hi"]] * len(probs), "below": [0] * len(probs),
+             "sketch": r["s"] if large else None}
         )
-    if n_rows > direct_rows:
-        n_rows = _narrow(rows, by, groups, around, accuracy)
+    if large:
+        n_rows = _narrow(rows, by, groups, len(probs))
 
     bounds = _bounds_frame(df, by, groups, len(probs))
     inside = F.lit(False)
@@ -333,15 +339,11 @@ def _rank_all(rows: DataFrame, by: list[str], probs: Sequence[float], slicing: d
     ]
 
 
-def _narrow(rows: DataFrame, by: list[str], groups: list[dict], around: list[float], accuracy: int) -> int:
+def _narrow(rows: DataFrame, by: list[str], groups: list[dict], probs: int) -> int:
     """Replace full ranges by sketch brackets that provably hold the ranks; rows left inside."""
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in around]), accuracy)
-    found = {tuple(r[c] for c in by): r["s"] for r in rows.groupBy(*by).agg(sketch.alias("s")).collect()}
-    probs = len(around) // 2
     for g in groups:
-        s = found[g["key"]]
         g["full"] = (list(g["lo"]), list(g["hi"]))
-        g["lo"], g["hi"] = [s[2 * j] for j in range(probs)], [s[2 * j + 1] for j in range(probs)]
+        g["lo"], g["hi"] = [g["sketch"][2 * j] for j in range(probs)], [g["sketch"][2 * j + 1] for j in range(probs)]
     sided = _with_bounds(rows, _bounds_frame(rows, by, groups, probs), by)
     checks = []
     for j in range(probs):
@@ -388,8 +390,8 @@ def _with_bounds(rows: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame
     )
 
 
-def _match(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Inner join on `by`, NULL groups included."""
+def _match(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on `by`, NULL groups included."""
     if not by:
         only = right.first()
         return left.select("*", *[F.lit(only[c]).alias(c) for c in right.columns])
@@ -398,4 +400,4 @@ def _match(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     on = F.lit(True)
     for name, other in names.items():
         on = on & left[name].eqNullSafe(renamed[other])
-    return left.join(renamed, on).drop(*names.values())
+    return left.join(renamed, on, how).drop(*names.values())
