@@ -196,25 +196,36 @@ def drop_repeats(df: DataFrame, hash_from: int = HASH_FROM) -> DataFrame:
     return single.select(*df.columns).unionByName(repeated.select(*df.columns).dropDuplicates())
 
 
-def stratified_split(df: DataFrame, keys: Sequence[str], share: float = 0.2, seed: int = 42
+def _with_digest(df: DataFrame, keys: Sequence[str], seed: int, purpose: str) -> DataFrame:
+    """Add `_h`, the digest of the key columns, or of all columns if none is named."""
+    digest = row_digest(keys or df.columns, seed, purpose)
+    if len(keys or df.columns) <= 8:
+        return df.withColumn("_h", digest)
+    # A filter on a plain column would be pushed below the projections that compute the keys, where
+    # constraint inference tries every mix of key and expression, 2^n of them. It stops at explode.
+    return df.select("*", F.explode(F.array(digest)).alias("_h"))
+
+
+def stratified_split(df: DataFrame, keys: Sequence[str] = (), share: float = 0.2, seed: int = 42
                      ) -> tuple[DataFrame, DataFrame]:
-    """Train and held-out rows, by a hash of the row's key.
+    """Train and held-out rows, by a hash of the row's key (of all columns if none is named).
 
     Every class has the share in expectation; the assignment of a row never changes with
-    partitioning, and no shuffle is needed.
+    partitioning, and no shuffle is needed. Rows with equal keys stay on one side.
     """
-    held_out = in_share(row_digest(keys, seed, "split"), share)
-    return df.where(~held_out), df.where(held_out)
+    hashed = _with_digest(df, keys, seed, "split")
+    held_out = in_share(F.col("_h"), share)
+    return hashed.where(~held_out).drop("_h"), hashed.where(held_out).drop("_h")
 
 
-def stratified_split_exact(df: DataFrame, keys: Sequence[str], label: str = TARGET, share: float = 0.2,
+def stratified_split_exact(df: DataFrame, keys: Sequence[str] = (), label: str = TARGET, share: float = 0.2,
                            seed: int = 42, **slicing) -> tuple[DataFrame, DataFrame]:
     """As `stratified_split`, with the exact number of held-out rows in each class.
 
     ceil(share * rows) rows are held out; training rows are dealt to classes in proportion, by
     largest remainder. Each class is cut at an order statistic of its hashes.
     """
-    hashed = df.withColumn("_h", digest_number(row_digest(keys, seed, "split")))
+    hashed = _with_digest(df, keys, seed, "split").withColumn("_h", digest_number(F.col("_h")))
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     total = sum(counts.values())
     train_total = total - math.ceil(share * total)
@@ -235,17 +246,17 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str], label: str = TARG
     return hashed.where(~test).drop("_h"), hashed.where(test).drop("_h")
 
 
-def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """min(n, rows) rows: those with the smallest key hashes.
 
     A cut slightly above the expected n-th hash leaves little to sort; if it leaves too few rows,
     all of them are sorted.
     """
-    hashed = df.withColumn("_h", row_digest(keys, seed, "sample"))
+    hashed = _with_digest(df, keys, seed, "sample")
     rows = df.count()
     if rows > n:
         wide = min((n + 6 * math.sqrt(n) + 20) / rows, 1.0)
         near = hashed.where(in_share(F.col("_h"), wide))
         if near.count() >= n:
             hashed = near
-    return hashed.orderBy("_h", *keys).limit(n).drop("_h")
+    return hashed.orderBy("_h", *(keys or df.columns)).limit(n).drop("_h")

@@ -22,5 +22,9 @@ EVENT = T.StructType(
     + [T.StructField("transaction_id", T.StringType()), T.StructField("timestamp", T.StringType())]
 )
 
-# What a scored batch adds to its input in the inference log.
-LOG_COLUMNS = ["prediction", "prediction_id", "timestamp", "fraud_detected"]
+# Inference log: a scored row, the id and time of its batch, and the strict 0.5 flag.
+INFERENCE_LOG = T.StructType(
+    [T.StructField(c, T.DoubleType()) for c in [*FEATURES, "prediction"]]
+    + [T.StructField("prediction_id", T.StringType()), T.StructField("timestamp", T.StringType()),
+       T.StructField("fraud_detected", T.BooleanType())]
+)

@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from txwarden.functions.expressions import nan_to_null
 from txwarden.schemas import LABELLED
 
 
@@ -29,7 +28,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = LABEL
         raise ValueError("CSV file is empty")
     declared = {f.name: f for f in schema} if schema is not None else {}
     actual = T.StructType([declared.get(c, T.StructField(c, T.DoubleType())) for c in head.columns])
-    df = nan_to_null(spark.read.schema(actual).option("header", "true").option("nanValue", "NaN").csv(path))
+    # Blank fields and NaN both become NULL while parsing.
+    df = spark.read.schema(actual).option("header", "true").option("nullValue", "NaN").csv(path)
     if df.isEmpty():
         raise ValueError("CSV file is empty")
     return df
