@@ -43,13 +43,17 @@ def test_alert_job_writes_alerts_log_and_dead_letters(spark, model_path, tmp_pat
     rows = [{**{c: 3.0 if fraud else -1.0 for c in COMPONENTS}, "Amount": 10.0, "transaction_id": f"t{fraud}", "timestamp": "1"}
             for fraud in (0, 1)]
     (tmp_path / "in" / "a").write_text("\n".join([*map(json.dumps, rows), "{"]))
+    decoded = spark.createDataFrame([tuple(r[c] for c in FEATURES) for r in rows], ", ".join(f"{c} double" for c in FEATURES))
+    scored = jobs.score_rows(jobs.load_model(model_path), decoded, "p").collect()
+    low, high = (next(r["p"] for r in scored if r["V1"] == v) for v in (-1.0, 3.0))
+    assert low < high
     jobs.main(["alerts", "--model", model_path, "--checkpoint", str(tmp_path / "c"), "--source", str(tmp_path / "in"),
                "--out", str(tmp_path / "out"), "--log", str(tmp_path / "log"), "--dead-letters", str(tmp_path / "dead"),
-               "--above", "0.5", "--once"], spark)
+               "--above", str((low + high) / 2), "--once"], spark)
     found = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "out")).collect()]
     assert [f["transaction_id"] for f in found] == ["t1"]
     log = spark.read.parquet(str(tmp_path / "log"))
-    assert log.count() == 2 and log.where("fraud_detected").count() == 1
+    assert log.count() == 2 and log.where("fraud_detected").count() == sum(p > 0.5 for p in (low, high))
     assert spark.read.json(str(tmp_path / "dead")).first()["value"] == "{"
 
 
