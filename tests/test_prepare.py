@@ -194,6 +194,21 @@ def test_exact_split_sizes(spark, positives):
     assert train.join(test, "id").count() == 0
 
 
+def test_exact_split_ranks_all_rows_if_the_cut_is_elsewhere(spark, monkeypatch):
+    df = spark.range(500).select("id", (F.col("id") % 5 == 0).cast("int").alias("Class"))
+    want = {r["id"] for r in p.stratified_split_exact(df, ["id"])[1].collect()}
+    monkeypatch.setattr(p, "_expected_cut", lambda held, rows: (0, 1))
+    got = p.stratified_split_exact(df, ["id"])[1]
+    assert {r["id"] for r in got.collect()} == want and len(want) == 100
+    assert got.where("Class = 1").count() == 20
+
+
+def test_exact_split_of_many_rows(spark):
+    df = spark.range(40_000).select("id", (F.col("id") % 100 == 0).cast("int").alias("Class"))
+    train, test = p.stratified_split_exact(df, ["id"])
+    assert test.count() == 8000 and test.where("Class = 1").count() == 80 and train.count() == 32_000
+
+
 def test_sample(spark):
     df = spark.range(5000)
     a = {r["id"] for r in p.sample_rows(df, 300, ["id"]).collect()}

@@ -88,10 +88,16 @@ def row_digest(keys: Sequence[str], seed: int, purpose: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(purpose), F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
+def digest_below(digest: Column, number: int) -> Column:
+    """Whether `digest_number` is below the number; compares text, parses nothing."""
+    if number >= HASH_RANGE:
+        return digest.isNotNull()
+    return digest < F.lit(f"{max(number, 0):0{HASH_DIGITS}x}")
+
+
 def in_share(digest: Column, share: float) -> Column:
-    """Whether a digest lies in the first `share` of all digests; compares text, parses nothing."""
-    cut = int(share * HASH_RANGE)
-    return F.lit(True) if cut >= HASH_RANGE else digest < F.lit(f"{cut:0{HASH_DIGITS}x}")
+    """Whether a digest lies in the first `share` of all digests."""
+    return digest_below(digest, int(share * HASH_RANGE))
 
 
 def digest_number(digest: Column) -> Column:

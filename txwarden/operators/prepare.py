@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txwarden.functions.expressions import digest_number, in_share, row_digest
+from txwarden.functions.expressions import HASH_RANGE, digest_below, digest_number, in_share, row_digest
 from txwarden.plans.ordered import quantiles
 from txwarden.schemas import FEATURES, TARGET
 
@@ -223,10 +223,11 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str] = (), label: str =
     """As `stratified_split`, with the exact number of held-out rows in each class.
 
     ceil(share * rows) rows are held out; training rows are dealt to classes in proportion, by
-    largest remainder. Each class is cut at an order statistic of its hashes.
+    largest remainder. Each class is cut at an order statistic of its digests. Digests spread
+    evenly, so the cut lies near the class's share and only digests around it are ranked.
     """
-    hashed = _with_digest(df, keys, seed, "split").withColumn("_h", digest_number(F.col("_h")))
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    hashed = _with_digest(df, keys, seed, "split")
+    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
     total = sum(counts.values())
     train_total = total - math.ceil(share * total)
     quota = {c: train_total * n / total for c, n in counts.items()}
@@ -234,18 +235,37 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str] = (), label: str =
     by_remainder = sorted(quota, key=lambda c: (train[c] - quota[c], str(c)))
     for c in by_remainder[: train_total - sum(train.values())]:
         train[c] += 1
-    held = {c: counts[c] - train[c] for c in counts}
+    held = {c: counts[c] - train[c] for c in counts if counts[c] > train[c]}
+
+    digest = F.col("_h")
+    around = {c: _expected_cut(held[c], counts[c]) for c in held}
+    below, near = F.lit(False), F.lit(False)
+    for c, (low, high) in around.items():
+        own = F.col(label).eqNullSafe(F.lit(c))
+        below = below | (own & digest_below(digest, low))
+        near = near | (own & ~digest_below(digest, low) & digest_below(digest, high))
+    sizes = {r[label]: r for r in hashed.groupBy(label).agg(F.count_if(below).alias("below"), F.count_if(near).alias("near")).collect()}
+    skipped = {c: sizes[c]["below"] for c in held}
+    if any(not skipped[c] < held[c] <= skipped[c] + sizes[c]["near"] for c in held):
+        near, skipped = F.lit(True), dict.fromkeys(held, 0)  # some cut is elsewhere: rank all rows
+    ranked = hashed.where(near).select(label, digest_number(digest).alias("_n"))
     cuts = quantiles(
-        hashed.select(label, "_h"), "_h", [share], [label],
-        ranks=lambda group, n: [max(held[group[0]] - 1, 0)], **slicing,
+        ranked, "_n", [share], [label], ranks=lambda group, n: [held.get(group[0], 1) - skipped.get(group[0], 0) - 1], **slicing
     )
     test = F.lit(False)
     for r in cuts:
-        if held[r[label]]:
-            test = test | (F.col(label).eqNullSafe(F.lit(r[label])) & (F.col("_h") <= F.lit(int(r["q"][0]))))
+        if r[label] in held:
+            test = test | (F.col(label).eqNullSafe(F.lit(r[label])) & digest_below(digest, int(r["q"][0]) + 1))
     return hashed.where(~test).drop("_h"), hashed.where(test).drop("_h")
 
 
+def _expected_cut(held: int, rows: int) -> tuple[int, int]:
+    """Where the held-th smallest of `rows` even digests lies, six deviations to either side."""
+    share = held / rows
+    slack = 6 * math.sqrt(share * (1 - share) / rows) + 6 / rows
+    return int(max(share - slack, 0.0) * HASH_RANGE), int(min(share + slack, 1.0) * HASH_RANGE)
+
+
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """min(n, rows) rows: those with the smallest key hashes.
 
