@@ -49,6 +49,32 @@ def test_walk_equals_window(spark, by, descending):
     assert key(map(tuple, mine.select(*columns).collect())) == key(map(tuple, want.select(*columns).collect()))
 
 
+@pytest.mark.parametrize("hot", [None, "hot"])
+def test_null_series_are_series_of_their_own(spark, hot):
+    df = skewed(spark).withColumn("u", F.when(F.col("u") != "hot", F.col("u")).otherwise(F.lit(hot)))
+    df = df.withColumn("u", F.when(F.col("id") % 50 != 1, F.col("u"))).withColumn("k", F.col("id") % 2)
+    mine = walk(df, ["t", "id"], ["u", "k"], totals={"run": "x"}, overall={"all": "x"}, ahead={"nx": "x", "nt": "t"}, rows_per_slice=150)
+    want = naive(df, ["t", "id"], ["u", "k"], False)
+    columns = ("id", "u", "k", "run", "all", "nx", "nt")
+    key = lambda d: sorted(map(tuple, d.select(*columns).collect()), key=lambda r: r[0])
+    assert key(mine) == key(want)
+
+
+def test_walk_shuffles_large_side_once(spark):
+    """The join of the carry uses the window's partitioning: one exchange over the rows."""
+    df = skewed(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = walk(df, ["t", "id"], ["u"], ahead={"nt": "t"}, rows_per_slice=150)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    rows_side = plan.split("SortMergeJoin")[1].split("Filter (_slices")[0]
+    window = rows_side.split("Window [lead")[0]
+    assert "Exchange" not in window
+
+
 def test_walk_ahead_on_order_column_only(spark):
     df = skewed(spark)
     mine = walk(df, ["t", "id"], ["u"], ahead={"nt": "t"}, rows_per_slice=150)

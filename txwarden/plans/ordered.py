@@ -137,7 +137,7 @@ def slice_rows(
         if not large:
             return df.withColumn(SLICE, F.lit(0).cast("long")), False
         number = F.when(_in_series(by, large), number).otherwise(0)
-    return out.withColumn(SLICE, number.cast("long")).drop("_b0", "_b1"), True
+    return out.withColumn(SLICE, F.coalesce(number.cast("long"), F.lit(0))).drop("_b0", "_b1"), True
 
 
 def _in_series(by: Sequence[str], series: list[tuple]) -> Column:
@@ -157,12 +157,25 @@ def _sorted(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def _join_slices(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-slice values; the rows are already hashed on (by, slice) by their window.
+def _without_nulls(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], dict[str, Column]]:
+    """Make the series columns non-null: a value in place of NULL, and a flag beside it.
 
-    Null-safe equality adds no filter below the join, so both sides read the same shuffle.
+    A join on such keys needs neither null-safe rewriting nor an added filter, so it uses the
+    window's own partitioning and order, and both its sides read the same shuffle. Returns the
+    rows, the keys, and how to get the columns back.
     """
-    return _match(left, right, [*by, SLICE], "left")
+    keys, back = [], {}
+    for i, name in enumerate(by):
+        field, flag = df.schema[name], f"_null{i}"
+        keys.append(name)
+        if not field.nullable:
+            continue
+        stand_in = "1970-01-01" if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "0"
+        df = df.withColumn(flag, F.col(name).isNull())
+        df = df.withColumn(name, F.coalesce(name, F.lit(stand_in).cast(field.dataType)))
+        keys.append(flag)
+        back[name] = F.when(~F.col(flag), F.col(name))
+    return df, keys, back
 
 
 def _first_row(columns: dict[str, str], order: Sequence[str], descending: bool) -> Column:
@@ -194,7 +207,9 @@ def walk(
     """
     totals, ahead, overall = totals or {}, ahead or {}, overall or {}
     parts, several = slice_rows(df, order, by, **slicing)
-    group = Window.partitionBy(*by, SLICE)
+    parts, keys, back = _without_nulls(parts, by)
+    keys.append(SLICE)
+    group = Window.partitionBy(*keys)
     local = group.orderBy(*_sorted(order, descending))
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = F.struct(*[F.col(c).alias(name) for name, c in ahead.items()])
@@ -209,28 +224,26 @@ def walk(
         if ahead:
             facts.append(_first_row(ahead, order, descending).alias("_head"))
         # One row per slice of a series, so these windows are as short as the list of slices.
-        series = Window.partitionBy(*(by or [F.lit(0)]))
+        series = Window.partitionBy(*(keys[:-1] or [F.lit(0)]))
         along = series.orderBy(*_sorted([SLICE], descending))
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         carried = [F.sum(sums[c]).over(before).alias(f"_carry{i}") for i, c in enumerate(totals.values())]
         carried += [F.sum(sums[c]).over(series).alias(f"_all{i}") for i, c in enumerate(overall.values())]
         if ahead:
             carried.append(F.lead("_head").over(along).alias("_after"))
-        per_slice = parts.groupBy(*by, SLICE).agg(*facts)
+        per_slice = parts.groupBy(*keys).agg(*facts)
         # Series that lie in one slice carry nothing, so what is joined stays as small as the cuts.
-        carry = per_slice.select(*by, SLICE, F.count("*").over(series).alias("_slices"), *carried)
-        out = _join_slices(out, carry.where("_slices > 1"), by)
+        carry = per_slice.select(*keys, F.count("*").over(series).alias("_slices"), *carried)
+        out = out.join(carry.where("_slices > 1"), keys, "left")
         for i, name in enumerate(totals):
             out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"_carry{i}"), F.lit(0)))
         for i, name in enumerate(overall):
             out = out.withColumn(name, F.coalesce(f"_all{i}", name))
         if ahead:
             out = out.withColumn("_ahead", F.coalesce("_ahead", "_after"))
-    if ahead:
-        out = out.select("*", *[F.col("_ahead")[name].alias(name) for name in ahead])
-    extra = [SLICE, "_ahead", "_after", "_slices", *[f"_carry{i}" for i in range(len(totals))],
-             *[f"_all{i}" for i in range(len(overall))]]
-    return out.drop(*extra)
+    looked_up = [F.col("_ahead")[name].alias(name) for name in ahead]
+    kept = [back[c].alias(c) if c in back else F.col(c) for c in df.columns]
+    return out.select(*kept, *totals, *looked_up, *overall)
 
 
 def quantiles(
@@ -390,8 +403,8 @@ def _with_bounds(rows: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame
     )
 
 
-def _match(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
-    """Join on `by`, NULL groups included."""
+def _match(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join on `by`, NULL groups included."""
     if not by:
         only = right.first()
         return left.select("*", *[F.lit(only[c]).alias(c) for c in right.columns])
@@ -400,4 +413,4 @@ def _match(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner")
     on = F.lit(True)
     for name, other in names.items():
         on = on & left[name].eqNullSafe(renamed[other])
-    return left.join(renamed, on, how).drop(*names.values())
+    return left.join(renamed, on).drop(*names.values())
