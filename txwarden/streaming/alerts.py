@@ -21,10 +21,14 @@ CORRUPT = "_corrupt_record"
 
 def decode(df: DataFrame, schema: T.StructType = EVENT, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """JSON text to typed columns; other fields are dropped, unreadable text stays in
-    `_corrupt_record`."""
+    `_corrupt_record`.
+
+    `inline` parses each message once: filters on its columns are not pushed below it, where they
+    would parse the text again.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select(*keep, F.col(value).alias("_raw"), parsed.alias("_e")).select(*keep, "_raw", "_e.*")
+    out = df.select(*keep, F.col(value).alias("_raw"), F.inline(F.array(parsed)))
     # A missing message is as unreadable as a broken one.
     broken = F.when(F.col("_raw").isNull(), F.lit("")).otherwise(F.col(CORRUPT))
     return out.withColumn(CORRUPT, broken).drop("_raw")
