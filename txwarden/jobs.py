@@ -1,6 +1,6 @@
 """Jobs for spark-submit.
 
-    spark-submit --py-files txwarden.zip -m txwarden.jobs train --data s3a://bucket/creditcard.csv --model ... --runs ...
+    spark-submit --py-files txwarden.zip -m txwarden.jobs train --data s3a://.../transactions.csv --model ... --runs ...
 
     publish   CSV table to the transactions topic
     alerts    transactions topic, score with a saved model, alert topic
