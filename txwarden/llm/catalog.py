@@ -11,7 +11,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import txwarden
+from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
+from txwarden.llm.packing import packed
+from txwarden.llm.quality import judged
 from txwarden.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +57,22 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return languages(docs, learned(docs))
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+@query()
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
