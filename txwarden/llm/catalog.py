@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import txwarden
+from txwarden.llm.automaton import encoded
 from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
@@ -57,6 +58,18 @@ def query(sql: str | None = None):
     return add
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the box; elsewhere the operators take any byte-level file as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op3_tokenization_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(table(spark, folder, "documents"), vocabulary())
+
+
 @query()
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
