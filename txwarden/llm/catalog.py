@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import txwarden
 from txwarden.llm.automaton import encoded
+from txwarden.llm.bitpack import token_files
 from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
@@ -76,6 +77,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return languages(docs, learned(docs))
 
 
+@query()
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files(table(spark, folder, "documents"), vocabulary())
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
