@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import txwarden
 from txwarden.llm.automaton import encoded
 from txwarden.llm.bitpack import token_files
+from txwarden.llm.hosts import judged_urls
 from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
@@ -98,6 +99,11 @@ def op6_top_scores(spark: SparkSession, folder: str) -> DataFrame:
     return top_scores(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query()
+def op7_host_words(spark: SparkSession, folder: str) -> DataFrame:
+    return judged_urls(table(spark, folder, "pages"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents"))
