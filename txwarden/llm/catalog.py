@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import txwarden
+from txwarden.llm.archive import captures
 from txwarden.llm.automaton import encoded
 from txwarden.llm.bitpack import token_files
 from txwarden.llm.hosts import judged_urls
@@ -20,6 +21,7 @@ from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
 from txwarden.llm.pivots import top_scores
 from txwarden.llm.quality import judged
+from txwarden.llm.revisits import head_text, resolved
 from txwarden.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +71,44 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, to_timestamp(1704067200 + page_id) AT TIME ZONE 'UTC' AS first,
+         to_timestamp(1704067200 + page_id + 100000) AT TIME ZONE 'UTC' AS later FROM pages),
+q AS (
+  SELECT *, strftime(to_timestamp(1704067200 + page_id - length(html)) AT TIME ZONE 'UTC', '%a, %d %b %Y %H:%M:%S GMT') AS changed,
+         '"' || md5(html) || '"' AS tag, regexp_replace(regexp_replace(url, '^.*?://', '', 's'), '#.*$', '', 's') AS rest FROM p),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1, 's'), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'), x -> x <> '' AND
+           split_part(x, '=', 1) NOT IN ('fbclid', 'gclid', 'ref', 'utm_campaign', 'utm_content', 'utm_medium', 'utm_source', 'utm_term'))), '&') AS query FROM q),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END ELSE url END AS canon,
+         CASE WHEN contains(url, '?') THEN 0 WHEN starts_with(url, 'https://') THEN 1 ELSE 2 END AS kind FROM parts),
+r AS (
+  SELECT 2 * page_id AS record_id, canon AS url, first AS at, true AS whole, kind, tag, changed, html, strlen(html) AS size, later FROM c
+  UNION ALL SELECT 2 * page_id + 1, canon, later, false, kind, tag, changed, html, strlen(html), later FROM c),
+w AS (
+  SELECT *, last_value(CASE WHEN whole THEN {'record_id': record_id, 'tag': tag, 'changed': changed, 'digest': sha1(html), 'size': size} END IGNORE NULLS)
+    OVER (PARTITION BY url ORDER BY at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM r),
+s AS (
+  SELECT *, strftime(later, '%a, %d %b %Y %H:%M:%S GMT') AS date, chr(10) AS nl, CASE WHEN whole THEN 'full' WHEN url IS NULL OR e IS NULL THEN 'no response' WHEN kind = 0 THEN 'no validator'
+    WHEN (kind = 1 AND tag = e.tag) OR (kind = 2 AND changed = e.changed) THEN 'resolved' ELSE 'changed' END AS state FROM w)
+SELECT record_id, url, state, CASE state WHEN 'full' THEN record_id WHEN 'resolved' THEN e.record_id END AS response_id,
+  CASE state WHEN 'full' THEN sha1(html) WHEN 'resolved' THEN e.digest END AS digest,
+  CASE WHEN state = 'full' THEN concat('cache-control: max-age=60', nl, 'content-length: ', size, nl, 'content-type: text/html', nl, 'etag: ', tag, nl, 'last-modified: ', changed)
+    WHEN state = 'resolved' THEN concat('cache-control: max-age=120', nl, 'content-length: ', e.size, nl, 'content-type: text/html', nl, 'date: ', date, nl,
+      'etag: ', CASE WHEN kind = 1 THEN 'W/' || tag ELSE e.tag END, nl, 'last-modified: ', e.changed)
+    ELSE concat('cache-control: max-age=120', nl, 'connection: close', nl, 'content-type: text/plain', nl, 'date: ', date,
+      CASE kind WHEN 1 THEN nl || 'etag: W/' || tag WHEN 2 THEN nl || 'last-modified: ' || changed ELSE '' END) END AS head
+FROM s
+""")
+def op1_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = resolved(captures(table(spark, folder, "pages")))
+    return found.withColumn("head", head_text(F.col("fields"))).drop("fields")
+
+
 @query()
 def op3_tokenization_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(table(spark, folder, "documents"), vocabulary())
