@@ -20,6 +20,7 @@ from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
 from txwarden.llm.pivots import top_scores
+from txwarden.llm.pseudo import pseudo_likelihood
 from txwarden.llm.quality import judged
 from txwarden.llm.revisits import head_text, resolved
 from txwarden.llm.store import table
@@ -109,6 +110,11 @@ def op1_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("head", head_text(F.col("fields"))).drop("fields")
 
 
+@query()
+def op2_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, folder, "documents"))
+
+
 @query()
 def op3_tokenization_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(table(spark, folder, "documents"), vocabulary())
