@@ -72,9 +72,9 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@query("""
+@query(r"""
 WITH p AS (
-  SELECT page_id, url, coalesce(html, '') AS html, to_timestamp(1704067200 + page_id) AT TIME ZONE 'UTC' AS first,
+  SELECT page_id, url, coalesce(html, '') AS html, to_timestamp(1704067200 + page_id) AT TIME ZONE 'UTC' AS t0,
          to_timestamp(1704067200 + page_id + 100000) AT TIME ZONE 'UTC' AS later FROM pages),
 q AS (
   SELECT *, strftime(to_timestamp(1704067200 + page_id - length(html)) AT TIME ZONE 'UTC', '%a, %d %b %Y %H:%M:%S GMT') AS changed,
@@ -82,17 +82,17 @@ q AS (
 parts AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '') AS host,
          regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1, 's'), '/+$', '') AS path,
-         array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'), x -> x <> '' AND
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'), lambda x: x <> '' AND
            split_part(x, '=', 1) NOT IN ('fbclid', 'gclid', 'ref', 'utm_campaign', 'utm_content', 'utm_medium', 'utm_source', 'utm_term'))), '&') AS query FROM q),
 c AS (
   SELECT *, CASE WHEN contains(url, '://') THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END ELSE url END AS canon,
          CASE WHEN contains(url, '?') THEN 0 WHEN starts_with(url, 'https://') THEN 1 ELSE 2 END AS kind FROM parts),
 r AS (
-  SELECT 2 * page_id AS record_id, canon AS url, first AS at, true AS whole, kind, tag, changed, html, strlen(html) AS size, later FROM c
+  SELECT 2 * page_id AS record_id, canon AS url, t0 AS moment, true AS whole, kind, tag, changed, html, strlen(html) AS size, later FROM c
   UNION ALL SELECT 2 * page_id + 1, canon, later, false, kind, tag, changed, html, strlen(html), later FROM c),
 w AS (
   SELECT *, last_value(CASE WHEN whole THEN {'record_id': record_id, 'tag': tag, 'changed': changed, 'digest': sha1(html), 'size': size} END IGNORE NULLS)
-    OVER (PARTITION BY url ORDER BY at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM r),
+    OVER (PARTITION BY url ORDER BY moment, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM r),
 s AS (
   SELECT *, strftime(later, '%a, %d %b %Y %H:%M:%S GMT') AS date, chr(10) AS nl, CASE WHEN whole THEN 'full' WHEN url IS NULL OR e IS NULL THEN 'no response' WHEN kind = 0 THEN 'no validator'
     WHEN (kind = 1 AND tag = e.tag) OR (kind = 2 AND changed = e.changed) THEN 'resolved' ELSE 'changed' END AS state FROM w)
@@ -133,8 +133,8 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
