@@ -59,26 +59,30 @@ def test_roc_corners_carry_the_same_area(spark, rows):
 @given(ROWS)
 @SLOW
 def test_thresholds(spark, rows):
-    s, y, points = brute(rows)
-    pos = int(y.sum())
-    t = np.array(sorted(points))
-    prec = np.array([points[x][0] / sum(points[x]) for x in t])
-    rec = np.array([points[x][0] / pos for x in t])
-    f1 = 2 * (prec * rec) / (prec + rec + 1e-8)
+    """From the definitions, score by score."""
+    positives = sum(y for _, y in rows)
+    table = []
+    for cut in sorted({a / 12 for a, _ in rows}):
+        flagged = [y for a, y in rows if a / 12 >= cut]
+        table.append((cut, sum(flagged) / len(flagged), sum(flagged) / positives))
+    harmonic = lambda p, r: 0.0 if p + r == 0 else 2 / (1 / p + 1 / r) if p and r else 0.0
     curve = c.precision_recall_points(frame(spark, rows), "score").cache()
     best = c.best_f1_threshold(curve).first()
-    assert best["threshold"] == t[np.argmax(f1)] and best["f1"] == pytest.approx(f1.max())
+    top = max(harmonic(p, r) for _, p, r in table)
+    here = next((p, r) for cut, p, r in table if cut == best["threshold"])
+    assert harmonic(*here) == pytest.approx(top, abs=1e-6) and best["f1"] == pytest.approx(top, abs=1e-6)
     floor = c.precision_threshold(curve).first()["threshold"]
-    assert floor == (t[np.where(prec >= 0.5)[0][0]] if (prec >= 0.5).any() else 0.9)
+    enough = [cut for cut, p, _ in table if p >= 0.5]
+    assert floor == (min(enough) if enough else 0.9)
     for target in (0.4, 0.8, 2.0):
         found = c.search_objective(curve, target).first()
-        ok = prec >= target
-        if ok.any():
-            i = np.flatnonzero(ok)[np.argmax(rec[ok])]
-            plain = 2 * prec[i] * rec[i] / (prec[i] + rec[i]) if prec[i] + rec[i] else 0.0
-            assert found["reached"] and found["threshold"] == t[i] and found["f1"] == pytest.approx(plain)
+        allowed = [(r, -cut, p) for cut, p, r in table if p >= target]
+        assert found["reached"] == bool(allowed)
+        if allowed:
+            r, cut, p = max(allowed)
+            assert found["threshold"] == -cut and found["f1"] == pytest.approx(harmonic(p, r))
         else:
-            assert not found["reached"] and found["f1"] == pytest.approx(f1.max())
+            assert found["f1"] == pytest.approx(top, abs=1e-6)
 
 
 def test_one_class_gives_null(spark):

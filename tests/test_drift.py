@@ -52,9 +52,9 @@ def test_ks_tail_counts_merge_orders():
             every.append(brute_ks(a, b)[0])
         for dist in sorted(set(every)):
             want = np.mean([e >= dist - 1e-12 for e in every])
-            assert s.ks_two_sample_tail(dist, n, m) == pytest.approx(want)
+            assert s.ks_two_sample_tail(dist, n, m, exact=True) == pytest.approx(want)
     assert s.ks_two_sample_tail(0.0, 5, 5) == 1.0
-    exact, series = s.ks_two_sample_tail(0.05, 1000, 9000), s.ks_two_sample_tail(0.05, 1000, 10_001)
+    exact, series = s.ks_two_sample_tail(0.05, 1000, 9000, exact=True), s.ks_two_sample_tail(0.05, 1000, 9000)
     assert exact == pytest.approx(series, rel=0.1)
 
 
@@ -66,23 +66,47 @@ def test_chi_square_and_normal_tails():
     assert s.chi_square_tail(math.inf, 3) == 0.0 and s.chi_square_tail(0.0, 3) == 1.0
 
 
-def test_methods_follow_rows_and_values(spark):
-    rng = np.random.default_rng(2)
+def shifted(spark, n, shift):
+    rng = np.random.default_rng(n)
+    rows = zip(rng.normal(shift, 1, n), rng.integers(0, 2, n), rng.integers(0, 4, n))
+    return spark.createDataFrame([(float(a), int(b), int(c)) for a, b, c in rows], "many double, two int, four int")
 
-    def table(n, shift):
-        rows = zip(rng.normal(shift, 1, n), rng.integers(0, 2, n), rng.integers(0, 4, n))
-        return spark.createDataFrame([(float(a), int(b), int(c)) for a, b, c in rows], "many double, two int, four int")
 
-    columns = ["many", "two", "four"]
-    small = {r["column"]: r for r in d.column_drift(table(500, 0), table(400, 0.6), columns).collect()}
-    assert {c: small[c]["method"] for c in columns} == {"many": "ks", "two": "z", "four": "chisquare"}
-    assert small["many"]["drifted"] and small["many"]["score"] < 1e-6
-    old, new = table(1500, 0), table(800, 0.6)
-    large = {r["column"]: r for r in d.column_drift(old, new, columns).collect()}
-    assert {c: large[c]["method"] for c in columns} == {"many": "wasserstein", "two": "jensenshannon", "four": "jensenshannon"}
-    assert large["many"]["drifted"] and not large["two"]["drifted"]
-    quick = {r["column"]: r for r in d.column_drift(old, new, columns, precise=False).collect()}
-    assert {c: quick[c]["drifted"] for c in columns} == {c: large[c]["drifted"] for c in columns}
+COLUMNS = ["many", "two", "four"]
+NAMES = {d.TESTS: {"many": "ks", "two": "z", "four": "chisquare"},
+         d.DISTANCES: {"many": "wasserstein", "two": "jensenshannon", "four": "jensenshannon"}}
+
+
+@pytest.mark.parametrize("method", [d.TESTS, d.DISTANCES])
+@pytest.mark.parametrize("n", [500, 1000, 1001])
+def test_method_does_not_follow_the_size(spark, method, n):
+    got = {r["column"]: r for r in d.column_drift(shifted(spark, n, 0), shifted(spark, 400, 0.6), COLUMNS, method=method).collect()}
+    assert {c: got[c]["method"] for c in COLUMNS} == NAMES[method]
+    assert got["many"]["drifted"]
+
+
+def test_one_method_for_one_and_for_many_rows(spark):
+    one = spark.createDataFrame([(1.0,)], "a double")
+    many = spark.range(300_000).select((F.col("id") % 1000).cast("double").alias("a"))
+    for old in (one, many):
+        # a single value on both sides is a column of few values
+        assert d.column_drift(old, many, ["a"]).first()["method"] == "wasserstein"
+    assert d.column_drift(one, one, ["a"]).first()["method"] == "jensenshannon"
+
+
+def test_by_size_is_an_option(spark):
+    small = {r["column"]: r["method"] for r in d.column_drift(shifted(spark, 1000, 0), shifted(spark, 400, 0), COLUMNS, method=d.BY_SIZE).collect()}
+    large = {r["column"]: r["method"] for r in d.column_drift(shifted(spark, 1001, 0), shifted(spark, 400, 0), COLUMNS, method=d.BY_SIZE).collect()}
+    assert small == NAMES[d.TESTS] and large == NAMES[d.DISTANCES]
+    with pytest.raises(ValueError, match="unknown method"):
+        d.column_drift(shifted(spark, 5, 0), shifted(spark, 5, 0), COLUMNS, method="best")
+
+
+def test_bins_settle_the_same_flags(spark):
+    old, new = shifted(spark, 1500, 0), shifted(spark, 800, 0.6)
+    large = {r["column"]: r for r in d.column_drift(old, new, COLUMNS).collect()}
+    quick = {r["column"]: r for r in d.column_drift(old, new, COLUMNS, precise=False).collect()}
+    assert {c: quick[c]["drifted"] for c in COLUMNS} == {c: large[c]["drifted"] for c in COLUMNS}
     assert quick["many"]["score"] == pytest.approx(large["many"]["score"], abs=0.01)
 
 
@@ -108,7 +132,7 @@ def test_category_with_a_new_value(spark):
     new = spark.createDataFrame([(float(i % 4),) for i in range(80)], "a double")
     row = d.category_statistics(d.value_counts(d.both_sides(old, new, ["a"]))).first()
     assert row["chi_square"] == math.inf and row["values"] == 4
-    assert d.column_drift(old, new, ["a"]).first()["score"] == 0.0
+    assert d.column_drift(old, new, ["a"], method=d.TESTS).first()["score"] == 0.0
 
 
 def test_flags(spark):
@@ -138,17 +162,24 @@ def test_drift_job(spark, monitored, tmp_path):
 
     old, new, features = monitored
     summary = d.drift_job(old, new, features)
-    assert summary["column_drifts"]["V1"] and summary["column_drifts"]["Amount"] and not summary["column_drifts"]["V2"]
+    flags = {r["column"]: r["drifted"] for r in summary["columns"]}
+    assert flags == {"V1": True, "V2": False, "Amount": True, "target": True}
     assert summary["target_drift"] and summary["dataset_drift"] and summary["drift_detected"]
     assert summary["data_quality"]["duplicate_rows"] == 7 and summary["data_quality"]["total_rows"] == 507
-    write_summary(d.summary_frame(spark, summary, "r1"), str(tmp_path / "s"))
-    back = spark.read.json(str(tmp_path / "s")).first()
-    assert back["run_id"] == "r1" and back["column_drifts"]["V1"] and back["duplicate_rows"] == 7
+    for run in ("r1", "r2"):
+        write_summary(d.summary_frame(spark, summary, run), str(tmp_path / "s"))
+    back = {r["run_id"]: r for r in spark.read.schema(d.SUMMARY).json(str(tmp_path / "s")).collect()}
+    assert set(back) == {"r1", "r2"} and back["r1"]["column_drifts"] == flags and back["r1"]["duplicate_rows"] == 7
+    table = d.columns_frame(spark, summary, "r1").collect()
+    assert {r["column"]: r["drifted"] for r in table} == flags and all(r["method"] and r["threshold"] for r in table)
     cut = d.drift_job(old, new, features, target_cut=0.5)
-    assert cut["column_scores"]["target"] != summary["column_scores"]["target"]
+    score = lambda x: next(r["score"] for r in x["columns"] if r["column"] == "target")
+    assert score(cut) != score(summary)
 
 
-def test_too_few_rows(monitored):
+def test_too_few_rows(spark, monitored):
     old, new, features = monitored
     summary = d.drift_job(old, new.limit(60), features)
-    assert summary["status"] == "insufficient_data" and "60" in summary["message"]
+    row = d.summary_frame(spark, summary, "r").first()
+    assert (row["status"], row["total_rows"], row["minimum"], row["column_drifts"]) == ("insufficient_data", 60, 100, None)
+    assert d.columns_frame(spark, summary, "r").count() == 0

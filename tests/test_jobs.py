@@ -52,7 +52,7 @@ def test_alert_job_writes_alerts_log_and_dead_letters(spark, model_path, tmp_pat
                "--above", str((low + high) / 2), "--once"], spark)
     found = [json.loads(r["value"]) for r in spark.read.json(str(tmp_path / "out")).collect()]
     assert [f["transaction_id"] for f in found] == ["t1"]
-    log = spark.read.parquet(str(tmp_path / "log"))
+    log = jobs.read_log(spark, str(tmp_path / "log"))
     assert log.count() == 2 and log.where("fraud_detected").count() == sum(p > 0.5 for p in (low, high))
     assert spark.read.json(str(tmp_path / "dead")).first()["value"] == "{"
 
@@ -64,12 +64,15 @@ def test_drift_job_reads_both_log_formats(spark, card_csv, tmp_path):
         log.append(",".join([*[f"{x:.6f}" for x in rng.normal(1, 1, 29)], f"{rng.beta(2, 8):.4f}", "p", "2024-01-01T00:00:00", "False"]))
     (tmp_path / "log.csv").write_text("\n".join(log))
     summary = jobs.main(["drift", "--reference", str(card_csv), "--current", str(tmp_path / "log.csv"),
-                         "--summary", str(tmp_path / "s")], spark)
-    assert summary["drift_detected"] and len(summary["column_drifts"]) == 30
+                         "--summary", str(tmp_path / "s"), "--columns", str(tmp_path / "c")], spark)
+    assert summary["drift_detected"] and len(summary["columns"]) == 30
     assert spark.read.json(str(tmp_path / "s")).first()["numeric_columns"] == 30
+    assert spark.read.parquet(str(tmp_path / "c")).where("drifted").count() > 0
     short = jobs.main(["drift", "--reference", str(card_csv), "--current", str(tmp_path / "log.csv"),
-                       "--summary", str(tmp_path / "none"), "--minimum", "301"], spark)
-    assert short["status"] == "insufficient_data" and not (tmp_path / "none").exists()
+                       "--summary", str(tmp_path / "s"), "--minimum", "301"], spark)
+    assert short["status"] == "insufficient_data"
+    stored = spark.read.json(str(tmp_path / "s"))
+    assert stored.count() == 2 and stored.where("status = 'insufficient_data'").first()["total_rows"] == 300
 
 
 @pytest.mark.parametrize("by_time", [False, True])
@@ -83,5 +86,8 @@ def test_messages_are_numbered_in_order(spark, card_csv, by_time):
 def test_search_job(spark, card_csv, monkeypatch, tmp_path):
     space = {"maxDepth": (2, 3, "int"), "maxIter": (2, 3, "int"), "positiveWeight": (2.0, 9.0, "float")}
     monkeypatch.setattr("txwarden.plans.training.SEARCH_SPACE", space)
-    done = jobs.main(["search", "--data", str(card_csv), "--trials", "2", "--model", str(tmp_path / "m")], spark)
+    done = jobs.main(["search", "--data", str(card_csv), "--trials", "2", "--model", str(tmp_path / "m"), "--runs", str(tmp_path / "r")], spark)
+    logged = {r["key"]: r["value"] for r in spark.read.parquet(str(tmp_path / "r")).collect()}
+    assert logged["n_trials"] == "2" and logged["data_path"] == str(card_csv) and "best_maxDepth" in logged and "scaler_mean" in logged
+    assert {"train_samples", "val_samples", "report_samples", "f1_score", "f1_optimized_threshold", "precision_optimized_recall"} <= set(logged)
     assert len(done["trials"]) == 2 and set(done["best"]["params"]) == set(space)

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txwarden.plans import ordered
-from txwarden.plans.ordered import SLICE, quantiles, slice_rows, walk
+from txwarden.plans.ordered import SLICE, column_quantiles, quantiles, slice_rows, walk
 
 
 def rows_of(df, *columns):
@@ -122,7 +122,7 @@ def test_narrowed_quantiles_are_exact(spark, slicing):
     data += [("c", 1.0), ("c", None), ("d", None)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.95, 1.0]
-    got = {r["g"]: r["q"] for r in quantiles(df, "v", probs, ["g"], direct_rows=10, accuracy=50, **slicing)}
+    got = {r["g"]: r["q"] for r in quantiles(df, "v", probs, ["g"], accuracy=50, **slicing)}
     assert set(got) == {"a", "b", "c"}
     for g in "abc":
         values = [v for k, v in data if k == g and v is not None]
@@ -136,8 +136,27 @@ def test_a_missed_bracket_falls_back_to_the_whole_group(spark, monkeypatch):
         return F.array(F.max("_v"), F.max("_v"))  # a bracket that cannot hold the median
 
     monkeypatch.setattr(ordered.F, "percentile_approx", far_off)
-    assert quantiles(df, "v", [0.5], direct_rows=10)[0]["q"] == [49.5]
+    assert quantiles(df, "v", [0.5])[0]["q"] == [49.5]
 
 
 def test_quantiles_of_nothing(spark):
     assert quantiles(spark.createDataFrame([], "v double"), "v", [0.5]) == []
+
+
+@pytest.mark.parametrize("n", [1, 1000, 1001, 300_000])
+def test_one_method_at_every_size(spark, n):
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"), (F.col("id") % 2).alias("g"))
+    assert quantiles(df, "v", [0.5, 0.9])[0]["q"] == pytest.approx([(n - 1) * 0.5, (n - 1) * 0.9])
+    assert column_quantiles(df, ["v", "g"], [0.5])["v"] == pytest.approx([(n - 1) * 0.5])
+
+
+def test_columns_side_by_side(spark):
+    rng = np.random.default_rng(6)
+    data = [(float(a), int(b), None, float("nan") if i % 3 else float(i)) for i, (a, b) in enumerate(zip(rng.lognormal(3, 2, 3000), rng.integers(0, 4, 3000)))]
+    df = spark.createDataFrame(data, "a double, b int, c double, d double")
+    probs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    got = column_quantiles(df, ["a", "b", "c", "d"], probs, accuracy=50)
+    assert set(got) == {"a", "b", "d"}
+    for k, c in ((0, "a"), (1, "b"), (3, "d")):
+        values = [r[k] for r in data if r[k] == r[k]]
+        assert got[c] == pytest.approx(list(np.quantile(values, probs)))

@@ -12,8 +12,8 @@ from txwarden.schemas import EVENT, FEATURES
 from txwarden.sources import kafka
 from txwarden.sources.sinks import load_model, log_run, save_model
 from txwarden.streaming import alerts as a
-from txwarden.streaming.inference_log import append_log, log_rows, log_writer
-from txwarden.streaming.rates import batch_rate, detected_total, latest_rows, latest_writer, windowed_rate
+from txwarden.streaming.inference_log import append_log, log_rows, log_writer, read_log, write_log
+from txwarden.streaming.rates import batch_rate, detected_total, keep_latest, latest_rows, latest_writer, windowed_rate
 
 
 def event(i, amount=100.0, **extra):
@@ -89,26 +89,48 @@ def test_both_time_encodings(spark):
     assert [str(r[0]) for r in df.select(event_time("t").cast("string")).collect()] == ["2024-01-01 00:00:01"] * 2 + ["None"] * 2
 
 
-def test_log_replay_does_not_repeat_rows(spark, tmp_path):
+def test_log_keeps_the_rows_of_all_runs(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text('{"Amount": 1.0, "fraud_probability": 0.9}\n{"Amount": 2.0, "fraud_probability": 0.1}')
     source = spark.readStream.schema("Amount double, fraud_probability double").json(str(tmp_path / "in"))
     log = str(tmp_path / "log")
-    for checkpoint in ("c1", "c2"):  # a lost checkpoint replays batch 0
+    for checkpoint in ("c1", "c2", "c2"):  # the third start finds nothing new
         a.run_available(log_writer(source, log, str(tmp_path / checkpoint)))
-    rows = spark.read.parquet(log)
-    assert rows.count() == 2 and rows.select("prediction_id").distinct().count() == 1
-    assert [r["fraud_detected"] for r in rows.orderBy("Amount").collect()] == [True, False]
+    append_log(spark.createDataFrame([(3.0, 0.7)], "Amount double, fraud_probability double"), log)
+    rows = read_log(spark, log)
+    assert rows.count() == 5 and rows.select("prediction_id").distinct().count() == 3 and "batch" not in rows.columns
+    assert rows.where("fraud_detected").count() == 3
+
+
+def test_a_replayed_batch_replaces_its_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, 0.9), (2.0, 0.1)], "Amount double, fraud_probability double")
+    for _ in range(2):
+        write_log(rows, str(tmp_path / "l"), "run", 7)
+    assert read_log(spark, str(tmp_path / "l")).count() == 2
 
 
 def test_batch_log(spark, tmp_path):
     df = spark.createDataFrame([(1.0, 0.7)], "Amount double, fraud_probability double")
     append_log(df, str(tmp_path / "l"))
     append_log(df, str(tmp_path / "l"))
-    assert spark.read.parquet(str(tmp_path / "l")).count() == 2
+    assert read_log(spark, str(tmp_path / "l")).count() == 2
     assert log_rows(df, "p", "2024-01-01T00:00:00").columns == ["Amount", "prediction", "prediction_id", "timestamp", "fraud_detected"]
 
 
+def test_a_fresh_run_replaces_the_running_state(spark, tmp_path):
+    schema = "score double"
+    for k in range(3):
+        spark.createDataFrame([(0.9,)] * 10, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "old"))
+    spark.createDataFrame([(0.9,)] * 10, schema).coalesce(1).write.parquet(str(tmp_path / "new"))
+    out = str(tmp_path / "o")
+    for name, options in (("old", {"maxFilesPerTrigger": 1}), ("new", {})):
+        source = spark.readStream.schema(schema).options(**options).parquet(str(tmp_path / name))
+        a.run_available(latest_writer(detected_total(source, "score"), out, str(tmp_path / f"c-{name}")))
+    assert latest_rows(spark.read.parquet(out), []).first()["detected"] == 10
+    keep_latest(spark, out, [], str(tmp_path / "kept"))
+    assert [r["detected"] for r in spark.read.parquet(str(tmp_path / "kept")).collect()] == [10]
+
+
 def test_append_rates_equal_batch_once_closed(spark, tmp_path):
     rows = [(f"2024-01-01 00:{m:02d}:{s:02d}", "x") for m in range(0, 20) for s in (5, 35)]
     df = spark.createDataFrame(rows, "ts string, kind string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -155,6 +177,7 @@ def test_gaps(spark):
 def test_kafka_options():
     source = kafka.source_options("h:1", min_partitions=6)
     assert source["subscribe"] == "transactions" and source["startingOffsets"] == "latest" and source["minPartitions"] == "6"
+    assert "kafka.group.id" not in source
     sink = kafka.sink_options("h:1")
     assert sink["topic"] == "fraud_alerts" and sink["kafka.acks"] == "all" and sink["kafka.enable.idempotence"] == "true"
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from txwarden.operators.prepare import stratified_split
 from txwarden.operators.sla import latency_report, limit_checks
 from txwarden.plans import training as t
 from txwarden.sources.sinks import load_model, write_importances
@@ -26,21 +27,49 @@ def test_training_job(spark, rows, tmp_path):
     assert done["features"] == FEATURES
     assert done["metrics"]["roc_auc"] > 0.9 and 0 < done["metrics"]["f1_score"] <= 1
     assert {r["kind"] for r in done["thresholds"]} == {"f1_optimized", "precision_optimized"}
-    held = t.stratified_split(rows, ["id"])[1]
+    train, held, reported = t.three_way_split(rows, ["id"])
     both = t.score_rows(load_model(str(tmp_path / "m")), t.score_rows(done["model"], held, "before"), "after")
     assert both.where("before <> after").count() == 0 and both.count() == held.count()
     logged = {r["key"]: r["value"] for r in spark.read.parquet(str(tmp_path / "r")).collect()}
-    assert int(logged["val_samples"]) == held.count() and "f1_optimized_threshold" in logged
+    sizes = {"train_samples": train, "val_samples": held, "report_samples": reported}
+    assert {k: int(logged[k]) for k in sizes} == {k: part.count() for k, part in sizes.items()} and "f1_optimized_threshold" in logged
     assert float(logged["scale_pos_weight"]) > 1
 
 
 def test_scaler_is_fitted_on_training_rows_only(rows):
-    train, held = t.stratified_split(rows, ["id"])
+    train, held = stratified_split(rows, ["id"])
     model = t.fit_model(t.boosted_trees(**SMALL), train, FEATURES, held_out=held.withColumn("Amount", F.lit(1e9)))
     mean = train.agg(F.avg("Amount")).first()[0]
     assert repr(mean) in model.stages[0].getStatement()
 
 
+def test_missing_values_are_filled_by_training_medians(spark, rows, tmp_path):
+    gaps = rows.withColumn("V1", F.when(F.col("id") % 7 != 0, F.col("V1"))).withColumn("V2", F.when(F.col("id") % 5 != 0, F.col("V2")).otherwise(float("nan")))
+    gaps = gaps.withColumn("Amount", F.when(F.col("id") % 3 != 0, F.col("Amount"))).withColumn("V3", F.lit(None).cast("double"))
+    constants = t.fit_constants(gaps, FEATURES)
+    values = np.array([r[0] for r in gaps.select("V1").dropna().collect()])
+    assert abs((values < constants.medians["V1"]).mean() - 0.5) < 0.01 and constants.medians["V3"] == 0.0
+    for learner in t.three_learners(10, **SMALL).values():
+        model = t.fit_model(learner, gaps, FEATURES)
+        t.save_model(model, str(tmp_path / "m"))
+        scores = t.score_rows(load_model(str(tmp_path / "m")), gaps)
+        assert scores.where("fraud_probability BETWEEN 0 AND 1").count() == 1500 and scores.columns == [*gaps.columns, "fraud_probability"]
+
+
+def test_splits_hold_every_class(rows):
+    few = rows.withColumn("Class", (F.col("id") < 15).cast("int"))
+    parts = t.three_way_split(few, ["id"])
+    assert [p.count() for p in parts] == [960, 240, 300]
+    assert [p.where("Class = 1").count() for p in parts] == [10, 2, 3]
+
+
+def test_comparison_with_its_own_search(rows, monkeypatch):
+    space = {"maxDepth": (2, 3, "int"), "maxIter": (2, 3, "int"), "positiveWeight": (2.0, 9.0, "float")}
+    train, tuned, test = t.three_way_split(rows, ["id"])
+    table = t.tuned_comparison(train, tuned, test, FEATURES, trials=2, space=space)
+    assert table.count() == 3 and set(t.COMPARISON_SPACE) > set(space)
+
+
 def test_importances(spark, rows, tmp_path):
     model = t.fit_model(t.boosted_trees(**SMALL), rows, FEATURES)
     table = t.importances(model, FEATURES, spark)
@@ -51,14 +80,14 @@ def test_importances(spark, rows, tmp_path):
 
 
 def test_early_stopping_ends_boosting(rows):
-    train, held = t.stratified_split(rows, ["id"])
+    train, held = stratified_split(rows, ["id"])
     flat = held.withColumn("Class", (F.rand(1) < 0.5).cast("int"))
     model = t.fit_model(t.boosted_trees(maxIter=30, maxDepth=3), train, FEATURES, held_out=flat)
     assert model.stages[-1].getNumTrees < 30
 
 
 def test_comparison_and_quick_run(rows):
-    train, test = t.stratified_split(rows, ["id"])
+    train, test = stratified_split(rows, ["id"])
     table = {r["model"]: r for r in t.compare_learners(t.three_learners(**SMALL), train, test, FEATURES).collect()}
     assert set(table) == {"boosted_trees", "random_forest", "logistic_regression"}
     assert sum(r["best"] for r in table.values()) == 1
@@ -66,7 +95,7 @@ def test_comparison_and_quick_run(rows):
 
 
 def test_search_is_seeded_and_sorted(rows):
-    train, held = t.stratified_split(rows, ["id"])
+    train, held = stratified_split(rows, ["id"])
     space = {"maxDepth": (2, 4, "int"), "maxIter": (2, 4, "int")}
     found = t.search(train, held, FEATURES, trials=3, space=space)
     assert [f["value"] for f in found] == sorted((f["value"] for f in found), reverse=True)

@@ -107,15 +107,28 @@ def drift_distances_vectors(spark, folder) -> DataFrame:
     return out.select("column", F.round("ks", 6).alias("ks"))
 
 
-@query("A31")
+@query("A31", """
+WITH long AS (SELECT 'V' || i AS c, CAST(embedding[i] AS DOUBLE) AS v, label >= 5 AS cur
+              FROM embeddings, (SELECT CAST(range AS INTEGER) AS i FROM range(1, 65)))""" + DISTANCES + """
+, sizes AS (SELECT c, count_if(NOT cur) AS n, count_if(cur) AS m FROM long GROUP BY c),
+eff AS (SELECT c, ks, sqrt(n * m / (n + m)) AS s FROM dist JOIN sizes USING (c)),
+lam AS (SELECT c, (s + 0.12 + 0.11 / s) * ks AS l FROM eff),
+tail AS (SELECT c, CASE WHEN l < 0.2 THEN 1 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
+           lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0 * k * k * l * l))), 0), 1) END AS p FROM lam)
+SELECT c AS "column", 'ks' AS method, round(CAST(p AS DOUBLE), 6) AS score, CAST(0.05 AS DOUBLE) AS threshold, p < 0.05 AS drifted FROM tail""")
 def drift_tests_vectors(spark, folder) -> DataFrame:
-    return d.column_drift(*_vector_sides(spark, folder), VECTOR_COLUMNS)
+    return d.column_drift(*_vector_sides(spark, folder), VECTOR_COLUMNS, method=d.TESTS).withColumn("score", F.round("score", 6))
 
 
-@query("A31")
+@query("A31", """
+WITH s AS (SELECT quality, count(*) AS n, avg(toxic) AS p, sum(toxic) AS k FROM labels GROUP BY quality),
+z AS (SELECT (a.p - b.p) / sqrt((a.k + b.k) / (a.n + b.n) * (1 - (a.k + b.k) / (a.n + b.n)) * (1 / a.n + 1 / b.n)) AS z
+      FROM s a, s b WHERE a.quality = 1 AND b.quality = 0)
+SELECT 'toxic' AS "column", 'z' AS method, CAST(0.05 AS DOUBLE) AS threshold, abs(z) > 1.959963985 AS drifted FROM z""")
 def drift_tests_labels(spark, folder) -> DataFrame:
+    """The flag of the two-proportion test, against its critical value."""
     rows = table(spark, folder, "labels")
-    return d.column_drift(rows.where("quality = 1"), rows.where("quality = 0"), ["toxic"])
+    return d.column_drift(rows.where("quality = 1"), rows.where("quality = 0"), ["toxic"], method=d.TESTS).drop("score")
 
 
 @query("A30", "SELECT count(*) >= 100 AS enough, count(*) >= 1000000000 AS enough_for_more FROM events")
@@ -124,25 +137,55 @@ def row_gate(spark, folder) -> DataFrame:
     return spark.createDataFrame([(d.enough_rows(rows), d.enough_rows(rows, 1_000_000_000))], "enough boolean, enough_for_more boolean")
 
 
-@query("S7 A5 A6 A7 A9 A30 A31 A32 P6 P7 U1 U2", """
+EVENT_SIDES = """
 WITH sided AS (
   SELECT event_type IN ('click', 'view', 'error') AS cur, value AS "Amount", user_id,
          CASE WHEN event_type IN ('click', 'view', 'error') THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) / CAST(100 AS DOUBLE)
-              ELSE CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END END AS target FROM events),
-kept AS (SELECT DISTINCT cur, "Amount", user_id, target FROM sided),
+              ELSE CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END END AS target,
+         CASE WHEN event_type IN ('click', 'error') THEN 'x' END AS note FROM events)"""
+
+
+def _event_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
+    tx = transactions(spark, folder)
+    old = tx.where("event_type IN ('purchase', 'signup')").select(
+        "Amount", "user_id", (F.col("event_type") == "signup").cast("int").alias("Class")
+    )
+    note = F.when(F.col("event_type") != "view", F.lit("x")).alias("note")
+    new = tx.where("event_type IN ('click', 'view', 'error')").select("Amount", "user_id", F.col("score").alias("prediction"), note)
+    return old, new
+
+
+@query("S7 A5 A6 A7 A31 A32 U1 P6 P7", EVENT_SIDES + """
+, kept AS (SELECT DISTINCT cur, "Amount", user_id, target, note FROM sided),
 long AS (SELECT 'Amount' AS c, "Amount" AS v, cur FROM kept UNION ALL SELECT 'target', target, cur FROM kept)""" + DISTANCES + CATEGORIES + SCORES + """
-SELECT 'events' AS run_id, count_if(score >= 0.1) / count(*) >= 0.5 AS dataset_drift, bool_or(c = 'target' AND score >= 0.1) AS target_drift,
+, decided AS (SELECT *, score >= 0.1 AS f, count_if(score >= 0.1) OVER () / count(*) OVER () >= 0.5 AS dataset_drift,
+              bool_or(c = 'target' AND score >= 0.1) OVER () AS target_drift FROM scored)
+SELECT 'events' AS run_id, 'compared' AS status, dataset_drift, target_drift,
        (SELECT count(*) FROM sided WHERE cur) AS total_rows,
        (SELECT count(*) FROM sided WHERE cur) - (SELECT count(*) FROM kept WHERE cur) AS duplicate_rows,
-       CAST(3 AS BIGINT) AS numeric_columns FROM scored""")
+       CAST(3 AS BIGINT) AS numeric_columns, CAST(1 AS BIGINT) AS categorical_columns, (SELECT count_if(note IS NULL) FROM sided WHERE cur) AS missing_notes,
+       'string' AS note_type, c AS "column", method, round(score, 6) AS score, CAST(0.1 AS DOUBLE) AS threshold, f AS drifted, f AS flag FROM decided""")
 def drift_summary(spark, folder) -> DataFrame:
-    tx = transactions(spark, folder)
-    old = tx.where("event_type IN ('purchase', 'signup')").select(
-        "Amount", "user_id", (F.col("event_type") == "signup").cast("int").alias("Class")
+    """The stored summary beside the stored table of columns."""
+    path, columns = scratch_path(spark, "drift-summary"), scratch_path(spark, "drift-columns")
+    summary = d.drift_job(*_event_sides(spark, folder))
+    write_summary(d.summary_frame(spark, summary, "events"), path)
+    d.columns_frame(spark, summary, "events").write.mode("append").parquet(columns)
+    stored = spark.read.schema(d.SUMMARY).json(path)
+    joined = spark.read.parquet(columns).join(stored, "run_id")
+    return joined.select(
+        "run_id", "status", "dataset_drift", "target_drift", "total_rows", "duplicate_rows", F.col("numeric_columns").cast("long").alias("numeric_columns"),
+        F.col("categorical_columns").cast("long").alias("categorical_columns"), F.col("missing_values")["note"].alias("missing_notes"),
+        F.col("data_types")["note"].alias("note_type"), "column", "method", F.round("score", 6).alias("score"), "threshold", "drifted",
+        F.col("column_drifts")[F.col("column")].alias("flag"),
     )
-    new = tx.where("event_type IN ('click', 'view', 'error')").select("Amount", "user_id", F.col("score").alias("prediction"))
+
+
+@query("A30 S7", EVENT_SIDES + """
+SELECT r AS run_id, 'insufficient_data' AS status, count_if(cur) AS total_rows, CAST(1000000000000 AS BIGINT) AS minimum FROM sided, (VALUES ('one'), ('two')) t(r) GROUP BY r""")
+def drift_gate(spark, folder) -> DataFrame:
+    """Runs stopped by the gate are stored as well, one after the other."""
     path = scratch_path(spark, "drift-summary")
-    write_summary(d.summary_frame(spark, d.drift_job(old, new), "events"), path)
-    return spark.read.json(path).select(
-        "run_id", "dataset_drift", "target_drift", "total_rows", "duplicate_rows", "numeric_columns"
-    )
+    for run in ("one", "two"):
+        write_summary(d.summary_frame(spark, d.drift_job(*_event_sides(spark, folder), minimum=10**12), run), path)
+    return spark.read.schema(d.SUMMARY).json(path).select("run_id", "status", "total_rows", "minimum")

@@ -12,6 +12,7 @@ from txwarden.operators.prepare import (
     drop_repeats, fill_medians, medians, sample_rows, stratified_split, stratified_split_exact,
 )
 from txwarden.operators.sla import latency_report, limit_checks
+from txwarden.plans.training import three_way_split
 
 
 @query("A1", "SELECT count(*) AS total_rows FROM lineitem")
@@ -61,15 +62,22 @@ def repeated_rows(spark, folder) -> DataFrame:
     return p.duplicate_rows(table(spark, folder, "lineitem").select("l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"))
 
 
-@query("A7", """
-SELECT CAST(count_if(data_type IN ('BIGINT', 'INTEGER', 'DOUBLE')) AS INTEGER) AS numeric_columns,
-       CAST(count_if(data_type = 'VARCHAR') AS INTEGER) AS categorical_columns
-FROM (SELECT unnest([typeof(l_orderkey), typeof(l_partkey), typeof(l_suppkey), typeof(l_linenumber), typeof(l_quantity),
-  typeof(l_extendedprice), typeof(l_discount), typeof(l_tax), typeof(l_returnflag), typeof(l_linestatus), typeof(l_shipdate)])
-  AS data_type FROM (SELECT * FROM lineitem LIMIT 1))""")
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
+@query("A5 A7", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CASE WHEN any_value(typeof({c})) IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'number'
+       WHEN any_value(typeof({c})) = 'VARCHAR' THEN 'text' ELSE 'other' END AS kind, count(*) - count({c}) AS missing FROM lineitem""" for c in LINE_COLUMNS))
 def column_kind_counts(spark, folder) -> DataFrame:
-    kinds = p.column_kinds(table(spark, folder, "lineitem"))
-    return spark.createDataFrame([(kinds["numeric_columns"], kinds["categorical_columns"])], "numeric_columns int, categorical_columns int")
+    """Kind and gaps of every column."""
+    rows = table(spark, folder, "lineitem")
+    kinds = p.column_kinds(rows)["data_types"]
+    named = {"bigint": "number", "int": "number", "double": "number", "string": "text"}
+    frame = spark.createDataFrame([(c, named.get(k, "other")) for c, k in kinds.items()], "column string, kind string")
+    return p.missing_values(rows).join(F.broadcast(frame), "column").select("column", "kind", "missing")  # one row per column
 
 
 @query("A8", SALES + """
@@ -110,7 +118,8 @@ def days_covered(spark, folder) -> DataFrame:
 
 
 @query("A12", TX + """
-, long AS (SELECT 'Amount' AS c, "Amount" AS v, "Class" AS y FROM tx UNION ALL SELECT 'Time', "Time" / 3600, "Class" FROM tx),
+, long AS (SELECT 'Amount' AS c, "Amount" AS v, "Class" AS y FROM tx UNION ALL SELECT 'Time', "Time" / 3600, "Class" FROM tx
+         UNION ALL SELECT 'score', score, "Class" FROM tx),
 ends AS (SELECT c, min(v) AS lo, max(v) AS hi FROM long GROUP BY c),
 edges AS (SELECT c, CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 50) AS low,
                  CASE WHEN i = 49 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 50) END AS high FROM ends, range(50) r(i))
@@ -120,7 +129,7 @@ FROM edges e LEFT JOIN long l ON l.c = e.c AND l.v >= e.low AND (l.v < e.high OR
 GROUP BY ALL""")
 def class_histograms(spark, folder) -> DataFrame:
     tx = transactions(spark, folder).withColumn("Time", F.col("Time") / 3600)
-    out = p.histograms(tx, ["Amount", "Time"])
+    out = p.histograms(tx, ["Amount", "Time", "score"])
     return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
@@ -163,6 +172,24 @@ def split_exact(spark, folder) -> DataFrame:
     return train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
 
 
+@query("U3", TX + f"""
+, n AS (SELECT "Class", count(*) AS n FROM tx GROUP BY "Class"),
+total AS (SELECT CAST(sum(n) AS BIGINT) AS t FROM n),
+q1 AS (SELECT "Class", n, t - ceil(0.2 * t) AS keep, (t - ceil(0.2 * t)) * n / t AS q FROM n, total),
+d1 AS (SELECT "Class", n, floor(q) + CASE WHEN row_number() OVER (ORDER BY floor(q) - q, "Class") <= keep - sum(floor(q)) OVER () THEN 1 ELSE 0 END AS rest FROM q1),
+t2 AS (SELECT CAST(sum(rest) AS BIGINT) AS t FROM d1),
+q2 AS (SELECT "Class", n, rest, t - ceil(0.2 * t) AS keep, (t - ceil(0.2 * t)) * rest / t AS q FROM d1, t2),
+d2 AS (SELECT "Class", n, rest, floor(q) + CASE WHEN row_number() OVER (ORDER BY floor(q) - q, "Class") <= keep - sum(floor(q)) OVER () THEN 1 ELSE 0 END AS train FROM q2)
+SELECT "Class", CAST(train AS BIGINT) AS train, CAST(rest - train AS BIGINT) AS tuned, CAST(n - rest AS BIGINT) AS reported FROM d2""")
+def job_splits(spark, folder) -> DataFrame:
+    """Rows of each class in the three parts that the training jobs use."""
+    names = ["train", "tuned", "reported"]
+    parts = three_way_split(transactions(spark, folder).select("event_id", "Class"), ["event_id"])
+    every = [part.select("Class", F.lit(name).alias("side")) for name, part in zip(names, parts)]
+    both = every[0].unionByName(every[1]).unionByName(every[2])
+    return both.groupBy("Class").agg(*[F.count_if(F.col("side") == name).alias(name) for name in names])
+
+
 @query("U4", TX + f'SELECT event_id, "Amount" FROM tx ORDER BY {_hash("sample")}, event_id LIMIT 500')
 def seeded_sample(spark, folder) -> DataFrame:
     return sample_rows(transactions(spark, folder).select("event_id", "Amount"), 500, ["event_id"])

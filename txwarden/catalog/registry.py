@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txwarden.session import name_local_scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,7 +27,12 @@ def query(covers: str, sql: str | None = None):
     """Register a function under its own name."""
 
     def add(run: Query) -> Query:
-        ENTRIES[run.__name__] = Entry(run, tuple(covers.split()), sql)
+        @wraps(run)
+        def ready(spark: SparkSession, folder: str) -> DataFrame:
+            name_local_scratch(spark)
+            return run(spark, folder)
+
+        ENTRIES[run.__name__] = Entry(ready, tuple(covers.split()), sql)
         return run
 
     return add

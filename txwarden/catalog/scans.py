@@ -9,35 +9,62 @@ from pyspark.sql import types as T
 from txwarden.catalog.inputs import GAPPED, TX, gapped, transactions, vectors
 from txwarden.catalog.registry import query
 from txwarden.functions.expressions import event_time, is_alert, is_detected, label_text
-from txwarden.operators.prepare import AmountScaler, align, prepare_training, project_features, with_target
+from txwarden.operators.prepare import AmountScaler, align, prepare_training, project_features, target_column
 from txwarden.operators.profile import class_balance
 from txwarden.operators.sequence import head_rows, number_rows, send_gaps, sort_by_time, with_metadata
 from txwarden.schemas import LABELLED
 from txwarden.session import scratch_path
 from txwarden.sources.kafka import to_records
-from txwarden.sources.sinks import metrics_long
+from txwarden.sources.sinks import log_run, metrics_long
 from txwarden.sources.tables import read_csv, read_transactions
 from txwarden.streaming.alerts import alert_messages, alerts, dead_letters, decode, enrich, readable
 
 CSV_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), *LABELLED.fields])
-COLUMNS = ["event_id", "Time", "Amount", "Class", "score"]
+COLUMNS = ["event_id", "Time", "Amount", "Class", "score", "event_type"]
 
 
-def _as_csv(spark: SparkSession, folder: str) -> str:
-    path = scratch_path(spark, "transactions-csv")
-    transactions(spark, folder).select(*COLUMNS).write.option("header", "true").csv(path)
+def _as_csv(rows: DataFrame) -> str:
+    path = scratch_path(rows.sparkSession, "transactions-csv")
+    rows.write.option("header", "true").csv(path)
     return path
 
 
-@query("S1 S11", TX + 'SELECT event_id, "Time", "Amount", "Class", score FROM tx')
+def _plain(spark, folder) -> DataFrame:
+    """Labels written as 0.0 and 1.0, a text column and a number that no schema declares."""
+    return transactions(spark, folder).select(*COLUMNS).withColumn("Class", F.col("Class").cast("double"))
+
+
+@query("S1 S11", TX + 'SELECT event_id, "Time", "Amount", "Class", score, event_type FROM tx')
 def csv_scan(spark, folder) -> DataFrame:
-    return read_csv(spark, _as_csv(spark, folder), CSV_SCHEMA)
+    return read_csv(spark, _as_csv(_plain(spark, folder)), CSV_SCHEMA)
+
+
+@query("S1", TX + 'SELECT event_id, "Time", "Amount", "Class", event_type FROM tx')
+def csv_other_orders(spark, folder) -> DataFrame:
+    """A folder whose files have their columns in different orders, read by name."""
+    rows, path = _plain(spark, folder).drop("score"), scratch_path(spark, "transactions-csv")
+    rows.where("event_id % 2 = 0").write.option("header", "true").csv(path)
+    rows.where("event_id % 2 = 1").select(*reversed(rows.columns)).write.mode("append").option("header", "true").csv(path)
+    return read_csv(spark, path, CSV_SCHEMA, by_name=True)
+
+
+@query("S1", TX + """
+SELECT event_type, count(*) AS n, CAST(count_if(event_type IN ('view', 'error')) AS BIGINT) AS malformed,
+       CAST(count_if(event_type <> 'view') AS BIGINT) AS amounts, CAST(count_if(event_type <> 'error') AS BIGINT) AS labels FROM tx GROUP BY event_type""")
+def csv_malformed(spark, folder) -> DataFrame:
+    """Text where a number should be, and a label that is no whole number: NULL, marked, and counted."""
+    rows = _plain(spark, folder)
+    rows = rows.withColumn("Amount", F.when(F.col("event_type") == "view", F.lit("abc")).otherwise(F.col("Amount").cast("string")))
+    rows = rows.withColumn("Class", F.when(F.col("event_type") == "error", F.lit(0.5)).otherwise(F.col("Class")))
+    read = read_csv(spark, _as_csv(rows), CSV_SCHEMA, most_malformed=1.0, keep_malformed=True)
+    return read.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count("_corrupt_record").alias("malformed"), F.count("Amount").alias("amounts"), F.count("Class").alias("labels"))
 
 
-@query("S2 T1 W1", TX + """
+@query("S2 W1", TX + """
 SELECT event_id, "Time", "Class", row_number() OVER (ORDER BY "Time", event_id) AS number FROM tx""")
 def csv_scan_in_time_order(spark, folder) -> DataFrame:
-    df = read_transactions(spark, _as_csv(spark, folder), CSV_SCHEMA, by_time=True, tiebreak=["event_id"])
+    df = read_transactions(spark, _as_csv(_plain(spark, folder)), CSV_SCHEMA, by_time=True, tiebreak=["event_id"])
     return number_rows(df, ["Time", "event_id"]).select("event_id", "Time", "Class", "number")
 
 
@@ -161,8 +188,8 @@ def aligned_tables(spark, folder) -> DataFrame:
 
 @query("P7", 'SELECT count(*) AS n, 0 AS target FROM embeddings')
 def dummy_target(spark, folder) -> DataFrame:
-    rows = with_target(vectors(spark, folder).select("V1"), "prediction")
-    return rows.groupBy("target").agg(F.count("*").alias("n"))
+    rows = vectors(spark, folder)
+    return rows.select(target_column(rows, "prediction")).groupBy("target").agg(F.count("*").alias("n"))
 
 
 @query("P15 P16", TX + """
@@ -174,7 +201,7 @@ def fraud_hours(spark, folder) -> DataFrame:
 
 
 @query("S9", TX + """
-SELECT 'balance' AS run_id, 'metric' AS kind, u.key, u.number FROM (
+SELECT 'balance' AS run_id, 'metric' AS kind, u.key, round(u.number, 6) AS number FROM (
   SELECT CAST(sum("Class") AS DOUBLE) AS fraud_count, CAST(count(*) AS DOUBLE) AS total_count,
          sum("Class") / count(*) * 100 AS fraud_rate, (count(*) - sum("Class")) / sum("Class") AS imbalance_ratio FROM tx) t,
   LATERAL (VALUES ('fraud_count', fraud_count), ('total_count', total_count), ('fraud_rate', fraud_rate),
@@ -182,7 +209,9 @@ SELECT 'balance' AS run_id, 'metric' AS kind, u.key, u.number FROM (
 def logged_run(spark, folder) -> DataFrame:
     path = scratch_path(spark, "runs")
     metrics_long(class_balance(transactions(spark, folder)), "balance").write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    log_run(spark, path, "other", {"depth": 6}, {"fraud_rate": 0.5})
+    stored = spark.read.parquet(path).where("run_id = 'balance'")
+    return stored.select("run_id", "kind", "key", F.round(F.col("value").cast("double"), 6).alias("number"))
 
 
 # The last row has no successor and waits the fixed delay.

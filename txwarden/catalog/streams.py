@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txwarden.catalog.inputs import TX, table, transactions
 from txwarden.catalog.registry import query
 from txwarden.operators.prepare import AmountScaler
+from txwarden.plans.training import fit_model, score_rows
 from txwarden.session import scratch_path
-from txwarden.streaming.alerts import alerts, enrich, file_writer, read_stream_table, run_available
-from txwarden.streaming.inference_log import log_writer
-from txwarden.streaming.rates import batch_rate, detected_total, latest_rows, latest_writer, windowed_rate
+from txwarden.sources.sinks import load_model, save_model
+from txwarden.streaming.alerts import Outputs, alerts, enrich, file_writer, read_stream_table, run_available, scored_writer
+from txwarden.streaming.inference_log import append_log, log_writer, read_log
+from txwarden.streaming.rates import batch_rate, detected_total, latest_rows, latest_writer, minute_counts, rates_of_minutes
 
 
 def _stream(spark, folder) -> DataFrame:
@@ -25,7 +29,7 @@ def _scored(spark, folder) -> DataFrame:
     return enrich(rows, lambda d: d.withColumn("fraud_probability", F.col("score")), ["Amount"])
 
 
-@query("R1 S3 S4", TX + 'SELECT event_id, "Amount", score AS fraud_probability, score > 0.5 AS fraud_detected FROM tx WHERE score > 0.8')
+@query("R1", TX + 'SELECT event_id, "Amount", score AS fraud_probability, score > 0.5 AS fraud_detected FROM tx WHERE score > 0.8')
 def streamed_alerts(spark, folder) -> DataFrame:
     out = scratch_path(spark, "alerts")
     found = alerts(_scored(spark, folder)).select("event_id", "Amount", "fraud_probability", "fraud_detected")
@@ -33,12 +37,31 @@ def streamed_alerts(spark, folder) -> DataFrame:
     return spark.read.schema(found.schema).parquet(out)
 
 
-@query("S6 P8", TX + 'SELECT event_id, "Amount", score AS prediction, score > 0.5 AS fraud_detected, TRUE AS stamped FROM tx')
+LOG = 'SELECT event_id, "Amount", score AS prediction, score > 0.5 AS fraud_detected, TRUE AS stamped FROM tx'
+
+
+def _logged(spark, path) -> DataFrame:
+    stamped = F.col("prediction_id").isNotNull() & F.col("timestamp").isNotNull()
+    return read_log(spark, path).select("event_id", "Amount", "prediction", "fraud_detected", stamped.alias("stamped"))
+
+
+@query("S6 P8", TX + LOG)
 def streamed_log(spark, folder) -> DataFrame:
     out = scratch_path(spark, "inference-log")
     run_available(log_writer(_scored(spark, folder).select("event_id", "Amount", "fraud_probability"), out, scratch_path(spark, "log-checkpoint")))
-    stamped = F.col("prediction_id").isNotNull() & F.col("timestamp").isNotNull()
-    return spark.read.parquet(out).select("event_id", "Amount", "prediction", "fraud_detected", stamped.alias("stamped"))
+    return _logged(spark, out)
+
+
+@query("S6", TX + f"{LOG} UNION ALL {LOG} UNION ALL {LOG} WHERE score > 0.8")
+def streamed_log_two_runs(spark, folder) -> DataFrame:
+    """Two queries with checkpoints of their own and a batch append share one log: it holds the rows of all three."""
+    out = scratch_path(spark, "inference-log")
+    rows = _scored(spark, folder).select("event_id", "Amount", "fraud_probability")
+    for _ in range(2):
+        run_available(log_writer(rows, out, scratch_path(spark, "log-checkpoint")))
+    batch = transactions(spark, folder).select("event_id", "Amount", F.col("score").alias("fraud_probability"))
+    append_log(batch.where("fraud_probability > 0.8"), out)
+    return _logged(spark, out)
 
 
 @query("A28", TX + "SELECT CAST(count_if(score > 0.5) AS BIGINT) AS detected FROM tx")
@@ -48,6 +71,59 @@ def streamed_detections(spark, folder) -> DataFrame:
     return latest_rows(spark.read.parquet(out), [])
 
 
+@query("A28", TX + "SELECT CAST(count_if(score > 0.5) AS BIGINT) AS detected FROM tx WHERE event_type <> 'error'")
+def streamed_detections_two_runs(spark, folder) -> DataFrame:
+    """A first run over all events in several batches, then a fresh one over fewer: the state of the fresh one counts."""
+    out, source = scratch_path(spark, "detections"), scratch_path(spark, "detection-events")
+    table(spark, folder, "events").repartition(3).write.parquet(source)
+    schema = table(spark, folder, "events").schema
+    score = F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)
+    rows = read_stream_table(spark, source, schema, maxFilesPerTrigger=1)
+    run_available(latest_writer(detected_total(rows, score), out, scratch_path(spark, "detections-checkpoint")))
+    fewer = _stream(spark, folder).where("event_type <> 'error'")
+    run_available(latest_writer(detected_total(fewer, "score"), out, scratch_path(spark, "detections-checkpoint")))
+    return latest_rows(spark.read.parquet(out), [])
+
+
+EVENT_FIELDS = T.StructType([T.StructField("Amount", T.DoubleType()), T.StructField("Size", T.DoubleType()), T.StructField("transaction_id", T.StringType())])
+
+
+@query("R1 P1 P9 P10 M4 S10", TX + """
+SELECT count(*) AS messages, CAST(count_if(event_type = 'signup') AS BIGINT) AS dead,
+       CAST(count_if(event_type = 'view') AS BIGINT) AS failed, CAST(count_if(event_type NOT IN ('signup', 'view')) AS BIGINT) AS scored,
+       CAST(0 AS BIGINT) AS outside, TRUE AS each_once, TRUE AS alerts_are_logged FROM tx""")
+def streamed_scoring(spark, folder) -> DataFrame:
+    """JSON messages through a saved model: each one ends in exactly one of log and dead letters, and alerts are the
+    logged rows above the limit. Sign-ups are cut off, views lack a feature."""
+    tx = transactions(spark, folder)
+    sized = tx.withColumn("Size", F.length("event_type").cast("double"))
+    path = scratch_path(spark, "stream-model")
+    save_model(fit_model(LogisticRegression(maxIter=100), sized, ["Amount", "Size"]), path)
+    model = load_model(path)
+    text = F.to_json(F.struct("Amount", F.when(F.col("event_type") != "view", F.col("Size")).alias("Size"), F.col("event_id").cast("string").alias("transaction_id")))
+    cut = F.when(F.col("event_type") == "signup", F.concat(F.lit("{"), F.col("event_id").cast("string"))).otherwise(text)
+    source = scratch_path(spark, "messages")
+    sized.select(cut.alias("value")).write.text(source)
+    outputs = Outputs(*[scratch_path(spark, name) for name in ("scored-log", "scored-dead", "scored-alerts")])
+    messages = spark.readStream.text(source)
+    run_available(scored_writer(messages, lambda rows: score_rows(model, rows), outputs, scratch_path(spark, "scored-checkpoint"),
+                                above=0.5, schema=EVENT_FIELDS, features=["Amount", "Size"]))
+    log = read_log(spark, outputs.log).persist()
+    dead = spark.read.schema("value string").json(outputs.dead)
+    found = spark.read.schema("value string").json(outputs.alerts).select(F.get_json_object("value", "$.transaction_id").alias("id"))
+    ids = log.select(F.col("transaction_id").alias("id")).union(dead.select(F.substring("value", 2, 20).alias("id")))
+    want = tx.select(F.col("event_id").cast("string").alias("id"))
+    once = ids.exceptAll(want).isEmpty() and want.exceptAll(ids).isEmpty()
+    above = log.where("prediction > 0.5").select(F.col("transaction_id").alias("id"))
+    same = found.exceptAll(above).isEmpty() and above.exceptAll(found).isEmpty()
+    p = F.col("prediction")
+    facts = log.agg(F.count_if(p == -1).alias("failed"), F.count_if(p >= 0).alias("scored"), F.count_if((p != -1) & ((p < 0) | (p > 1))).alias("outside"))
+    return facts.select(
+        F.lit(want.count()).alias("messages"), F.lit(dead.count()).alias("dead"), "failed", "scored", "outside",
+        F.lit(once).alias("each_once"), F.lit(same).alias("alerts_are_logged"),
+    )
+
+
 RATES = """
 SELECT date_trunc('minute', ts) - INTERVAL (k) MINUTE AS window_start, date_trunc('minute', ts) + INTERVAL (5 - k) MINUTE AS window_end,
        event_type, count(*) AS n, count(*) / CAST(300 AS DOUBLE) AS per_second FROM tx, range(5) r(k) GROUP BY ALL"""
@@ -64,11 +140,12 @@ def event_rates(spark, folder) -> DataFrame:
 
 @query("R2", TX + RATES)
 def streamed_rates(spark, folder) -> DataFrame:
+    """The stream keeps counts per minute; the sliding windows are made of those."""
     out = scratch_path(spark, "rates")
-    rates = windowed_rate(_stream(spark, folder), "ts", ["event_type"], late="10 minutes")
-    run_available(latest_writer(rates, out, scratch_path(spark, "rates-checkpoint")))
-    newest = latest_rows(spark.read.parquet(out), ["window_start", "window_end", "event_type"])
-    return _plain(newest)
+    minutes = minute_counts(_stream(spark, folder), "ts", ["event_type"], late="10 minutes")
+    run_available(latest_writer(minutes, out, scratch_path(spark, "rates-checkpoint")))
+    newest = latest_rows(spark.read.parquet(out), ["minute", "event_type"])
+    return _plain(rates_of_minutes(newest, ["event_type"]))
 
 
 @query("R1 M1", TX + """

@@ -3,10 +3,10 @@
     spark-submit --py-files txwarden.zip -m txwarden.jobs train --data s3a://.../transactions.csv --model ... --runs ...
 
     publish   CSV table to the transactions topic
-    alerts    transactions topic, score with a saved model, alert topic
+    alerts    transactions topic, score with a saved model: alert topic, inference log, unreadable messages
     train     split, scale, fit, evaluate, save, log
-    search    random search, then the same
-    drift     training table against inference log, summary as JSON
+    search    random search, then fit, evaluate, save and log
+    drift     training table against inference log, summary as JSON, columns as a table
 """
 
 from __future__ import annotations
@@ -17,19 +17,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from txwarden.functions.expressions import ALERT_ABOVE
-from txwarden.operators.drift import MIN_ROWS, drift_job, summary_frame
+from txwarden.operators.drift import BY_SIZE, DISTANCES, MIN_ROWS, TESTS, columns_frame, drift_job, summary_frame
 from txwarden.operators.prepare import sample_rows
 from txwarden.operators.sequence import number_rows, with_metadata
 from txwarden.plans.training import importances, optimized_training_job, quick_training_job, score_rows, training_job
 from txwarden.schemas import INFERENCE_LOG
 from txwarden.session import build_session
 from txwarden.sources import kafka
-from txwarden.sources.sinks import load_model, save_model, write_importances, write_summary
+from txwarden.sources.sinks import load_model, write_importances, write_summary
 from txwarden.sources.tables import read_csv, read_transactions
-from txwarden.streaming.alerts import alert_messages, alerts, dead_letters, decode, enrich, file_writer, readable
-from txwarden.streaming.inference_log import log_writer
+from txwarden.streaming.alerts import Outputs, scored_writer
+from txwarden.streaming.inference_log import read_log
 
 
 def message_records(df: DataFrame, by_time: bool = False) -> DataFrame:
@@ -48,24 +49,12 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     kafka.publish(message_records(df, args.by_time), args.servers, args.topic)
 
 
-def start_alerts(messages: DataFrame, args: argparse.Namespace) -> list:
-    """Start the alert query, and those for the inference log and unreadable messages if asked for."""
+def start_alerts(messages: DataFrame, args: argparse.Namespace) -> StreamingQuery:
+    """One query scores each message once and writes alerts, log and unreadable messages."""
     model = load_model(args.model)
-    decoded = decode(messages)
-    scored = enrich(readable(decoded), lambda rows: score_rows(model, rows))
-    found = alert_messages(alerts(scored, args.above))
-    if args.servers:
-        writer = kafka.alert_writer(found, args.servers, f"{args.checkpoint}/alerts", args.out)
-    else:
-        writer = file_writer(found, args.out, f"{args.checkpoint}/alerts", "json")
-    writers = [writer]
-    if args.log:
-        writers.append(log_writer(scored, args.log, f"{args.checkpoint}/log"))
-    if args.dead_letters:
-        writers.append(file_writer(dead_letters(decoded), args.dead_letters, f"{args.checkpoint}/dead", "json"))
-    if args.once:
-        writers = [w.trigger(availableNow=True) for w in writers]
-    return [w.start() for w in writers]
+    outputs = Outputs(args.log, args.dead_letters, args.out, args.servers)
+    writer = scored_writer(messages, lambda rows: score_rows(model, rows), outputs, args.checkpoint, args.above)
+    return (writer.trigger(availableNow=True) if args.once else writer).start()
 
 
 def run_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -73,13 +62,12 @@ def run_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = kafka.read_stream(spark, args.servers, topic=args.source, starting=args.starting)
     else:
         messages = spark.readStream.text(args.source)
-    for query in start_alerts(messages, args):
-        query.awaitTermination()
+    start_alerts(messages, args).awaitTermination()
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> dict:
     df = read_csv(spark, args.data)
-    options = {"params": {"maxIter": args.trees}, "model_path": args.model, "runs_path": args.runs}
+    options = {"params": {"maxIter": args.trees}, "model_path": args.model, "runs_path": args.runs, "data_path": args.data}
     if args.quick:
         done = quick_training_job(df, rows=args.quick, **options)
     else:
@@ -94,19 +82,21 @@ def search(spark: SparkSession, args: argparse.Namespace) -> dict:
     df = read_csv(spark, args.data)
     if args.quick:
         df = sample_rows(df, args.quick)
-    done = optimized_training_job(df, trials=args.trials, parallelism=args.parallelism)
-    if args.model:
-        save_model(done["model"], args.model)
+    done = optimized_training_job(
+        df, trials=args.trials, parallelism=args.parallelism, model_path=args.model, runs_path=args.runs, data_path=args.data,
+    )
     print(done["best"], done["metrics"])
     return done
 
 
 def drift(spark: SparkSession, args: argparse.Namespace) -> dict:
     reference = read_csv(spark, args.reference)
-    current = read_csv(spark, args.current, INFERENCE_LOG) if args.current.endswith(".csv") else spark.read.parquet(args.current)
-    summary = drift_job(reference, current, minimum=args.minimum)
-    if "status" not in summary:
-        write_summary(summary_frame(spark, summary, uuid.uuid4().hex), args.summary)
+    current = read_csv(spark, args.current, INFERENCE_LOG) if args.current.endswith(".csv") else read_log(spark, args.current)
+    summary = drift_job(reference, current, minimum=args.minimum, method=args.method)
+    run = uuid.uuid4().hex
+    write_summary(summary_frame(spark, summary, run), args.summary)
+    if args.columns and "columns" in summary:
+        columns_frame(spark, summary, run).write.mode("append").parquet(args.columns)
     print({k: v for k, v in summary.items() if k != "data_quality"})
     return summary
 
@@ -125,12 +115,13 @@ def parser() -> argparse.ArgumentParser:
     job("publish", publish, data=needed, servers=needed, topic={"default": kafka.TRANSACTIONS}, by_time={"action": "store_true"})
     job("alerts", run_alerts, model=needed, checkpoint=needed, servers=optional, source={"default": kafka.TRANSACTIONS},
         out={"default": kafka.ALERTS}, above={"type": float, "default": ALERT_ABOVE}, starting={"default": "latest"},
-        log=optional, dead_letters=optional, once={"action": "store_true"})
+        log=needed, dead_letters=needed, once={"action": "store_true"})
     job("train", train, data=needed, model=optional, runs=optional, importances=optional,
         trees={"type": int, "default": 200}, quick={"type": int, "default": 0})
-    job("search", search, data=needed, model=optional, trials={"type": int, "default": 50},
+    job("search", search, data=needed, model=optional, runs=optional, trials={"type": int, "default": 50},
         parallelism={"type": int, "default": 2}, quick={"type": int, "default": 0})
-    job("drift", drift, reference=needed, current=needed, summary=needed, minimum={"type": int, "default": MIN_ROWS})
+    job("drift", drift, reference=needed, current=needed, summary=needed, columns=optional, minimum={"type": int, "default": MIN_ROWS},
+        method={"choices": [DISTANCES, TESTS, BY_SIZE], "default": DISTANCES})
     return top
 
 

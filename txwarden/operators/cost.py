@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwarden.functions.expressions import ratio
 from txwarden.operators.curves import confusion
 from txwarden.schemas import TARGET
 
-# Fixed cost assumptions.
+# Thresholds, and what one row of each cell costs and brings.
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
-COST_FN, COST_FP, REVENUE_TP = 100, 1, 50
+UNIT_COST = {"fn": 100, "fp": 1}
+UNIT_REVENUE = {"tp": 50}
+
+
+def weighted(units: Mapping[str, float]) -> Column:
+    """Sum of cell counts times their unit values."""
+    return functools.reduce(operator.add, [F.col(cell) * value for cell, value in units.items()], F.lit(0))
 
 
 def business_costs(df: DataFrame, score: str, label: str = TARGET, thresholds: Sequence[float] = THRESHOLDS,
-                   cost_fn: float = COST_FN, cost_fp: float = COST_FP, revenue_tp: float = REVENUE_TP) -> DataFrame:
-    """Cells, precision, recall, cost, revenue and net benefit at each threshold, in one pass."""
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    cost, revenue = fn * cost_fn + fp * cost_fp, tp * revenue_tp
-    return confusion(df, score, label, thresholds).select(
-        "threshold", "tp", "fp", "fn", "tn",
-        ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
-        cost.alias("total_cost"), revenue.alias("total_revenue"), (revenue - cost).alias("net_benefit"),
+                   unit_cost: Mapping[str, float] = UNIT_COST, unit_revenue: Mapping[str, float] = UNIT_REVENUE) -> DataFrame:
+    """Cells, precision, recall, cost, revenue and net benefit at each threshold, in one pass.
+
+    The output names are fixed: other jobs read them.
+    """
+    cells = confusion(df, score, label, thresholds)
+    flagged, frauds = F.col("tp") + F.col("fp"), F.col("tp") + F.col("fn")
+    priced = cells.withColumns({"total_cost": weighted(unit_cost), "total_revenue": weighted(unit_revenue)})
+    return priced.select(
+        "threshold", "tp", "fp", "fn", "tn", ratio(F.col("tp"), flagged).alias("precision"), ratio(F.col("tp"), frauds).alias("recall"),
+        "total_cost", "total_revenue", (F.col("total_revenue") - F.col("total_cost")).alias("net_benefit"),
     )
 
 

@@ -19,13 +19,13 @@ from txwarden.operators.profile import quality
 from txwarden.plans.ordered import walk
 from txwarden.schemas import FEATURES
 
-# Fixed values of the public drift defaults: small references are tested, large ones measured.
-SMALL_REFERENCE, FEW_VALUES = 1000, 5
+# Fixed values of the public drift defaults. TESTED_ROWS only counts with the method "by_size".
+TESTED_ROWS, FEW_VALUES = 1000, 5
 P_LIMIT, DISTANCE_LIMIT, SMALLEST_NORM = 0.05, 0.1, 0.001
 DRIFT_SHARE = 0.5
 MIN_ROWS = 100
-# Values above which Wasserstein columns are settled by bins where that is certain.
-EXACT_VALUES = 100_000_000
+DISTANCES, TESTS, BY_SIZE = "distances", "tests", "by_size"
+INSUFFICIENT = "insufficient_data"  # fixed: the status a gated run is stored with
 
 RESULT = "column string, method string, score double, threshold double, drifted boolean"
 
@@ -82,8 +82,18 @@ def _moved() -> Column:
 
 def distances(rows: DataFrame, **slicing) -> DataFrame:
     """Exact Kolmogorov-Smirnov and Wasserstein distance of the two sides, one row per column."""
-    walked = walk(value_counts(rows), ["value"], ["column"], **ALONG, source=rows.select("column", "value"), **slicing)
-    return walked.groupBy("column").agg(F.max(_apart()).alias("ks"), _moved().alias("wasserstein"))
+    return _along(rows, **slicing).groupBy("column").agg(F.max(_apart()).alias("ks"), _moved().alias("wasserstein"))
+
+
+def _along(rows: DataFrame, **slicing) -> DataFrame:
+    return walk(value_counts(rows), ["value"], ["column"], **ALONG, source=rows.select("column", "value"), **slicing)
+
+
+def column_statistics(rows: DataFrame, **slicing) -> DataFrame:
+    """Distances, category statistics and the number of values of each column, from one ordered pass over value counts."""
+    return _along(rows, **slicing).groupBy("column").agg(
+        F.max(_apart()).alias("ks"), _moved().alias("wasserstein"), *_category_facts()
+    )
 
 
 def binned_distances(rows: DataFrame, spans: dict[str, tuple[float, float]], bins: int) -> DataFrame:
@@ -104,10 +114,8 @@ def binned_distances(rows: DataFrame, spans: dict[str, tuple[float, float]], bin
     )
 
 
-def category_statistics(counts: DataFrame) -> DataFrame:
-    """Jensen-Shannon distance, chi-square of current against reference, and the two-proportion z
-    of the largest value, one row per column."""
-    joined = counts.join(_side_totals(counts), "column")
+def _category_facts() -> list[Column]:
+    """Aggregates over the values of a column; side sizes are on every row."""
     p = ratio(F.col("reference"), F.col("n_reference"), None)
     q = ratio(F.col("current"), F.col("n_current"), None)
     middle = (p + q) / 2
@@ -122,82 +130,80 @@ def category_statistics(counts: DataFrame) -> DataFrame:
     pooled = (F.col("reference") + F.col("current")) / (F.col("n_reference") + F.col("n_current"))
     spread = F.sqrt(pooled * (1 - pooled) * (ratio(F.lit(1.0), F.col("n_reference")) + ratio(F.lit(1.0), F.col("n_current"))))
     z = ratio(p - q, spread)
-    return joined.groupBy("column").agg(
+    return [
         F.sqrt(F.greatest(F.sum(part(p) + part(q)) / 2, F.lit(0.0))).alias("jensen_shannon"),
         F.sum(off).alias("chi_square"), F.count("*").alias("values"), F.max_by(z, F.col("value")).alias("z"),
-    )
+    ]
 
 
-def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], precise: bool | None = None,
-                 bins: int = 4096, **slicing) -> DataFrame:
+def category_statistics(counts: DataFrame) -> DataFrame:
+    """Jensen-Shannon distance, chi-square of current against reference, and the two-proportion z
+    of the largest value, one row per column."""
+    sides = F.broadcast(_side_totals(counts))  # one row per column
+    return counts.join(sides, "column").groupBy("column").agg(*_category_facts())
+
+
+def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], method: str = DISTANCES,
+                 precise: bool = True, bins: int = 4096, **slicing) -> DataFrame:
     """Method, score, limit and drift flag of each column.
 
-    Up to 1000 reference rows: p-values of KS (more than five values), chi-square (three to five)
-    or a z-test; drift below 0.05. Above: Wasserstein distance in reference deviations or, up to
-    five values, Jensen-Shannon distance; drift from 0.1 on.
+    `method` "distances": Wasserstein distance in reference deviations or, up to five values,
+    Jensen-Shannon distance; drift from 0.1 on. "tests": p-values of KS (more than five values),
+    chi-square (three to five) or a z-test; drift below 0.05. "by_size" tests references of up to
+    1000 values and measures larger ones, column by column, as the public defaults do.
 
     `precise=False` settles Wasserstein columns by binned counts where the error bound allows a
     certain decision and ranks whole columns only for the rest; flags are the same, scores of the
-    settled columns are off by at most one bin width. By default that is done above EXACT_VALUES
-    values.
+    settled columns are off by at most one bin width.
     """
+    if method not in (DISTANCES, TESTS, BY_SIZE):
+        raise ValueError(f"unknown method {method!r}")
     rows = both_sides(reference, current, columns)
     found = {r["column"]: r for r in column_profile(rows).collect()}  # one row per column
     usable = {c: r for c, r in found.items() if r["n_reference"] and r["n_current"]}
+    tested = {c for c, r in usable.items() if method == TESTS or method == BY_SIZE and r["n_reference"] <= TESTED_ROWS}
+    norm = {c: max(r["std_reference"], SMALLEST_NORM) for c, r in usable.items()}
     scores: dict[str, tuple[str, float]] = {}
-    if precise is None:
-        precise = sum(r["n_reference"] + r["n_current"] for r in found.values()) <= EXACT_VALUES
-
-    # Counts near the limit come from a sketch, so the few columns concerned are counted exactly.
-    maybe_few = [c for c, r in usable.items() if r["values"] <= 4 * FEW_VALUES]
-    few: set[str] = set()
-    if maybe_few:
-        stats = category_statistics(value_counts(rows.where(F.col("column").isin(maybe_few))))
-        for r in stats.collect():
-            if r["values"] > FEW_VALUES:
-                continue
-            few.add(r["column"])
-            if usable[r["column"]]["n_reference"] > SMALL_REFERENCE:
-                scores[r["column"]] = ("jensenshannon", r["jensen_shannon"])
-            elif r["values"] > 2:
-                scores[r["column"]] = ("chisquare", chi_square_tail(r["chi_square"], r["values"] - 1))
-            else:
-                scores[r["column"]] = ("z", normal_two_sided(r["z"]))
-
-    many = [c for c in usable if c not in few]
-    large = [c for c in many if usable[c]["n_reference"] > SMALL_REFERENCE]
-    norm = {c: max(usable[c]["std_reference"], SMALLEST_NORM) for c in many}
-    open_columns = list(many)
-    if large and not precise:
-        spans = {c: (usable[c]["low"], usable[c]["high"]) for c in large}
-        for r in binned_distances(rows.where(F.col("column").isin(large)), spans, bins).collect():
+    open_columns = list(usable)
+    # A sketched count this high rules out that a column has few values.
+    binned = [] if precise else [c for c, r in usable.items() if c not in tested and r["values"] > 4 * FEW_VALUES]
+    if binned:
+        spans = {c: (usable[c]["low"], usable[c]["high"]) for c in binned}
+        for r in binned_distances(rows.where(F.col("column").isin(binned)), spans, bins).collect():
             score, slack = r["wasserstein"] / norm[r["column"]], r["width"] / norm[r["column"]]
             if abs(score - DISTANCE_LIMIT) > slack:
                 scores[r["column"]] = ("wasserstein", score)
                 open_columns.remove(r["column"])
     if open_columns:
         chosen = rows if len(open_columns) == len(columns) else rows.where(F.col("column").isin(open_columns))
-        sizes = sum(usable[c]["n_reference"] + usable[c]["n_current"] for c in open_columns)
-        for r in distances(chosen, **{"n_rows": sizes, **slicing}).collect():
-            c, at = r["column"], usable[r["column"]]
-            if c in large:
-                scores[c] = ("wasserstein", r["wasserstein"] / norm[c])
-            else:
-                scores[c] = ("ks", ks_two_sample_tail(r["ks"], at["n_reference"], at["n_current"]))
-
-    distance = ("wasserstein", "jensenshannon")
+        distinct = sum(2 * usable[c]["values"] for c in open_columns)
+        for r in column_statistics(chosen, **{"n_rows": distinct, **slicing}).collect():
+            scores[r["column"]] = _score(r, usable[r["column"]], norm[r["column"]], r["column"] in tested)
+
     out = []
     for c in columns:
         if c not in scores:
             out.append((c, "no values", None, None, False))
             continue
-        method, score = scores[c]
-        limit = DISTANCE_LIMIT if method in distance else P_LIMIT
-        drifted = score >= limit if method in distance else score < limit
-        out.append((c, method, None if math.isnan(score) else float(score), limit, bool(drifted)))
+        name, score = scores[c]
+        far = name in ("wasserstein", "jensenshannon")
+        drifted = score >= DISTANCE_LIMIT if far else score < P_LIMIT
+        out.append((c, name, None if math.isnan(score) else float(score), DISTANCE_LIMIT if far else P_LIMIT, bool(drifted)))
     return reference.sparkSession.createDataFrame(out, RESULT)
 
 
+def _score(facts, profile, norm: float, tested: bool) -> tuple[str, float]:
+    """Method and score of one column from its statistics."""
+    few = facts["values"] <= FEW_VALUES
+    if not tested:
+        return ("jensenshannon", facts["jensen_shannon"]) if few else ("wasserstein", facts["wasserstein"] / norm)
+    if not few:
+        return "ks", ks_two_sample_tail(facts["ks"], profile["n_reference"], profile["n_current"])
+    if facts["values"] > 2:
+        return "chisquare", chi_square_tail(facts["chi_square"], facts["values"] - 1)
+    return "z", normal_two_sided(facts["z"])
+
+
 def drift_flags(columns: DataFrame, share: float = DRIFT_SHARE, target: str = "target") -> DataFrame:
     """Dataset drift (share of drifted columns), target drift, and either."""
     sums = columns.agg(
@@ -209,52 +215,50 @@ def drift_flags(columns: DataFrame, share: float = DRIFT_SHARE, target: str = "t
 
 
 def enough_rows(df: DataFrame, minimum: int = MIN_ROWS) -> bool:
-    """Whether the table has the rows, without counting all of them."""
-    return df.limit(minimum).count() >= minimum
+    """Whether the table has the rows."""
+    return df.count() >= minimum
 
 
 def drift_job(reference: DataFrame, current: DataFrame, features: Sequence[str] = FEATURES, minimum: int = MIN_ROWS,
-              target_cut: float | None = None, precise: bool | None = None, reference_target: str = "Class",
+              target_cut: float | None = None, method: str = DISTANCES, precise: bool = True, reference_target: str = "Class",
               current_target: str = "prediction") -> dict:
     """Gate, fill, dedupe, align and compare; the summary as a dictionary.
 
     Quality is read off the raw current table, where repeats and gaps can still be seen.
-    `target_cut` turns predictions into 0/1 first, so they compare with labels.
+    `target_cut` turns predictions into 0/1 first, so they compare with labels. Below `minimum`
+    rows there is only a status and the number of rows.
     """
-    if not enough_rows(current, minimum):
-        n = current.count()
-        return {"status": "insufficient_data", "message": f"Only {n} data points available, need at least {minimum}"}
     facts = quality(current)
+    if facts["total_rows"] < minimum:
+        return {"status": INSUFFICIENT, "total_rows": facts["total_rows"], "minimum": minimum}
     old, new, common = align(
         drop_repeats(fill_medians(reference)), drop_repeats(fill_medians(current)), features, reference_target, current_target
     )
     if target_cut is not None:
         new = new.withColumn("target", (F.col("target") > target_cut).cast("int"))
-    old, new = old.persist(), new.persist()  # read by several passes; lost blocks are recomputed
-    try:
-        columns = column_drift(old, new, [*common, "target"], precise=precise)
-    finally:
-        old.unpersist()
-        new.unpersist()
+    columns = column_drift(old, new, [*common, "target"], method=method, precise=precise)
     flags = drift_flags(columns).first().asDict()
-    details = columns.collect()
-    return {
-        **flags,
-        "column_drifts": {r["column"]: r["drifted"] for r in details},
-        "column_scores": {r["column"]: r["score"] for r in details},
-        "data_quality": facts,
-    }
+    return {"status": "compared", "minimum": minimum, **flags, "columns": [r.asDict() for r in columns.collect()], "data_quality": facts}
+
+
+SUMMARY = (
+    "run_id string, status string, total_rows bigint, minimum bigint, dataset_drift boolean, target_drift boolean, drift_detected boolean, "
+    "column_drifts map<string,boolean>, missing_values map<string,bigint>, duplicate_rows bigint, data_types map<string,string>, "
+    "numeric_columns int, categorical_columns int"
+)
 
 
 def summary_frame(spark, summary: dict, run_id: str) -> DataFrame:
-    """The summary as one row ready for a JSON sink."""
-    facts = summary["data_quality"]
-    row = (run_id, summary["dataset_drift"], summary["target_drift"], summary["drift_detected"],
-           summary["column_drifts"], facts["total_rows"], facts["missing_values"], facts["duplicate_rows"],
-           facts["data_types"], facts["numeric_columns"], facts["categorical_columns"])
-    return spark.createDataFrame(
-        [row],
-        "run_id string, dataset_drift boolean, target_drift boolean, drift_detected boolean, "
-        "column_drifts map<string,boolean>, total_rows bigint, missing_values map<string,bigint>, "
-        "duplicate_rows bigint, data_types map<string,string>, numeric_columns int, categorical_columns int",
-    ).withColumn("analysis_timestamp", F.current_timestamp())
+    """The summary as one row; a gated run has only its status and numbers of rows."""
+    facts = summary.get("data_quality", {})
+    drifted = {r["column"]: r["drifted"] for r in summary["columns"]} if "columns" in summary else None
+    row = (run_id, summary["status"], facts.get("total_rows", summary.get("total_rows")), summary["minimum"],
+           *[summary.get(k) for k in ("dataset_drift", "target_drift", "drift_detected")], drifted,
+           *[facts.get(k) for k in ("missing_values", "duplicate_rows", "data_types", "numeric_columns", "categorical_columns")])
+    return spark.createDataFrame([row], SUMMARY).withColumn("analysis_timestamp", F.current_timestamp())
+
+
+def columns_frame(spark, summary: dict, run_id: str) -> DataFrame:
+    """Method, score, limit and flag of every compared column of the run."""
+    rows = [(run_id, *[r[k] for k in ("column", "method", "score", "threshold", "drifted")]) for r in summary.get("columns", ())]
+    return spark.createDataFrame(rows, f"run_id string, {RESULT}")

@@ -13,14 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txwarden.functions.expressions import HASH_RANGE, digest_below, digest_number, in_share, row_digest
-from txwarden.plans.ordered import quantiles
+from txwarden.plans.ordered import column_quantiles, quantiles
 from txwarden.schemas import FEATURES, TARGET
 
 log = logging.getLogger(__name__)
 
-# Rows from which repeats are looked for by hash first, and how many hashes may be broadcast.
-HASH_FROM = 10_000_000
-CANDIDATE_LIMIT = 1_000_000
+# An exact split states each class's cut in the plan, so their number must be small.
+MOST_CLASSES = 200
+
+# Fixed texts of the checks that callers match on.
+EMPTY_INPUT = "Input DataFrame is empty"
+NO_TARGET = "Target column '{}' not found in DataFrame"
+NO_AMOUNT = "Missing required columns: Amount"
+NOT_FITTED = "Scaler must be fitted before use"
+AMOUNT_NEEDED = "Amount column is required for preprocessing"
+NO_FEATURES = "Missing required features: {}"
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -68,11 +75,11 @@ def drop_time(df: DataFrame) -> DataFrame:
 
 def check_training_input(df: DataFrame, target: str = TARGET) -> None:
     if not df.columns or df.isEmpty():
-        raise ValueError("Input DataFrame is empty")
+        raise ValueError(EMPTY_INPUT)
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' not found in DataFrame")
+        raise ValueError(NO_TARGET.format(target))
     if "Amount" not in df.columns:
-        raise KeyError("Missing required columns: Amount")
+        raise KeyError(NO_AMOUNT)
 
 
 def prepare_training(df: DataFrame, target: str = TARGET) -> tuple[DataFrame, AmountScaler]:
@@ -86,41 +93,37 @@ def project_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """The features in the given order."""
     missing = [c for c in features if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required features: {missing}")
+        raise ValueError(NO_FEATURES.format(missing))
     return df.select(*features)
 
 
 def prepare_inference(df: DataFrame, scaler: AmountScaler, features: Sequence[str]) -> DataFrame:
     if not df.columns or df.isEmpty():
-        raise ValueError("Input DataFrame is empty")
+        raise ValueError(EMPTY_INPUT)
     if not scaler.fitted:
-        raise ValueError("Scaler must be fitted before use")
+        raise ValueError(NOT_FITTED)
     if "Amount" not in df.columns:
-        raise ValueError("Amount column is required for preprocessing")
+        raise ValueError(AMOUNT_NEEDED)
     return project_features(scaler.transform(drop_time(df)), features)
 
 
-def with_target(df: DataFrame, column: str) -> DataFrame:
-    """The named column as `target`, or a constant 0 if the table lacks it."""
-    if column in df.columns:
-        return df.withColumn("target", F.col(column))
-    log.warning("No '%s' column found. Using dummy target.", column)
-    return df.withColumn("target", F.lit(0))
+def target_column(df: DataFrame, name: str) -> Column:
+    """The named column as `target`; a table without it counts as all zeros."""
+    if name not in df.columns:
+        log.warning("there is no column %r to compare as target; zeros stand in for it", name)
+    return (F.col(name) if name in df.columns else F.lit(0)).alias("target")
 
 
 def align(reference: DataFrame, current: DataFrame, features: Sequence[str] = FEATURES,
           reference_target: str = TARGET, current_target: str = "prediction"
           ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both tables cut to the features they share, plus `target`."""
-    common = [c for c in features if c in reference.columns and c in current.columns]
-    missing = [c for c in features if c not in common]
-    if missing:
-        log.warning("Missing features in one or both datasets: %s", missing)
-    return (
-        with_target(reference, reference_target).select(*common, "target"),
-        with_target(current, current_target).select(*common, "target"),
-        common,
-    )
+    """Both tables with one schema: the features that both have, in the given order, then `target`."""
+    shared = set(reference.columns).intersection(current.columns)
+    common = [name for name in features if name in shared]
+    if left_out := sorted(set(features) - shared):
+        log.warning("features that only one table has, or none: %s", ", ".join(left_out))
+    old = reference.select(*common, target_column(reference, reference_target))
+    return old, current.select(*common, target_column(current, current_target)), common
 
 
 def long_values(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -141,9 +144,8 @@ def medians(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy:
     if not columns:
         return out
     if exact:
-        for r in quantiles(long_values(df, columns), "value", [0.5], ["column"], **slicing):
-            out[r["column"]] = r["q"][0]
-        return out
+        found = column_quantiles(df, columns, [0.5], accuracy=accuracy, **slicing)
+        return out | {c: q[0] for c, q in found.items()}
     row = df.agg(
         *[F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None)), 0.5, accuracy).alias(c)
           for c in columns]
@@ -169,31 +171,9 @@ def _missing(df: DataFrame, column: str) -> Column:
     return test
 
 
-def repeat_candidates(df: DataFrame, limit: int = CANDIDATE_LIMIT) -> DataFrame | None:
-    """Row hashes that occur more than once, or None if there are more than `limit` of them.
-
-    Only eight bytes per row are shuffled. Any repeated row has such a hash; a hash may also be
-    there by collision, so callers compare whole rows among the candidates.
-    """
-    hashes = df.select(F.xxhash64(*df.columns).alias("_h")).groupBy("_h").count().where("count > 1").select("_h").persist()
-    if hashes.limit(limit + 1).count() > limit:
-        hashes.unpersist()
-        return None
-    return hashes
-
-
-def drop_repeats(df: DataFrame, hash_from: int = HASH_FROM) -> DataFrame:
-    """Rows that repeat another row are dropped; missing values count as equal.
-
-    From `hash_from` rows on, only rows whose hash repeats are shuffled in full.
-    """
-    hashes = repeat_candidates(df) if df.count() >= hash_from else None
-    if hashes is None:
-        return df.dropDuplicates()
-    keyed = df.withColumn("_h", F.xxhash64(*df.columns))
-    single = keyed.join(F.broadcast(hashes), "_h", "left_anti")  # at most CANDIDATE_LIMIT hashes
-    repeated = keyed.join(F.broadcast(hashes), "_h", "left_semi")
-    return single.select(*df.columns).unionByName(repeated.select(*df.columns).dropDuplicates())
+def drop_repeats(df: DataFrame) -> DataFrame:
+    """Rows that repeat another row are dropped; missing values count as equal. Copies collapse before the shuffle."""
+    return df.dropDuplicates()
 
 
 def _with_digest(df: DataFrame, keys: Sequence[str], seed: int, purpose: str) -> DataFrame:
@@ -227,7 +207,10 @@ def stratified_split_exact(df: DataFrame, keys: Sequence[str] = (), label: str =
     evenly, so the cut lies near the class's share and only digests around it are ranked.
     """
     hashed = _with_digest(df, keys, seed, "split")
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
+    found = df.groupBy(label).count().limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} classes")
+    counts = {r[label]: r["count"] for r in found}
     total = sum(counts.values())
     train_total = total - math.ceil(share * total)
     quota = {c: train_total * n / total for c, n in counts.items()}
@@ -266,17 +249,20 @@ def _expected_cut(held: int, rows: int) -> tuple[int, int]:
     return int(max(share - slack, 0.0) * HASH_RANGE), int(min(share + slack, 1.0) * HASH_RANGE)
 
 
-def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42, **slicing) -> DataFrame:
     """min(n, rows) rows: those with the smallest key hashes.
 
-    A cut slightly above the expected n-th hash leaves little to sort; if it leaves too few rows,
-    all of them are sorted.
+    The n-th hash is found as an order statistic, and rows below it are kept where they are; only
+    rows that share that hash are ordered, by key.
     """
     hashed = _with_digest(df, keys, seed, "sample")
+    numbered = hashed.withColumn("_n", digest_number(F.col("_h")))
     rows = df.count()
-    if rows > n:
-        wide = min((n + 6 * math.sqrt(n) + 20) / rows, 1.0)
-        near = hashed.where(in_share(F.col("_h"), wide))
-        if near.count() >= n:
-            hashed = near
-    return hashed.orderBy("_h", *(keys or df.columns)).limit(n).drop("_h")
+    if rows <= n:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    cut = quantiles(numbered, "_n", [n / rows], ranks=lambda _, count: [min(n, count) - 1], **slicing)[0]["q"][0]
+    below = numbered.where(F.col("_n") < int(cut))
+    at = numbered.where(F.col("_n") == int(cut)).orderBy("_h", *(keys or df.columns)).limit(n - below.count())
+    return below.unionByName(at).drop("_h", "_n")

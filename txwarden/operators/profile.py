@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txwarden.functions.expressions import ratio
-from txwarden.operators.prepare import HASH_FROM, numeric_columns, repeat_candidates
+from txwarden.operators.prepare import numeric_columns
 from txwarden.plans.ordered import quantiles
 from txwarden.schemas import TARGET
 
@@ -52,17 +52,9 @@ def total_missing(df: DataFrame) -> DataFrame:
     return missing_values(df).agg(F.sum("missing").alias("missing"))
 
 
-def duplicate_rows(df: DataFrame, hash_from: int = HASH_FROM) -> DataFrame:
-    """Rows that repeat an earlier row. Copies collapse before the shuffle.
-
-    From `hash_from` rows on, only rows whose hash repeats are grouped in full.
-    """
-    hashes = repeat_candidates(df) if df.count() >= hash_from else None
-    rows = df
-    if hashes is not None:
-        keyed = df.withColumn("_h", F.xxhash64(*df.columns))
-        rows = keyed.join(F.broadcast(hashes), "_h", "left_semi")  # at most CANDIDATE_LIMIT hashes
-    groups = rows.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """Rows that repeat an earlier row. Copies collapse before the shuffle."""
+    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -88,11 +80,10 @@ def quality(df: DataFrame) -> dict:
 
 
 def amount_by_class(df: DataFrame, amount: str = "Amount", label: str = TARGET, **slicing) -> DataFrame:
-    """Mean and exact median of the amount in each class."""
-    means = df.groupBy(label).agg(F.count("*").alias("n"), F.avg(amount).alias("mean_amount"))
-    middle = _rows(df, [(r[label], r["q"][0]) for r in quantiles(df, amount, [0.5], [label], **slicing)],
-                   label, "median_amount double")
-    return means.join(middle, label, "left")
+    """Rows, mean and exact median of the amount in each class that has an amount."""
+    facts = {"rows": F.count("*"), "mean": F.avg(amount)}
+    found = quantiles(df, amount, [0.5], [label], facts=facts, **slicing)
+    return _rows(df, [(r[label], r["rows"], r["mean"], r["q"][0]) for r in found], label, "n bigint, mean_amount double, median_amount double")
 
 
 def _rows(df: DataFrame, data: list[tuple], label: str, fields: str) -> DataFrame:

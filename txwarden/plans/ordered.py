@@ -94,8 +94,7 @@ def slice_rows(
     base = (df if source is None else source).select(*keys)
     if n_rows is None:
         n_rows = base.count()
-    limit = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(math.ceil(n_rows / rows_per_slice), max(limit, 1))
+    parts = math.ceil(n_rows / rows_per_slice)
     if parts <= 1:
         return df.withColumn(SLICE, F.lit(0).cast("long")), False
 
@@ -253,139 +252,123 @@ def quantiles(
     by: Sequence[str] = (),
     *,
     ranks: Callable[[tuple, int], Sequence[float]] | None = None,
+    facts: dict[str, Column] | None = None,
     accuracy: int = 10_000,
-    direct_rows: int = 1_000_000,
     **slicing,
 ) -> list[Row]:
     """Exact quantiles with linear interpolation, NULL and NaN ignored.
 
-    `ranks(group, n)` may state zero-based ranks itself; `probs` then only say where to look first.
+    A first pass counts each group and brackets every wanted rank by a sketch; a second one counts
+    the values inside the brackets, and how many rows lie between them, and ranks those. A rank
+    that turns out to lie outside its bracket makes its group be ranked as a whole.
 
-    `by` has a bounded number of groups (columns, classes, models). Above `direct_rows`, a sketch
-    first brackets every wanted rank; only rows inside the brackets are shuffled and ranked.
-    Returns one row per group: the `by` values and `q`, one value per probability.
+    `ranks(group, n)` may state zero-based ranks itself; `probs` then only say where to look first.
+    `facts` are further aggregates of the first pass. `by` has a bounded number of groups (columns,
+    classes, models). Returns one row per group with a value: the `by` values, `n`, `q` with one
+    value per probability, and the facts.
     """
-    by = list(by)
-    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    rows = rows.select(*by, F.col(value).cast("double").alias("_v"))
-    at_most = df.count()
-    if at_most <= direct_rows and ranks is None:
-        return _rank_all(rows, by, probs, {"n_rows": at_most, **slicing})
-    slack = 3.0 / accuracy
-    around = [min(max(p + s, 0.0), 1.0) for p in probs for s in (-slack, slack)]
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in around]), accuracy)
-    large = at_most > direct_rows
+    by, facts = list(by), facts or {}
+    rows = df.withColumn("_v", _number(value))
     shape = rows.groupBy(*by).agg(
-        F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-        *([sketch.alias("s")] if large else []),
+        F.count("_v").alias("n"), _sketch(F.col("_v"), probs, accuracy).alias("_s"), *[f.alias(n) for n, f in facts.items()]
     ).collect()
-    shape = [r for r in shape if r["n"] > 0]
-    n_rows = sum(r["n"] for r in shape)
-    if not shape:
-        return []
-    groups = []
-    for r in shape:
-        key = tuple(r[c] for c in by)
-        wanted = ranks(key, r["n"]) if ranks else [(r["n"] - 1) * p for p in probs]
-        groups.append(
-            {"key": key, "n": r["n"], "ranks": wanted,
-             "lo": [r["lo"]] * len(probs), "hi": [r["hi"]] * len(probs), "below": [0] * len(probs),
-             "sketch": r["s"] if large else None}
-        )
-    if large:
-        n_rows = _narrow(rows, by, groups, len(probs))
-
-    bounds = _bounds_frame(df, by, groups, len(probs))
-    inside = F.lit(False)
-    for j in range(len(probs)):
-        inside = inside | F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j])
-    kept = _with_bounds(rows, bounds, by).where(inside)
-    counted = kept.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    ranked = walk(
-        counted, ["_v"], by, totals={"_upto": "_n"}, source=kept.select(*by, "_v"), n_rows=n_rows, **slicing
-    )
-    ranked = _with_bounds(ranked, bounds, by)
-    # Rows of the brackets that lie under bracket j were counted in `_upto`, not in `below`.
-    under = ranked.groupBy(*by).agg(
-        *[F.coalesce(F.sum(F.when(F.col("_v") < F.col("_lo")[j], F.col("_n"))), F.lit(0)).alias(f"_u{j}")
-          for j in range(len(probs))]
-    ) if any(any(g["below"]) for g in groups) else None
-    if under is not None:
-        ranked = _match(ranked, under, by)
-    picks = []
-    for j in range(len(probs)):
-        at = F.col("_upto") + F.col("_below")[j]
-        if under is not None:
-            at = at - F.col(f"_u{j}")
-        here = F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j])
-        for k, name in enumerate(("f", "c")):
-            rank = F.col("_rank")[2 * j + k]
-            picks.append(F.min(F.when(here & (at > rank), F.col("_v"))).alias(f"_{name}{j}"))
-    found = {tuple(r[c] for c in by): r for r in ranked.groupBy(*by).agg(*picks).collect()}
-    out = []
-    for g in groups:
-        r = found[g["key"]]
-        q = []
-        for j, rank in enumerate(g["ranks"]):
-            q.append(_between(r[f"_f{j}"], r[f"_c{j}"], rank))
-        out.append(Row(**dict(zip(by, g["key"])), n=g["n"], q=q))
+    groups = [_group(tuple(r[c] for c in by), r["n"], r["_s"], probs, ranks) for r in shape if r["n"]]
+    held = rows.select(*by, "_v").where(F.col("_v").isNotNull())
+
+    def counted(wanted: list[dict]) -> DataFrame:
+        placed = _with_bounds(held, _bounds_frame(df, by, wanted), by)
+        place = _placed(F.col("_v"), [(F.col("_lo")[j], F.col("_hi")[j], F.col("_gap")[j]) for j in range(len(probs))])
+        return placed.select(*by, place.alias("_v")).groupBy(*by, "_v").agg(F.count("*").alias("_n"))
+
+    found = _settle(counted, df, by, groups, len(probs), accuracy, slicing)
+    more = {tuple(r[c] for c in by): {n: r[n] for n in facts} for r in shape}
+    return [Row(**dict(zip(by, g["key"])), n=g["n"], q=found[g["key"]], **more[g["key"]]) for g in groups]
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *, accuracy: int = 10_000, **slicing) -> dict[str, list[float]]:
+    """As `quantiles`, of several columns side by side; columns without values are left out."""
+    firsts = [f for i, c in enumerate(columns) for f in (F.count(_number(c)).alias(f"n{i}"), _sketch(_number(c), probs, accuracy).alias(f"s{i}"))]
+    shape = df.agg(*firsts).first()
+    groups = [_group((c,), shape[f"n{i}"], shape[f"s{i}"], probs, None) for i, c in enumerate(columns) if shape[f"n{i}"]]
+    named = df.sparkSession.createDataFrame([], "column string")
+
+    def counted(wanted: list[dict]) -> DataFrame:
+        places = []
+        for g in wanted:
+            ends = [tuple(map(F.lit, x)) for x in zip(g["lo"], g["hi"], g["gap"])]
+            places.append(F.struct(F.lit(g["key"][0]).alias("column"), _placed(_number(g["key"][0]), ends).alias("_v")))
+        long = df.select(F.explode(F.array(*places)).alias("_p")).select("_p.column", "_p._v").where(F.col("_v").isNotNull())
+        return long.groupBy("column", "_v").agg(F.count("*").alias("_n"))
+
+    found = _settle(counted, named, ["column"], groups, len(probs), accuracy, slicing)
+    return {key[0]: q for key, q in found.items()}
+
+
+def _number(column: str) -> Column:
+    return F.nanvl(F.col(column).cast("double"), F.lit(None))
+
+
+def _sketch(value: Column, probs: Sequence[float], accuracy: int) -> Column:
+    """Values around each probability, three times the sketch's error to either side."""
+    slack = 3.0 / accuracy
+    around = [min(max(p + s, 0.0), 1.0) for p in probs for s in (-slack, slack)]
+    return F.percentile_approx(value, F.array(*[F.lit(p) for p in around]), accuracy)
+
+
+def _group(key: tuple, n: int, sketch: Sequence[float], probs: Sequence[float], ranks) -> dict:
+    """A group's wanted ranks, the bracket of each, and the next number above each bracket."""
+    wanted = list(ranks(key, n)) if ranks else [(n - 1) * p for p in probs]
+    low, high = list(sketch[0::2]), list(sketch[1::2])
+    return {"key": key, "n": n, "ranks": wanted, "lo": low, "hi": high, "gap": [math.nextafter(h, math.inf) for h in high]}
+
+
+def _placed(value: Column, ends: list[tuple[Column, Column, Column]]) -> Column:
+    """Values inside a bracket as they are; others become minus infinity or the number after the last bracket below them."""
+    inside, gap = F.lit(False), F.lit(float("-inf"))
+    for low, high, after in ends:
+        inside = inside | value.between(low, high)
+        gap = F.greatest(gap, F.when(value > high, after).otherwise(F.lit(float("-inf"))))
+    return F.when(inside, value).when(value.isNotNull(), gap)
+
+
+def _settle(counted: Callable[[list[dict]], DataFrame], df: DataFrame, by: list[str], groups: list[dict], probs: int,
+            accuracy: int, slicing: dict) -> dict[tuple, list[float]]:
+    """The quantiles of all groups: by their brackets, and as a whole where a rank lies elsewhere."""
+    out: dict[tuple, list[float]] = {}
+    expected = 8.0 / accuracy
+    wanted = groups
+    while wanted:
+        n_rows = sum(math.ceil(min(g["n"], probs * (expected * g["n"] + 2))) for g in wanted)
+        ranked = walk(counted(wanted), ["_v"], by, totals={"_upto": "_n"}, **{"n_rows": n_rows, **slicing})
+        picks = []
+        bounds = _bounds_frame(df, by, wanted)
+        for j in range(probs):
+            for k, name in enumerate(("f", "c")):
+                picks.append(F.min(F.when(F.col("_upto") > F.col("_rank")[2 * j + k], F.col("_v"))).alias(f"_{name}{j}"))
+        found = {tuple(r[c] for c in by): r for r in _with_bounds(ranked, bounds, by).groupBy(*by).agg(*picks).collect()}
+        missed = []
+        for g in wanted:
+            r = found[g["key"]]
+            ends = [(r[f"_f{j}"], r[f"_c{j}"]) for j in range(probs)]
+            if all(g["lo"][j] <= x <= g["hi"][j] for j in range(probs) for x in ends[j]):
+                out[g["key"]] = [_between(*ends[j], g["ranks"][j]) for j in range(probs)]
+            else:
+                whole = {"lo": [-math.inf] * probs, "hi": [math.inf] * probs, "gap": [math.inf] * probs}
+                missed.append({**g, **whole})
+        wanted, expected = missed, 1.0
     return out
 
 
 def _between(low: float, high: float, rank: float) -> float:
-    return low + (high - low) * (rank - math.floor(rank))
-
-
-def _rank_all(rows: DataFrame, by: list[str], probs: Sequence[float], slicing: dict) -> list[Row]:
-    """Quantiles by ranking every distinct value, in one plan."""
-    counted = rows.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    ranked = walk(counted, ["_v"], by, totals={"_upto": "_n"}, overall={"_all": "_n"}, source=rows, **slicing)
-    picks = [F.max("_all").alias("n")]
-    for j, p in enumerate(probs):
-        rank = (F.col("_all") - 1) * F.lit(float(p))
-        picks.append(F.min(F.when(F.col("_upto") > F.floor(rank), F.col("_v"))).alias(f"_f{j}"))
-        picks.append(F.min(F.when(F.col("_upto") > F.ceil(rank), F.col("_v"))).alias(f"_c{j}"))
-    return [
-        Row(**{c: r[c] for c in by}, n=r["n"],
-            q=[_between(r[f"_f{j}"], r[f"_c{j}"], (r["n"] - 1) * p) for j, p in enumerate(probs)])
-        for r in ranked.groupBy(*by).agg(*picks).collect() if r["n"]
-    ]
+    return low if low == high else low + (high - low) * (rank - math.floor(rank))
 
 
-def _narrow(rows: DataFrame, by: list[str], groups: list[dict], probs: int) -> int:
-    """Replace full ranges by sketch brackets that provably hold the ranks; rows left inside."""
-    for g in groups:
-        g["full"] = (list(g["lo"]), list(g["hi"]))
-        g["lo"], g["hi"] = [g["sketch"][2 * j] for j in range(probs)], [g["sketch"][2 * j + 1] for j in range(probs)]
-    sided = _with_bounds(rows, _bounds_frame(rows, by, groups, probs), by)
-    checks = []
-    for j in range(probs):
-        checks.append(F.count_if(F.col("_v") < F.col("_lo")[j]).alias(f"b{j}"))
-        checks.append(F.count_if(F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j])).alias(f"i{j}"))
-    counts = {tuple(r[c] for c in by): r for r in sided.groupBy(*by).agg(*checks).collect()}
-    left = 0
-    for g in groups:
-        r = counts[g["key"]]
-        for j, rank in enumerate(g["ranks"]):
-            if r[f"b{j}"] <= math.floor(rank) and math.ceil(rank) < r[f"b{j}"] + r[f"i{j}"]:
-                g["below"][j] = r[f"b{j}"]
-                left += r[f"i{j}"]
-            else:  # the sketch missed: rank the whole group
-                g["lo"][j], g["hi"][j] = g["full"][0][j], g["full"][1][j]
-                left += g["n"]
-    return left
-
-
-def _bounds_frame(df: DataFrame, by: list[str], groups: list[dict], probs: int) -> DataFrame:
-    fields = [df.schema[c] for c in by]
+def _bounds_frame(df: DataFrame, by: list[str], groups: list[dict]) -> DataFrame:
     number = T.ArrayType(T.DoubleType())
-    schema = T.StructType(
-        fields
-        + [T.StructField("_lo", number), T.StructField("_hi", number),
-           T.StructField("_below", T.ArrayType(T.LongType())), T.StructField("_rank", T.ArrayType(T.LongType()))]
-    )
+    fields = [T.StructField(name, number) for name in ("_lo", "_hi", "_gap")]
+    schema = T.StructType([*[df.schema[c] for c in by], *fields, T.StructField("_rank", T.ArrayType(T.LongType()))])
     data = [
-        (*g["key"], [float(x) for x in g["lo"]], [float(x) for x in g["hi"]], [int(x) for x in g["below"]],
+        (*g["key"], *[[float(x) for x in g[name]] for name in ("lo", "hi", "gap")],
          [int(f(x)) for x in g["ranks"] for f in (math.floor, math.ceil)])
         for g in groups
     ]
@@ -399,7 +382,7 @@ def _with_bounds(rows: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame
     only = bounds.first()
     return rows.select(
         "*",
-        *[F.array(*[F.lit(x) for x in only[c]]).alias(c) for c in ("_lo", "_hi", "_below", "_rank")],
+        *[F.array(*[F.lit(x) for x in only[c]]).alias(c) for c in ("_lo", "_hi", "_gap", "_rank")],
     )
 
 

@@ -18,6 +18,9 @@ SETTINGS = {
 }
 
 
+_folders: list[tempfile.TemporaryDirectory] = []  # deleted when the process ends
+
+
 def build_session(master: str | None = None, app: str = "txwarden", **extra: str) -> SparkSession:
     """A session with UTC time and adaptive execution; `extra` overrides (dots as `__`)."""
     builder = SparkSession.builder.appName(app)
@@ -29,18 +32,20 @@ def build_session(master: str | None = None, app: str = "txwarden", **extra: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
-
-    Only a local session may go without the setting; then a temporary folder is used and set.
-    """
+    """The folder every executor can reach, as the session names it in `spark.checkpoint.dir`."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
+    if not found:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="txwarden-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return found
+
+
+def name_local_scratch(spark: SparkSession) -> None:
+    """Give a local session without the setting a temporary folder, which goes with the process. For registered queries and tests."""
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir()
+    if unset and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        folder = tempfile.TemporaryDirectory(prefix="txwarden-")
+        _folders.append(folder)
+        spark.sparkContext.setCheckpointDir(folder.name)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

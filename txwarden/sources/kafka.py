@@ -7,18 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-# Fixed names of the topics and the consumer group.
-TRANSACTIONS, ALERTS, GROUP = "transactions", "fraud_alerts", "fraud-detection-group"
+# Fixed names of the topics.
+TRANSACTIONS, ALERTS = "transactions", "fraud_alerts"
+# Fixed values of the producer: all replicas acknowledge, idempotent, one request in flight.
+PRODUCER = {
+    "kafka.acks": "all",
+    "kafka.retries": "3",
+    "kafka.enable.idempotence": "true",
+    "kafka.max.in.flight.requests.per.connection": "1",
+    "kafka.batch.size": "16384",
+    "kafka.linger.ms": "10",
+}
 
 
 def source_options(servers: str, topic: str = TRANSACTIONS, starting: str = "latest",
                    min_partitions: int | None = None) -> dict[str, str]:
-    """Reader options. Offsets live in the query's checkpoint; the group id only names the reader."""
+    """Reader options. Offsets live in the query's checkpoint, and each query has a group id of its own,
+    given by Spark: queries that shared one could each get a part of the messages."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "kafka.group.id": GROUP,
         "failOnDataLoss": "true",
     }
     if min_partitions:
@@ -27,17 +36,7 @@ def source_options(servers: str, topic: str = TRANSACTIONS, starting: str = "lat
 
 
 def sink_options(servers: str, topic: str = ALERTS) -> dict[str, str]:
-    """Writer options: all replicas acknowledge, idempotent, one request in flight."""
-    return {
-        "kafka.bootstrap.servers": servers,
-        "topic": topic,
-        "kafka.acks": "all",
-        "kafka.retries": "3",
-        "kafka.enable.idempotence": "true",
-        "kafka.max.in.flight.requests.per.connection": "1",
-        "kafka.batch.size": "16384",
-        "kafka.linger.ms": "10",
-    }
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER}
 
 
 def read_stream(spark: SparkSession, servers: str, **options) -> DataFrame:

@@ -31,10 +31,9 @@ def log_run(spark: SparkSession, path: str, run_id: str, params: Mapping = (), m
 
 def metrics_long(df: DataFrame, run_id: str) -> DataFrame:
     """A one-row metrics table as run entries, without collecting it."""
-    numbers = [F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("number")) for c in df.columns]
-    return df.select(F.explode(F.array(*numbers)).alias("m")).select(
-        F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), F.col("m.key").alias("key"),
-        F.col("m.number").alias("number"),
+    entries = [F.struct(F.lit(c).alias("key"), F.col(c).cast("double").cast("string").alias("value")) for c in df.columns]
+    return df.select(F.explode(F.array(*entries)).alias("m")).select(
+        F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"), "m.key", "m.value"
     )
 
 
@@ -45,8 +44,8 @@ def write_importances(importances: DataFrame, path: str) -> None:
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """Drift summary as JSON."""
-    summary.write.mode("overwrite").json(path)
+    """Append a drift summary as JSON; runs are told apart by run_id."""
+    summary.write.mode("append").json(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from txwarden.functions.expressions import (
 )
 from txwarden.plans.training import score_rows
 from txwarden.schemas import EVENT, FEATURES
+from txwarden.sources.kafka import publish
+from txwarden.streaming.inference_log import write_log
+from txwarden.streaming.runs import batch_folder, run_id
 
 CORRUPT = "_corrupt_record"
 
@@ -81,6 +85,45 @@ def alert_job(messages: DataFrame, score: Callable[[DataFrame], DataFrame], abov
     return alert_messages(alerts(enrich(readable(decode(messages, schema)), score, features), above))
 
 
+@dataclass(frozen=True)
+class Outputs:
+    """Where a scored stream goes: folders for the log, unreadable messages and alerts, or a topic for the alerts."""
+
+    log: str
+    dead: str
+    alerts: str
+    servers: str | None = None
+
+
+def scored_writer(messages: DataFrame, score: Callable[[DataFrame], DataFrame], outputs: Outputs, checkpoint: str,
+                  above: float = ALERT_ABOVE, schema: T.StructType = EVENT, features: Sequence[str] = FEATURES) -> DataStreamWriter:
+    """Each batch is decoded and scored once and then shared out.
+
+    Every message goes to exactly one of log and dead letters; logged rows above the limit are
+    alerts as well. Files of a replayed batch replace their own rows; a topic gets alerts at least
+    once, and consumers drop repeats by transaction_id. Any failure stops the query.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        run = run_id(batch.sparkSession, checkpoint)
+        decoded = decode(batch, schema)
+        scored = enrich(decoded, score, features).persist()  # blocks that are lost are computed again
+        try:
+            good = readable(scored)
+            folder = batch_folder(outputs.dead, run, number)
+            dead_letters(scored).write.mode("overwrite").json(folder)
+            write_log(good, outputs.log, run, number)
+            found = alert_messages(alerts(good, above))
+            if outputs.servers:
+                publish(found, outputs.servers, outputs.alerts)
+            else:
+                found.write.mode("overwrite").json(batch_folder(outputs.alerts, run, number))
+        finally:
+            scored.unpersist()
+
+    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+
+
 def file_writer(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataStreamWriter:
     return df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
 

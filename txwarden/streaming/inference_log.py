@@ -1,14 +1,15 @@
-"""Inference log: scored micro-batches appended to a table."""
+"""Inference log: scored micro-batches and batch results appended to one table."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from txwarden.functions.expressions import is_detected
+from txwarden.streaming.runs import batch_folder, run_id
 
 
 def log_rows(scored: DataFrame, prediction_id: str, at: str | None = None, score: str = "fraud_probability") -> DataFrame:
@@ -22,17 +23,26 @@ def log_rows(scored: DataFrame, prediction_id: str, at: str | None = None, score
     )
 
 
+def write_log(scored: DataFrame, path: str, run: str, number: int, score: str = "fraud_probability") -> None:
+    """One batch of a run; writing it again replaces its rows."""
+    folder = batch_folder(path, run, number)
+    log_rows(scored, str(uuid.uuid5(uuid.NAMESPACE_URL, folder)), score=score).write.mode("overwrite").parquet(folder)
+
+
 def append_log(scored: DataFrame, path: str, score: str = "fraud_probability") -> None:
-    """Batch append."""
-    log_rows(scored, str(uuid.uuid4()), score=score).write.mode("append").parquet(path)
+    """Batch append, as a run of its own."""
+    write_log(scored, path, str(uuid.uuid4()), 0, score)
 
 
 def log_writer(scored: DataFrame, path: str, checkpoint: str, score: str = "fraud_probability") -> DataStreamWriter:
-    """Streaming append. A batch owns the folder of its number, so a replay after a failure
-    replaces its rows instead of repeating them."""
+    """Streaming append."""
 
     def write(batch: DataFrame, number: int) -> None:
-        folder = f"{path}/batch={number}"
-        log_rows(batch, str(uuid.uuid5(uuid.NAMESPACE_URL, folder)), score=score).write.mode("overwrite").parquet(folder)
+        write_log(batch, path, run_id(batch.sparkSession, checkpoint), number, score)
 
     return scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all runs, without the columns that only name folders."""
+    return spark.read.parquet(path).drop("run", "batch")
