@@ -211,7 +211,7 @@ def logged_run(spark, folder) -> DataFrame:
     metrics_long(class_balance(transactions(spark, folder)), "balance").write.mode("append").parquet(path)
     log_run(spark, path, "other", {"depth": 6}, {"fraud_rate": 0.5})
     stored = spark.read.parquet(path).where("run_id = 'balance'")
-    return stored.select("run_id", "kind", "key", F.round(F.col("value").cast("double"), 6).alias("number"))
+    return stored.select("run_id", "kind", "key", F.round(F.col("value").try_cast("double"), 6).alias("number"))
 
 
 # The last row has no successor and waits the fixed delay.
