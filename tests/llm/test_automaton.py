@@ -2,11 +2,15 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from txwarden.llm.automaton import Codec, Encoder, byte_letters, compiled, encoded, read_vocabulary
+from txwarden.llm.arrow import text_bytes
+from txwarden.llm.automaton import Codec, Encoder, compiled, encoded, read_vocabulary
 from txwarden.llm.catalog import vocabulary
+from txwarden.llm.chunks import ChunkCoder
+from txwarden.llm.presplit import Cutter, byte_letters, layout
 
 ODD = [
     "", " ", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "    x", "\n\n a\tb  ", "it's 'S 've we'll''s", "日本語😀 x²½", "a" * 500,
@@ -87,3 +91,18 @@ def test_query_rows(spark, library):
     assert encoded(docs.limit(0), vocabulary()).collect() == []
     full = encoded(docs.filter("doc_id = 2"), vocabulary(), ids=True).first()
     assert full.decoded == ODD[2] and 50256 in full.ids
+
+
+@pytest.mark.parametrize("bits", [4, 8, 16])
+def test_chunk_table_changes_no_value(bits):
+    cutter = Cutter(layout(vocabulary()))
+    made = []
+    coder = ChunkCoder(cutter, lambda cs: made.extend(cs) or [list(c.encode()) for c in cs], bits)
+    draw = random.Random(bits)
+    for _ in range(30):
+        texts = [" ".join(f"w{int(draw.expovariate(0.03))}" + draw.choice(["", "", ".\n\n", "\u2003 x", "<|endoftext|>", "\u201c"]) for _ in range(draw.randint(0, 20))) for _ in range(5)]
+        texts += [None, "", "  ", "x"]
+        ids, starts = coder.encode(*text_bytes(pa.array(texts, pa.string())))
+        assert [bytes(ids[a:b].tolist()).decode() for a, b in zip(starts[:-1], starts[1:], strict=True)] == [t or "" for t in texts]
+    if bits == 16:
+        assert len([c for c in made if c.isascii()]) < 2000

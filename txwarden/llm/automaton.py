@@ -10,8 +10,9 @@ A state is stored as its parent, the token its gadget took away, and the step. T
 token made at or after the state's step has an arc if the token it begins with has one; an earlier token has one if it is
 not the one taken away and the parent has it.
 
-A word is encoded by following arcs from the start state over its bytes. For every place in the word exactly one accepted
-sequence ends there, so each place holds one state, and the sequence that ends at the last place is the encoding.
+A word is encoded by following arcs from the start state over its bytes, longest tokens first. For every place in the word
+exactly one accepted sequence ends there; a place from which no arc leads on is closed and not entered again. The sequence
+that ends at the last place is the encoding.
 """
 
 from __future__ import annotations
@@ -24,18 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from txwarden.llm.arrow import column, pieces
-from txwarden.llm.presplit import Cutter, Known, Layout, layout
-
-
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable bytes stand for themselves, the others
-    for the code points from 256 on, in order."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+from txwarden.llm.chunks import ChunkCoder
+from txwarden.llm.presplit import Cutter, Layout, byte_letters, layout
 
 
 @dataclass(frozen=True)
@@ -120,33 +115,45 @@ class Encoder:
         """The tokens of a pre-split word."""
         if (token := self.whole.get(word)) is not None:
             return [token]  # the start state has every arc, and only one sequence is accepted
-        target, arcs, size = self.target, self.arcs, len(self.target)
+        target, arcs, size, width = self.target, self.arcs, len(self.target), self.width
         if len(arcs) > self.most:
             arcs.clear()
-        n = len(word)
-        state, last = [-1] * (n + 1), [0] * (n + 1)
-        state[0] = 0
-        for start in range(n):
-            at, node = state[start], self.tree
-            for end in range(start + 1, n + 1):
-                following = node.get(word[end - 1])
-                if following is None:
-                    break
-                node, token = following
-                if token < 0 or state[end] >= 0:
+        n, out, closed = len(word), [], set()
+        steps = [(0, 0, self.fitting(word, 0))]
+        while True:
+            place, state, open_tokens = steps[-1]
+            while open_tokens:
+                token = open_tokens.pop()
+                end = place + width[token]
+                if end in closed:
                     continue
-                if at:
-                    open_ = arcs.get(at * size + token)
-                    if open_ is None:
-                        open_ = arcs[at * size + token] = has_arc(at, token, *self.rules)
-                    if not open_:
+                if state:
+                    arc = arcs.get(state * size + token)
+                    if arc is None:
+                        arc = arcs[state * size + token] = has_arc(state, token, *self.rules)
+                    if not arc:
                         continue
-                state[end], last[end] = target[token], token
-        out = []
-        while n:
-            out.append(last[n])
-            n -= self.width[last[n]]
-        return out[::-1]
+                out.append(token)
+                if end == n:
+                    return out
+                steps.append((end, target[token], self.fitting(word, end)))
+                break
+            else:  # the accepted sequence of the word does not go through here
+                closed.add(place)
+                steps.pop()
+                out.pop()
+
+    def fitting(self, word: bytes, place: int) -> list[int]:
+        """Tokens whose bytes stand at a place of the word, the longest last."""
+        node, out = self.tree, []
+        for b in word[place:]:
+            following = node.get(b)
+            if following is None:
+                break
+            node, token = following
+            if token >= 0:
+                out.append(token)
+        return out
 
 
 class Codec:
@@ -157,18 +164,16 @@ class Codec:
         self.labels = list(automaton.label)
         for text, token in plan.whole.items():
             self.labels[token] = text.encode()
-        self.known = Known(self.chunk_ids)
+        self.coder = ChunkCoder(self.cutter, self.chunk_ids)
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        """The ids of a chunk, or of a token that stands whole, as little-endian 32-bit integers."""
-        if chunk in self.cutter.whole:
-            ids = [self.cutter.whole[chunk]]
-        else:
-            ids = [t for word in self.cutter.words(chunk) for t in self.encoder.encode(word.encode())]
-        return np.array(ids, "<u4").tobytes()
+    def chunk_ids(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of chunks, or of tokens that stand whole."""
+        whole, words, encode = self.cutter.whole, self.cutter.words, self.encoder.encode
+        return [[whole[c]] if c in whole else [t for word in words(c) for t in encode(word.encode())] for c in chunks]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.known.__getitem__, self.cutter.parts(text)))
+        """The ids of one text, as little-endian 32-bit integers."""
+        return self.coder.encode_text(text).astype("<u4").tobytes()
 
     def decode(self, ids: bytes) -> str:
         """The labels of the ids end to end; bytes that are no text become replacement characters."""
@@ -179,6 +184,15 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
+def codec_of(name: str, sent: Broadcast) -> Codec:
+    """A worker's codec, kept with what it knows for the worker's next tasks. A function of the module: what a task
+    function holds itself would come anew with every task."""
+    if name not in _codecs:
+        _codecs.clear()
+        _codecs[name] = Codec(*sent.value)
+    return _codecs[name]
+
+
 def encoded(docs: DataFrame, file: str, ids: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and with `ids` the ids and the decoded text.
 
@@ -190,12 +204,11 @@ def encoded(docs: DataFrame, file: str, ids: bool = False) -> DataFrame:
     kind, name = docs.schema["doc_id"].dataType.simpleString(), f"{file} {os.path.getmtime(file)}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _codecs:  # a worker keeps the codec, and what it knows, for its next tasks
-            _codecs.clear()
-            _codecs[name] = Codec(*sent.value)
-        codec = _codecs[name]
-        for batch, _, _ in pieces(batches):
-            coded = [codec.encode(text or "") for text in column(batch, "text").to_pylist()]
+        codec = codec_of(name, sent)
+        for batch, data, starts in pieces(batches):
+            found, ends = codec.coder.encode(data, starts)
+            found = found.astype("<u4")
+            coded = [found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             back = [codec.decode(x) for x in coded]
             rows = {
                 "doc_id": column(batch, "doc_id"), "n_tokens": pa.array([len(x) // 4 for x in coded], pa.int64()),

@@ -25,11 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwarden.llm.arrow import column, pieces
+from txwarden.llm.chunks import ChunkCoder
 from txwarden.llm.presplit import Cutter, Layout, layout
 from txwarden.llm.store import tasks, written
 from txwarden.session import scratch_path
@@ -128,12 +129,12 @@ class TokenFile:
 
 @dataclass(frozen=True)
 class Settings:
-    """`end`: id after each document. `block_ids`: a block ends with the document that reaches so many ids. `known`: most
-    chunks that a worker remembers; when there are more it starts anew."""
+    """`end`: id after each document. `block_ids`: a block ends with the document that reaches so many ids. `bits`: a
+    worker remembers up to half of 2^bits chunks."""
 
     end: int = 2
     block_ids: int = 1 << 18
-    known: int = 400_000
+    bits: int = 22
 
 
 class Tokens:
@@ -146,25 +147,52 @@ class Tokens:
         self.library = Tokenizer.from_str(spec)
         self.library.no_padding()
         self.library.no_truncation()
-        self.cutter, self.settings, self.known = Cutter(plan), settings, {}
+        self.cutter = Cutter(plan)
+        self.coder = ChunkCoder(self.cutter, self.chunk_ids, settings.bits)
         self.end = np.array([settings.end], "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        words = self.library.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(self.library.get_vocab_size(), np.int64)
+        self.width[list(words.values())] = [len(x) for x in words]  # each letter of a byte-level word is a byte
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def chunk_ids(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of each chunk. Chunks from white space to a last other character are encoded as one text: the library
+        cuts it where they meet, and the bytes that each token covers tell whose it is."""
+        joint, alone = [], []
+        for x in chunks:
+            (joint if x[0].isspace() and not x[-1].isspace() and x not in self.cutter.whole else alone).append(x)
+        out = dict(zip(alone, self.ids(alone), strict=True))
+        for i in range(0, len(joint), 8192):
+            some = joint[i : i + 8192]
+            (found,) = self.ids(["".join(some)])
+            ends = np.searchsorted(np.cumsum(self.width[found]), np.cumsum([len(x.encode()) for x in some])) + 1
+            first = 0
+            for chunk, end in zip(some, ends.tolist(), strict=True):
+                out[chunk] = found[first:end]
+                first = end
+        return [out[x] for x in chunks]
+
+    def encode(self, data: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 32-bit integers."""
-        parts = [self.cutter.parts(text) for text in texts]
-        new = [x for x in set().union(*parts) if x not in self.known]
-        if len(self.known) + len(new) > self.settings.known:
-            self.known = {}
-            new = list(set().union(*parts))
-        for chunk, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        of = self.known.__getitem__
-        return [b"".join(map(of, x)) + self.end for x in parts]
+        found, ends = self.coder.encode(data, starts)
+        found = found.astype("<u4")
+        return [found[a:b].tobytes() + self.end for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _tokens: dict[str, Tokens] = {}
 
 
+def tokens_of(name: str, sent: Broadcast, settings: Settings) -> Tokens:
+    """A worker's encoder, kept with what it knows for the worker's next tasks. A function of the module: what a task
+    function holds itself would come anew with every task."""
+    if name not in _tokens:
+        _tokens.clear()
+        _tokens[name] = Tokens(*sent.value, settings)
+    return _tokens[name]
+
+
 def write_files(docs: DataFrame, file: str, path: str, settings: Settings = Settings()) -> None:
     """Encode the texts and write their ids under `path`, in ascending doc_id order over the files and in each.
 
@@ -181,9 +209,7 @@ def write_files(docs: DataFrame, file: str, path: str, settings: Settings = Sett
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, offset, place = TaskContext.get().partitionId(), 0, 0
-        if name not in _tokens:  # a worker keeps what it knows for its next tasks
-            _tokens.clear()
-            _tokens[name] = Tokens(*sent.value, settings)
+        tokens = tokens_of(name, sent, settings)
         doc_ids, held, waiting = [], [], 0
         offsets, firsts = [], []
 
@@ -197,8 +223,8 @@ def write_files(docs: DataFrame, file: str, path: str, settings: Settings = Sett
             doc_ids, held, waiting = [], [], 0
             return pa.record_batch({"raw": pa.array([raw], pa.binary())})
 
-        for batch, _, _ in pieces(batches):
-            coded = _tokens[name].encode([t or "" for t in column(batch, "text").to_pylist()])
+        for batch, data, starts in pieces(batches):
+            coded = tokens.encode(data, starts)
             for doc_id, ids in zip(column(batch, "doc_id").to_pylist(), coded, strict=True):
                 doc_ids.append(doc_id)
                 held.append(ids)
