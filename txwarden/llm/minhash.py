@@ -164,10 +164,14 @@ def blocks(open_rows: DataFrame, settings: Settings) -> DataFrame:
     ties = components(open_rows.join(low, "bucket").filter("low < rep").select("low", "rep").distinct())
     rows = open_rows.groupBy("rep", "n", "comp").count().drop("count")
     rows = rows.join(ties.select(F.col("a").alias("rep"), F.col("b").alias("tie")), "rep", "left").withColumn("tie", F.coalesce("tie", "rep"))
+    rows = rows.withColumn("weight", F.col("n") + 512)
     dealt = written(rows.repartitionByRange(tasks(rows.sparkSession), "tie", "rep").withColumn("part", F.spark_partition_id()), "dealt")
-    before = F.sum(F.col("n") + 512).over(Window.partitionBy("part").orderBy("tie", "rep"))
-    number = F.col("part").cast("long") * (1 << 32) + F.floor((before - 1) / settings.block)
-    return written(dealt.select("rep", "n", "comp", "tie", number.alias("block")), "blocks")
+    # Weights are summed within a part, and from part to part by one row each; so blocks are full however many parts there are.
+    inside = F.sum("weight").over(Window.partitionBy("part").orderBy("tie", "rep"))
+    before = dealt.groupBy("part").agg(F.sum("weight").alias("size")).selectExpr("part", "sum(size) over (order by part) - size as before")
+    placed = dealt.withColumn("inside", inside).join(F.broadcast(before), "part")
+    number = F.floor((F.col("before") + F.col("inside") - 1) / settings.block)
+    return written(placed.select("rep", "n", "comp", "tie", number.alias("block")), "blocks")
 
 
 def meet(left: pa.Table, right: pa.Table, settings: Settings) -> Iterator[tuple[int, int]]:
