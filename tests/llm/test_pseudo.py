@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from txwarden.llm.pseudo import Network, Settings, Vocabulary, neighbours, pseudo_likelihood, vocabulary
+from txwarden.llm.pseudo import Network, Settings, Vocabulary, neighbours, pseudo_likelihood, trained, vocabulary, word_counts, word_shares
 from txwarden.llm.shingles import words
 
 SMALL = Settings(classes=4, hashed=6, width=3, batch=16, rounds=1)
@@ -95,3 +95,36 @@ def test_given_documents(spark, folder):
     assert got[got["n_tokens"] > 0]["mean_pll"].mean() > -math.log(4096)
     again = pseudo_likelihood(docs).toPandas()
     assert again.sort_values("doc_id")["pll"].tolist() == pytest.approx(got.sort_values("doc_id")["pll"].tolist())
+
+
+def test_every_word_has_its_own_probability(spark):
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in draw.zipf(1.3, 60) % 300) for _ in range(80)] + [None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (0, texts[1]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    counts = Counter(w for _, t in rows for w in (t or "").split())
+    ranked = vocabulary(docs, SMALL)
+    known, place = Vocabulary(ranked, SMALL), {}
+    for w in counts:
+        place[w] = int(known.ids(np.array([word_hash(w)], np.uint64))[0])
+    held = Counter()
+    for w, n in counts.items():
+        held[place[w]] += n
+    assert len(held) == SMALL.size
+    log_share = {w: math.log(n / held[place[w]]) for w, n in counts.items()}
+    got = {r.word % (1 << 64): r.share for r in word_shares(word_counts(docs), ranked, SMALL).collect()}
+    assert got == pytest.approx({word_hash(w): s for w, s in log_share.items() if place[w] >= SMALL.frequent})
+    net = trained(docs, ranked, SMALL)
+    near = np.array([[1, 2, 16, 3]])
+    assert sum(math.exp(net.log_probabilities(near, np.array([place[w]]))[0] + log_share[w]) for w in counts) == pytest.approx(1, abs=1e-4)
+
+    def score(text):
+        ids = np.array([place[w] for w in (text or "").split()], np.int32)
+        if not len(ids):
+            return 0.0
+        return net.log_probabilities(neighbours(ids, np.array([0, len(ids)]), SMALL), ids).sum() + sum(log_share[w] for w in text.split())
+
+    want = sorted((i is not None, i or 0, score(t)) for i, t in rows)
+    found = sorted((r.doc_id is not None, r.doc_id or 0, r.pll) for r in pseudo_likelihood(docs, SMALL).collect())
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in want], abs=1e-2)

@@ -3,12 +3,15 @@
 Method. A window network sees the two words before and the two after a place, each through embeddings of its own for that
 offset, adds them, applies tanh, and gives a distribution over the vocabulary as a product of two softmaxes: a class of
 words, then a word of the class. The vocabulary has the most frequent words of the corpus; all other words share hashed
-places. A document's score is the sum over all its words of their log-probability given both sides.
+places, and a word's probability is that of its place times the word's share of all occurrences at that place. So the
+probabilities of all distinct words sum to that of all places, whatever the number of words. A document's score is the sum
+over all its words of their log-probability given both sides.
 
 Training is in numpy and covers the whole corpus: in each round every partition starts from the common parameters, masks a
 share of the places of all its texts, and foretells those by stochastic gradient descent; then the parameters are averaged,
-weighted by the number of places. Word counts and every partition's parameters go through the shuffle, so what is gathered
-grows with the corpus, while the driver only sees one set of parameters and the vocabulary.
+weighted by the number of places. Word counts, the words of shared places in every document, and every partition's
+parameters go through the shuffle, so what is gathered grows with the corpus, while the driver only sees one set of
+parameters and the vocabulary.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from txwarden.llm.arrow import column, pieces
 from txwarden.llm.shingles import words
+from txwarden.llm.store import written
 
 # Parameters travel in rows of so many values.
 ROW = 4096
@@ -71,8 +75,8 @@ class Vocabulary:
         return np.where(self.sorted[at] == hashes, self.order[at], shared)
 
 
-def vocabulary(docs: DataFrame, settings: Settings) -> np.ndarray:
-    """Hashes of the most frequent words of all texts, the most frequent first; ties go by hash."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """The hash of every distinct word of all texts and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -89,11 +93,31 @@ def vocabulary(docs: DataFrame, settings: Settings) -> np.ndarray:
                 held, counts = held[:0], counts[:0]
         yield out()
 
-    counted = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(counted: DataFrame, settings: Settings) -> np.ndarray:
+    """Hashes of the most frequent words, the most frequent first; ties go by hash."""
     rows = counted.orderBy(F.desc("n"), "word").limit(settings.frequent).select("word").toArrow()
     return rows.column("word").to_numpy().view(np.uint64)
 
 
+def vocabulary(docs: DataFrame, settings: Settings) -> np.ndarray:
+    """Hashes of the most frequent words of all texts, the most frequent first; ties go by hash."""
+    return most_frequent(word_counts(docs), settings)
+
+
+def word_shares(counted: DataFrame, ranked: np.ndarray, settings: Settings) -> DataFrame:
+    """Of each word at a shared place the logarithm of its share of the occurrences there."""
+    known = counted.sparkSession.createDataFrame(pa.table({"word": pa.array(ranked.view(np.int64))}))
+    rare = counted.join(F.broadcast(known), "word", "left_anti")
+    # Hashes are unsigned where places are taken; a negative long stands for itself and 2^64.
+    over = F.when(F.col("word") < 0, F.lit((1 << 64) % settings.hashed)).otherwise(F.lit(0))
+    placed = rare.withColumn("place", F.pmod(F.pmod("word", F.lit(settings.hashed)) + over, F.lit(settings.hashed)))
+    totals = placed.groupBy("place").agg(F.sum("n").alias("total"))
+    return placed.join(F.broadcast(totals), "place").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
 class Network:
     """Parameters as views of one vector: embeddings by offset (the last row stands for an edge), classes, words of a class."""
 
@@ -216,7 +240,7 @@ def trained(docs: DataFrame, ranked: np.ndarray, settings: Settings) -> Network:
 
 
 def scores(docs: DataFrame, net: Network, ranked: np.ndarray, settings: Settings) -> DataFrame:
-    """doc_id, n_tokens, pll of every document."""
+    """key, doc_id, n_tokens, pll of every document, as far as the places of its words go."""
     sent = docs.sparkSession.sparkContext.broadcast((net.values, ranked))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -230,9 +254,36 @@ def scores(docs: DataFrame, net: Network, ranked: np.ndarray, settings: Settings
             steps = [net.log_probabilities(near[i : i + 32768], ids[i : i + 32768]) for i in range(0, len(ids), 32768)]
             counts = np.diff(firsts)
             total = np.bincount(np.repeat(np.arange(len(counts)), counts), np.concatenate(steps) if steps else None, len(counts))
-            yield pa.record_batch({"doc_id": column(batch, "doc_id"), "n_tokens": pa.array(counts, pa.int64()), "pll": pa.array(total.astype(np.float64))})
+            yield pa.record_batch({
+                "key": column(batch, "key"), "doc_id": column(batch, "doc_id"), "n_tokens": pa.array(counts, pa.int64()),
+                "pll": pa.array(total.astype(np.float64)),
+            })
+
+    return docs.select("key", "doc_id", "text").mapInArrow(run, f"key long, doc_id {kind}, n_tokens long, pll double")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, pll double")
+def shared_words(docs: DataFrame, ranked: np.ndarray, settings: Settings) -> DataFrame:
+    """key, word, times: the distinct words of every document that are at shared places."""
+    sent = docs.sparkSession.sparkContext.broadcast(ranked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary(sent.value, settings)
+        for batch, data, starts in pieces(batches):
+            hashes, firsts = words(data, starts)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(firsts))
+            rare = known.ids(hashes) >= settings.frequent
+            hashes, of = hashes[rare], of[rare]
+            order = np.lexsort((hashes, of))
+            hashes, of = hashes[order], of[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+            at = np.flatnonzero(new)
+            yield pa.record_batch({
+                "key": column(batch, "key").take(pa.array(of[at])), "word": pa.array(hashes[at].view(np.int64)),
+                "times": pa.array(np.diff(np.append(at, len(of))), pa.int64()),
+            })
+
+    return docs.select("key", "text").mapInArrow(run, "key long, word long, times long")
 
 
 def pseudo_likelihood(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -242,6 +293,13 @@ def pseudo_likelihood(docs: DataFrame, settings: Settings = Settings()) -> DataF
     null or empty text has no words. Every word of a text of any length counts. Repeated rows train and score each; an empty
     table gives an empty result. A corpus of fewer words than the vocabulary leaves places unused.
     """
-    ranked = vocabulary(docs, settings)
-    out = scores(docs, trained(docs, ranked, settings), ranked, settings)
+    counted = written(word_counts(docs), "word-counts")
+    ranked = most_frequent(counted, settings)
+    # Rows of one doc_id and text have one key and one score.
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    out = written(scores(keyed, trained(docs, ranked, settings), ranked, settings), "place-scores")
+    rare = shared_words(keyed, ranked, settings).join(word_shares(counted, ranked, settings), "word")
+    within = rare.groupBy("key").agg(F.sum(F.col("times") * F.col("share")).alias("within"))
+    within = within.join(out.groupBy("key").agg(F.count("*").alias("rows")), "key").select("key", (F.col("within") / F.col("rows")).alias("within"))
+    out = out.join(within, "key", "left").select("doc_id", "n_tokens", (F.col("pll") + F.coalesce("within", F.lit(0.0))).alias("pll"))
     return out.withColumn("mean_pll", F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")))
