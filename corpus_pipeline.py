@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from txwarden.llm.catalog import prepare
 from txwarden.llm.langid import languages, learned
+from txwarden.llm.minhash import Settings as Near
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import packed
 from txwarden.llm.quality import judged
 from txwarden.llm.store import table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Near copies of a stage: five-word shingles, 0.8 or more. A pair at 0.8 is missed by 39 bands of 5 minima with probability
+# (1 - 0.8^5)^39 = 1.9e-7, and fewer than 0.65 of its 195 minima agree with probability 1.8e-7.
+NEAR = Near(words=5, percent=80, bands=39, rows=5, agree=0.65)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +43,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the smallest hash. Rows without a doc_id stay."""
     prepare(spark)
     docs = docs.select(COLUMNS)
-    stay = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    stay = near_duplicates(docs, NEAR).filter("kept").select("doc_id").distinct()
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS[1:])))
     rows = docs.join(stay, "doc_id", "left_semi").withColumn("place", first).filter("place = 1").select(COLUMNS)
     return rows.union(docs.filter("doc_id is null"))
