@@ -2,7 +2,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from txwarden.llm.packing import Settings, best_fit, packed
+from txwarden.llm.packing import Settings, best_fit, near_clusters, packed
 
 SCHEMA = "doc_id long, text string, source string, shard int, piece string"
 
@@ -60,3 +60,32 @@ def test_nothing_is_lost_and_no_bin_conflicts(spark):
         same = [text[r.doc_id] for r in members if text[r.doc_id] is not None]
         assert len(same) == len(set(same))
     assert packed(docs.limit(0)).collect() == []
+
+
+def test_no_bin_holds_two_near_copies(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for group in range(12):
+        words = [f"w{x}" for x in draw.integers(0, 100_000, 60)]
+        for copy in range(8):  # each with another last word, some with other spaces, without a doc_id or with one that repeats
+            text = ("  " if copy % 2 else " ").join([*words[:-1], f"z{copy}"])
+            doc_id = {5: None, 6: 7777}.get(copy, group * 10 + copy)
+            rows.append((doc_id, text, None, group, ""))
+    rows += [(900 + i, f"É b{i % 2}", None, 90 + i % 2, "") for i in range(2)] + [(902, "é b0", None, 90, ""), (903, " ", None, 92, ""), (904, " ", None, 92, ""), (905, None, None, 93, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = {r.mark: r.cluster for r in near_clusters(docs).collect()}
+    seen = defaultdict(set)
+    for r in docs.selectExpr("xxhash64(doc_id, text) as mark", "shard as g", "text").filter("trim(text) <> ''").collect():
+        seen[r.g].add(marks[r.mark])
+    assert all(len(of) == 1 for of in seen.values()) and len(set.union(*seen.values())) == len(seen)
+    # One shard: the number of bins shows how many copies were kept apart, as all texts of a bin are of other groups.
+    got = packed(docs, Settings(capacity=10_000), clusters=near_clusters(docs)).collect()
+    assert len(got) == len(rows)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.bin_id].append(r)
+    assert len(bins) == 8
+    groups = {r[0]: r[3] for r in rows}
+    for members in bins.values():
+        named = [groups[r.doc_id] for r in members if r.doc_id not in (None, 7777)]
+        assert len(named) == len(set(named)) and sum(r.n_words == 60 for r in members) == 12

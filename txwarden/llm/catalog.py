@@ -18,7 +18,7 @@ from txwarden.llm.bitpack import token_files
 from txwarden.llm.hosts import judged_urls
 from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
-from txwarden.llm.packing import packed
+from txwarden.llm.packing import near_clusters, packed
 from txwarden.llm.pivots import top_scores
 from txwarden.llm.pseudo import pseudo_likelihood
 from txwarden.llm.quality import judged
@@ -154,7 +154,8 @@ def op7_host_words(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packed(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    return packed(docs, clusters=near_clusters(docs))
 
 
 @query()

@@ -1,6 +1,7 @@
 """Best-fit packing of documents into bins of fixed capacity, where no bin holds two documents that conflict.
 
-Method. Documents conflict if they have the same source or are in the same duplicate cluster. A document longer than a bin
+Method. Documents conflict if they have the same source or are in the same duplicate cluster: near copies by the rule of
+near_duplicates, where the caller gives their clusters. A document longer than a bin
 is cut into pieces: full ones fill a bin each, the rest is packed. Pieces come longest first. Bins are held in order of
 their residual room, each with a bitmap of its sources and one of its clusters; a search starts at the smallest residual
 that is large enough and goes on to the next ones until a bin has neither bit set, so the tightest compatible bin is found.
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.store import written
 
 
@@ -70,18 +72,36 @@ def text_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | None = None) -> DataFrame:
+def text_mark() -> Column:
+    """Names rows of one doc_id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def near_clusters(docs: DataFrame) -> DataFrame:
+    """mark and cluster of every doc_id and text that has words: near copies, in lower case, share a cluster.
+
+    Marks stand for the doc_ids, so that rows without a doc_id count too, and texts that share one are told apart.
+    """
+    found = near_duplicates(docs.select(text_mark().alias("doc_id"), F.lower("text").alias("text")))
+    named = found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("mark"))
+    return named.agg(F.min("component_id").alias("cluster"))
+
+
+def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | None = None, clusters: DataFrame | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, n_pieces, start, n_words, bin_id, bin_start.
 
     `docs` has doc_id, text and source; `cluster` names a document's duplicate cluster, by default equal texts up to the
-    case of letters. A null source or cluster conflicts with nothing. A null or empty text is one piece of no words. Ties
+    case of letters. `clusters` (mark, cluster), as near_clusters gives them, go before that where they name one. A null source or cluster conflicts with nothing. A null or empty text is one piece of no words. Ties
     in length go by source, doc_id and place in the document; the bins of repeated rows may change places, nothing else. An
     empty table gives an empty result; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = F.when(F.col("text").isNotNull(), F.xxhash64(F.lower("text"))) if cluster is None else cluster
-    rows = docs.select("doc_id", text_words(F.col("text")).alias("total"), F.col("source").cast("string").alias("source"), named.alias("cluster"))
+    rows = docs.select("doc_id", text_words(F.col("text")).alias("total"), F.col("source").cast("string").alias("source"), named.alias("cluster"), text_mark().alias("mark"))
     rows = written(rows, "lengths")
+    if clusters is not None:
+        near = clusters.select("mark", F.col("cluster").alias("near"))
+        rows = written(rows.join(near, "mark", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near"), "clustered")
     capacity = F.lit(settings.capacity).cast("long")
     n_pieces = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / capacity))
     pieces = rows.withColumn("n_pieces", n_pieces).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pieces") - 1)).alias("piece"))
@@ -98,4 +118,4 @@ def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | N
         return pa.table({**take, "bin_id": pa.array(np.array(bins, np.int64) + first), "bin_start": pa.array(places, pa.int64())})
 
     schema = f"doc_id {kind}, piece long, n_pieces long, start long, n_words long, bin_id long, bin_start long"
-    return pieces.drop("total").groupBy("shard").applyInArrow(run, schema)
+    return pieces.drop("total", "mark").groupBy("shard").applyInArrow(run, schema)
