@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from txwarden.llm.hosts import NUMBER, RULES, Settings, judged_urls, viterbi, word_counts
+from txwarden.llm.hosts import NUMBER, RULES, Settings, host_words, judged_urls, viterbi, word_counts
 
 SCHEMA = "page_id long, url string, html string, host string, n int"
 
@@ -90,3 +90,21 @@ def test_word_counts(spark):
     rows = [(1, "<p class='no'>One two, TWO</p>"), (2, None), (3, "two é three<br>x" + "y" * 40)]
     got = {r.word: r.n for r in word_counts(spark.createDataFrame(rows, "page_id long, html string")).collect()}
     assert got == {"one": 1, "two": 3, "three": 1}
+
+
+def test_hosts_with_digits_users_ports_and_other_letters(spark):
+    want = {
+        "bestcasino24.net": ["best", "casino", NUMBER, "net"], "freepills4u.org": ["free", "pills", NUMBER, "u", "org"],
+        "user@bigcasino.net": ["big", "casino", "net"], "a@b:c@bigcasino.net:8080": ["big", "casino", "net"],
+        "best_free-pills.org:": ["best", "free", "pills", "org"], "10.0.0.7:80": [NUMBER] * 4, "casinoüü.org": ["casino", "üü", "org"],
+        "Ünet.org": ["ü", "net", "org"], "net24org": ["net", NUMBER, "org"], "great.net": ["great", "net"],
+    }
+    text = "best big casino free pills net org great u " * 30
+    counts = word_counts(spark.createDataFrame([(1, text)], "page_id long, html string"))
+    hosts = spark.createDataFrame([(h,) for h in [*want, "", "__"]], "host string")
+    got = {r.host: r.host_words for r in host_words(hosts, counts, Settings()).collect()}
+    assert got == want
+    rows = [(i, f"http://{h}/x", text, None, 0) for i, h in enumerate(want)]
+    scores = {r.page_id: r.score for r in judged_urls(spark.createDataFrame(rows, SCHEMA), Settings(rules=())).collect()}
+    judged = dict(zip(want, (scores[i] for i in range(len(want))), strict=True))
+    assert all(judged[h] > judged["great.net"] for h in want if "casino" in h or "pills" in h)

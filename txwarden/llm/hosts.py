@@ -1,7 +1,7 @@
 """URL filter: explicit rules first, and for the rest a naive Bayes score over segmented host names and path tokens.
 
-Method. A host is cut at dots and hyphens, and each label is split into words by Viterbi over a unigram model: the split
-with the highest product of word probabilities. Word counts come from the text of all pages; a few stated words count as
+Method. A host, without user and port, is cut into runs of letters and of digits; digits become a mark for numbers, and each
+run of letters is split into words by Viterbi over a unigram model: the split with the highest product of word probabilities. Word counts come from the text of all pages; a few stated words count as
 if they had been seen often, as names are made of them. A run of l letters that is no known word has the probability
 10 / (N * 10^l). Path tokens are the letter runs of the path, with a mark for numbers.
 
@@ -119,7 +119,7 @@ def viterbi(label: str, logs: dict[str, float], total: float) -> list[str]:
 
 
 def segmented(labels: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
-    """label and words of each distinct label (a-z runs are split, anything else stays whole)."""
+    """label and words of each distinct label, a run of letters."""
     total = counts.agg(F.sum("n")).first()[0] or 0
     often = max(1, round(total * settings.stated))
     stated = labels.sparkSession.createDataFrame([(w, often) for w in settings.unwanted], "word string, n long")
@@ -138,18 +138,26 @@ def segmented(labels: DataFrame, counts: DataFrame, settings: Settings) -> DataF
             words = []
             for label, hits in zip(column(batch, "label").to_pylist(), column(batch, "hits").to_pylist(), strict=True):
                 logs = {w: math.log(n / size) for w, n in hits or []}
-                words.append(viterbi(label, logs, size) if label.isascii() and label.isalpha() else [label])
+                words.append(viterbi(label, logs, size))
             yield pa.record_batch({"label": column(batch, "label"), "words": pa.array(words, pa.list_(pa.string()))})
 
     return labels.filter("label <> ''").join(hits, "label", "left").mapInArrow(run, "label string, words array<string>")
 
 
+def host_labels(host: Column) -> Column:
+    """The runs of letters and of digits of a host in order, without user and port; NUMBER for digits."""
+    name = F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*\\z", "")
+    runs = F.regexp_extract_all(F.lower(name), F.lit("\\p{Nd}+|[\\p{L}\\p{M}]+"), F.lit(0))
+    return F.transform(runs, lambda x: F.when(x.rlike("^\\p{Nd}"), F.lit(NUMBER)).otherwise(x))
+
+
 def host_words(hosts: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
     """host and its words in order, for each distinct host."""
     hosts = hosts.select("host").distinct()
-    labels = hosts.select("host", F.posexplode(F.split("host", "[.-]")).alias("place", "label"))
-    words = segmented(labels.select("label"), counts, settings)
-    joined = labels.join(words, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "words"))).alias("all"))
+    labels = hosts.select("host", F.posexplode(host_labels(F.col("host"))).alias("place", "label"))
+    words = segmented(labels.filter(F.col("label") != NUMBER).select("label"), counts, settings)
+    told = F.struct("place", F.coalesce("words", F.array("label")).alias("words"))
+    joined = labels.join(words, "label", "left").groupBy("host").agg(F.sort_array(F.collect_list(told)).alias("all"))
     return joined.select("host", F.flatten(F.col("all.words")).alias("host_words"))
 
 
