@@ -1,13 +1,13 @@
 """Ids of texts by way of their chunks: each chunk that a task meets again is looked up, not encoded again.
 
 Chunks are found and hashed over the bytes of many texts at once, and looked up in an open-addressing table of numpy arrays,
-which holds a chunk in a tenth of the room that a dict needs. A chunk is known by 128 bits of hash.
+which holds a chunk in a tenth of the room that a dict needs. A chunk of up to 15 bytes is its own key; a longer one is found
+by 128 bits of hash, and its bytes are compared with those in the table, so no hash decides about ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -15,19 +15,36 @@ import pyarrow as pa
 
 from txwarden.llm.arrow import text_bytes
 from txwarden.llm.presplit import Cutter
-from txwarden.llm.shingles import SPACE, mix
-
-_draw = np.random.default_rng(0xC0DE)
-VALUES = [_draw.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
-BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-
-
-@lru_cache(4)
-def weights(size: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse modulo 2^64."""
-    up, down = np.full(size, BASES[which], np.uint64), np.full(size, pow(BASES[which], -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+from txwarden.llm.shingles import SEEDS, SPACE, lanes_at, mix, run_hashes
+
+# Chunks of up to so many bytes lie in the two halves of their key, the last byte of which is the length.
+SHORT = 15
+LONG = np.uint64(0xFF) << np.uint64(56)
+
+
+def chunk_keys(data: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit values for each chunk: its bytes and its length if it is short, else two hashes under a mark."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    one = lanes_at(padded, at, lengths, 0)
+    two = np.where(lengths > 8, lanes_at(padded, at, np.maximum(lengths, 8), 1), np.uint64(0))
+    two = (two & ~LONG) | (lengths.astype(np.uint64) << np.uint64(56))
+    long = np.flatnonzero(lengths > SHORT)
+    if len(long):
+        one[long] = run_hashes(data, at[long], lengths[long], SEEDS[0])
+        two[long] = run_hashes(data, at[long], lengths[long], SEEDS[1]) | LONG
+    return one, two
+
+
+def same_runs(data: np.ndarray, at: np.ndarray, held: np.ndarray, where: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the runs of `data` at `at` and those of `held` at `where`, of equal lengths, have the same bytes. Both arrays
+    end with eight bytes more than the runs need."""
+    same, rest, k = np.ones(len(at), bool), np.arange(len(at)), 0
+    while len(rest):
+        equal = lanes_at(data, at[rest], lengths[rest], k) == lanes_at(held, where[rest], lengths[rest], k)
+        same[rest[~equal]] = False
+        k += 1
+        rest = rest[equal & (lengths[rest] > 8 * k)]
+    return same
 
 
 def chunk_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -52,7 +69,7 @@ def odd_places(data: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """From two 64-bit hashes to a place in a flat array of ids; at most half of the slots are taken."""
+    """From the two halves of a key to a place in a flat array of ids; at most half of the slots are taken."""
 
     def __init__(self, bits: int):
         self.bits = bits
@@ -65,11 +82,17 @@ class Table:
         self.entry = np.zeros(size, np.uint32)  # 0: free
         self.first, self.length = np.zeros(self.room + 1, np.uint32), np.zeros(self.room + 1, np.uint32)
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        # The bytes of long chunks end to end, and where those of an entry are.
+        self.bytes, self.filled = np.zeros(1 << 20, np.uint8), 0
+        self.place, self.size = np.zeros(self.room + 1, np.int64), np.zeros(self.room + 1, np.int64)
+
+    def slots(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return mix(one ^ mix(two)) & self.mask
 
     def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """The entry of each key, 0 if it is not there."""
         out = np.zeros(len(one), np.uint32)
-        rest, slot = np.arange(len(one)), one & self.mask
+        rest, slot = np.arange(len(one)), self.slots(one, two)
         while len(rest):
             entry = self.entry[slot]
             same = (self.one[slot] == one[rest]) & (self.two[slot] == two[rest]) & (entry > 0)
@@ -78,17 +101,21 @@ class Table:
             rest, slot = rest[on], (slot[on] + np.uint64(1)) & self.mask
         return out
 
-    def add(self, one: np.ndarray, two: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Entries for keys that are new and differ from each other; their ids come end to end."""
+    def hold(self, values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Entries for ids that come end to end; no key leads to them yet."""
         total = len(values)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + total] = values
-        entries = np.arange(self.count + 1, self.count + 1 + len(one), dtype=np.uint32)
+        entries = np.arange(self.count + 1, self.count + 1 + len(lengths), dtype=np.uint32)
         self.first[entries] = self.used + np.cumsum(lengths) - lengths
         self.length[entries] = lengths
-        self.used, self.count = self.used + total, self.count + len(one)
-        rest, slot = np.arange(len(one)), one & self.mask
+        self.used, self.count = self.used + total, self.count + len(lengths)
+        return entries
+
+    def add(self, one: np.ndarray, two: np.ndarray, entries: np.ndarray) -> None:
+        """Lead keys that are new and differ from each other to their entries."""
+        rest, slot = np.arange(len(one)), self.slots(one, two)
         while len(rest):
             free = np.flatnonzero(self.entry[slot] == 0)
             taken, who = np.unique(slot[free], return_index=True)
@@ -97,7 +124,21 @@ class Table:
             left = np.ones(len(rest), bool)
             left[free[who]] = False
             rest, slot = rest[left], (slot[left] + np.uint64(1)) & self.mask
-        return entries
+
+    def keep(self, entry: int, raw: bytes) -> None:
+        """Remember the bytes of a long chunk."""
+        while self.filled + len(raw) + 8 > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        self.bytes[self.filled : self.filled + len(raw)] = np.frombuffer(raw, np.uint8)
+        self.place[entry], self.size[entry] = self.filled, len(raw)
+        self.filled += len(raw)
+
+    def verified(self, padded: np.ndarray, at: np.ndarray, lengths: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Whether the bytes of long chunks are those of their entries."""
+        out = self.size[entries] == lengths
+        some = np.flatnonzero(out)
+        out[some] = same_runs(padded, at[some], self.bytes, self.place[entries[some]], lengths[some])
+        return out
 
 
 class ChunkCoder:
@@ -136,31 +177,44 @@ class ChunkCoder:
         """The ids of all chunks end to end, and how many each has."""
         if not len(at):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        size = 1 << max(20, (len(data) - 1).bit_length())
-        one, two = (np.add.reduceat(VALUES[w][data] * weights(size, w)[0][: len(data)], at) * weights(size, w)[1][at] for w in (0, 1))
-        one = mix(one)
+        sizes = np.diff(np.append(at, len(data)))
+        one, two = chunk_keys(data, at, sizes)
         entry = self.table.find(one, two)
         lost = np.flatnonzero(entry == 0)
-        if len(lost):
-            order = lost[np.lexsort((two[lost], one[lost]))]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
-            new = order[fresh]
-            if len(new) > self.table.room:  # more than the table can ever hold: a larger one
-                self.table = Table(int(2 * len(new)).bit_length() + 1)
-            if self.table.count + len(new) > self.table.room:  # full: start anew, with the chunks at hand
-                self.table.clear()
-                return self._chunks(data, raw, at)
-            ends = np.append(at[1:], len(data))
-            values = self.make([raw[a:b].decode() for a, b in zip(at[new].tolist(), ends[new].tolist(), strict=True)])
-            sizes = np.fromiter(map(len, values), np.int64, len(values))
-            flat = np.fromiter(chain.from_iterable(values), np.uint32, int(sizes.sum()))
-            added = self.table.add(one[new], two[new], flat, sizes)
+        order = lost[np.lexsort((two[lost], one[lost]))]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+        new = order[fresh]
+        if len(new) > self.table.room // 2:  # more than the table can hold well: a larger one
+            self.table = Table(int(4 * len(new)).bit_length() + 1)
+            return self._chunks(data, raw, at)
+        if self.table.count + len(new) > self.table.room:  # full: start anew, with the chunks at hand
+            self.table.clear()
+            return self._chunks(data, raw, at)
+        if len(new):
+            added = self._made(raw, at[new], sizes[new])
+            self.table.add(one[new], two[new], added)
+            for k in np.flatnonzero(sizes[new] > SHORT).tolist():
+                self.table.keep(int(added[k]), raw[at[new[k]] : at[new[k]] + sizes[new[k]]])
             entry[order] = added[np.cumsum(fresh) - 1]
+        long = np.flatnonzero(sizes > SHORT)
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        other = long[~self.table.verified(padded, at[long], sizes[long], entry[long])]
+        if len(other):  # a hash that two chunks share: the second is encoded wherever it occurs
+            if self.table.count + len(other) > self.table.room:
+                self.table = Table(int(4 * (self.table.count + len(other))).bit_length() + 1)
+                return self._chunks(data, raw, at)
+            entry[other] = self._made(raw, at[other], sizes[other])
         lengths = self.table.length[entry].astype(np.int64)
         total = int(lengths.sum())
         shift = self.table.first[entry].astype(np.int64) - (np.cumsum(lengths) - lengths)
         return self.table.ids[np.repeat(shift, lengths) + np.arange(total)], lengths
 
+    def _made(self, raw: bytes, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Entries for chunks that are encoded now."""
+        values = self.make([raw[a : a + n].decode() for a, n in zip(at.tolist(), sizes.tolist(), strict=True)])
+        lengths = np.fromiter(map(len, values), np.int64, len(values))
+        return self.table.hold(np.fromiter(chain.from_iterable(values), np.uint32, int(lengths.sum())), lengths)
+
     def encode_text(self, text: str) -> np.ndarray:
         return self.encode(*text_bytes(pa.array([text], pa.large_string())))[0]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 SPACE = np.zeros(256, bool)
@@ -12,11 +10,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _draw = np.random.default_rng(0x5EED)
-BYTE_VALUES = _draw.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BYTE_VALUES = BYTE_VALUES[LOWER]
-BYTE_VALUES[SPACE] = 0
-BASE = 0x9E3779B97F4A7C15 | 1
 PLACES = _draw.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SEEDS = _draw.integers(1, 1 << 63, 2, dtype=np.uint64)
+LANE_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,30 +25,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(2)
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2^64."""
-    up, down = np.full(size, BASE, np.uint64), np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+def lanes_at(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, k: int) -> np.ndarray:
+    """Bytes 8k to 8k + 7 of the runs of bytes that begin at `at`, as one number each; beyond a run's end they are zero.
+
+    `data` ends with eight bytes more than the runs need.
+    """
+    windows = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    return windows[at + 8 * k] & LANE_MASKS[np.minimum(lengths - 8 * k, 8)]
+
+
+def run_hashes(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """A 64-bit value for each run of bytes: eight bytes at a time go through a bijection that starts from the length.
+
+    Runs of up to eight bytes of one length never share a value. Longer ones are no polynomial in their bytes, so no fixed
+    pair of them collides by its form.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    out = mix(lanes_at(padded, at, lengths, 0) ^ mix(lengths.astype(np.uint64) + seed))
+    rest, k = np.flatnonzero(lengths > 8), 1
+    while len(rest):
+        out[rest] = mix(out[rest] + lanes_at(padded, at[rest], lengths[rest], k))
+        k += 1
+        rest = rest[lengths[rest] > 8 * k]
+    return out
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit value for each word (A-Z lower-cased), and where each text's words start (n + 1 values)."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    inside = ~SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
+def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins, its bytes, and where each text's words start (n + 1 values)."""
+    inside = np.zeros(len(data) + 1, bool)
+    np.logical_not(SPACE[data], out=inside[:-1])
+    first, last = inside[:-1].copy(), inside[:-1].copy()
+    first[1:] &= ~inside[:-2]
+    last &= ~inside[1:]
     heads = starts[:-1][starts[:-1] < len(data)]
     first[heads] = inside[heads]
+    tails = starts[1:][starts[1:] > 0] - 1
+    last[tails] = inside[tails]
     at = np.flatnonzero(first)
-    if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    size = 1 << max(20, int(len(data) - 1).bit_length())
-    up, down = powers(size)
-    sums = np.add.reduceat(BYTE_VALUES[data] * up[: len(data)], at)
-    return mix(sums * down[at]), np.searchsorted(at, starts)
+    return at, np.flatnonzero(last) + 1 - at, np.searchsorted(at, starts)
+
+
+def words(data: np.ndarray, starts: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value for each word (A-Z lower-cased, unless `lower` is false), and where each text's words start."""
+    at, lengths, firsts = word_spans(data, starts)
+    return run_hashes(LOWER[data] if lower else data, at, lengths, SEEDS[0]), firsts
 
 
 def runs(values: np.ndarray, starts: np.ndarray, k: int) -> list[np.ndarray]:
