@@ -32,7 +32,7 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_each_operator_has_its_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_stages(spark):

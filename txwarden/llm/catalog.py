@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import txwarden
+from txwarden.llm.alignment import aligned
 from txwarden.llm.archive import captures
 from txwarden.llm.automaton import encoded
 from txwarden.llm.bitpack import token_files
@@ -20,10 +21,12 @@ from txwarden.llm.langid import languages, learned
 from txwarden.llm.minhash import near_duplicates
 from txwarden.llm.packing import near_clusters, packed
 from txwarden.llm.pivots import top_scores
+from txwarden.llm.prefixes import conversation_trie
 from txwarden.llm.pseudo import pseudo_likelihood
 from txwarden.llm.quality import judged
 from txwarden.llm.revisits import head_text, resolved
 from txwarden.llm.store import table
+from txwarden.llm.substrings import without_repeats
 from txwarden.session import name_local_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,11 +70,11 @@ def query(sql: str | None = None):
     return add
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the box; elsewhere the operators take any byte-level file as a parameter."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer file of the box; elsewhere the operators take any such file as a parameter."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query(r"""
@@ -166,3 +169,18 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
+@query()
+def op12_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return aligned(table(spark, folder, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
