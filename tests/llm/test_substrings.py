@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from txwarden.llm.substrings import Settings, merged_sketch, packed_cells, sliding_least, unpacked_cells, without_repeats
+from txwarden.llm.substrings import Settings, merged_sketch, packed_cells, partition_sketches, sliding_least, unpacked_cells, without_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = Settings(cell_bits=12, fan=2)
@@ -84,7 +84,7 @@ def test_odd_texts(spark):
 
 def test_sketch_never_underestimates(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([x[1] for x in made(5)])], "doc_id long, text string")
-    few, many = merged_sketch(docs.coalesce(1), SMALL), merged_sketch(docs.repartition(13), SMALL)
+    few, many = (merged_sketch(partition_sketches(x, SMALL), SMALL, SMALL.rows) for x in (docs.coalesce(1), docs.repartition(13)))
     assert (few == many).all() and few.any()
 
 

@@ -176,7 +176,17 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(table(spark, folder, "conversations"))
 
 
-@query()
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM d WHERE len(words) >= 50),
+h AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(words[i:i + 49], ' ')) AS least FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM h WHERE least < doc_id),
+e AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
+""")
 def op12_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"))
 

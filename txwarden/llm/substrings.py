@@ -4,8 +4,9 @@ Method. A window is `window` consecutive words of one document. Two windows of t
 `anchor` words, its anchor, which neighbouring windows mostly share. Every partition counts the anchors of its documents, once
 a document, in a count-min sketch of cells that stop at two; the sketches of all partitions are merged. An anchor's estimate is
 the least of its cells, so it is never below the number of documents that hold a window of it, and a window whose anchor is
-estimated at one occurs nowhere else. A second pass takes only the windows estimated repeated and groups them exactly, by 128 bits
-of hash over their words, with partial sums before the shuffle; a third finds them in the documents that come later.
+estimated at one occurs nowhere else. A second pass takes only the windows estimated repeated and groups them exactly, by 96 bits
+of hash over their words, with partial sums before the shuffle; a third finds them in the documents that come later, behind a
+sketch of the windows that were found repeated.
 
 A partition's sketch travels as the cells it has set, region by region, and becomes a bitmap where that is smaller. Sketches
 are merged in two levels, so that no task holds more than `fan` of a region's first level. What is sent to the executors is one bit a
@@ -98,11 +99,12 @@ def windows(data: np.ndarray, starts: np.ndarray, settings: Settings, twice: boo
 
 
 def window_hashes(found: Windows, chosen: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit values for each chosen window."""
+    """64 and 32 bits for each chosen window, from words hashed twice."""
     where = found.at[chosen]
     if not len(where):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return run_values(found.words, settings.window, 1)[where], run_values(found.second, settings.window, 2)[where]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    two = run_values(found.second, settings.window, 2)[where] >> np.uint64(32)
+    return run_values(found.words, settings.window, 1)[where], two.astype(np.uint32).view(np.int32)
 
 
 def document_anchors(found: Windows) -> np.ndarray:
@@ -140,28 +142,40 @@ def unpacked_cells(raw: bytes) -> np.ndarray:
 SKETCH = "row int, region int, part int, once binary, more binary"
 
 
+def sketch_rows(part: int, row: int, once: np.ndarray, more: np.ndarray, settings: Settings) -> Iterator[pa.RecordBatch]:
+    """Sorted cells of one row of a partition's sketch, region by region."""
+    shift = min(REGION_BITS, settings.cell_bits)
+    edges = np.arange(settings.regions + 1) << shift
+    a, b = np.searchsorted(once, edges), np.searchsorted(more, edges)
+    for r in np.flatnonzero(np.diff(a) + np.diff(b)).tolist():
+        cells_of = [packed_cells(x[e[r] : e[r + 1]] - (r << shift), 1 << shift) for x, e in ((once, a), (more, b))]
+        yield pa.record_batch([pa.array([x]) for x in (row, r, part, *cells_of)], ARROW_SKETCH.names).cast(ARROW_SKETCH)
+
+
 def partition_sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     """The cells that each partition's anchors reach once, and those they reach more often."""
-    size, shift = 1 << min(REGION_BITS, settings.cell_bits), min(REGION_BITS, settings.cell_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = TaskContext.get().partitionId(), []
-        for _, data, starts in pieces(batches):
-            held.append(document_anchors(windows(data, starts, settings)))
+        held = [document_anchors(windows(data, starts, settings)) for _, data, starts in pieces(batches)]
         anchors = np.concatenate(held) if held else np.zeros(0, np.uint64)
         for row in range(settings.rows):
             found, n = np.unique(cells(anchors, row, settings), return_counts=True)
-            ends = np.searchsorted(found, np.arange(settings.regions + 1) << shift)
-            out = []
-            for region in np.flatnonzero(np.diff(ends)).tolist():
-                inside, often = found[ends[region] : ends[region + 1]] - (region << shift), n[ends[region] : ends[region + 1]] > 1
-                out.append((row, region, part, packed_cells(inside[~often], size), packed_cells(inside[often], size)))
-            if out:
-                yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], ["row", "region", "part", "once", "more"]).cast(ARROW_SKETCH)
+            yield from sketch_rows(TaskContext.get().partitionId(), row, found[n == 1], found[n > 1], settings)
 
     return docs.select("text").mapInArrow(run, SKETCH)
 
 
+def found_sketches(repeated: DataFrame, settings: Settings) -> DataFrame:
+    """The cells of windows that are known to be repeated, as cells reached often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.unique(cells(column(batch, "one").to_numpy().view(np.uint64), 0, settings)) for batch in batches]
+        if held:
+            yield from sketch_rows(TaskContext.get().partitionId(), 0, np.zeros(0, np.int64), np.unique(np.concatenate(held)), settings)
+
+    return repeated.select("one").mapInArrow(run, SKETCH)
+
+
 ARROW_SKETCH = pa.schema([("row", pa.int32()), ("region", pa.int32()), ("part", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
 
 
@@ -179,10 +193,10 @@ def merge(rows: pa.Table, settings: Settings, part: int) -> pa.Table:
     ], names=ARROW_SKETCH.names).cast(ARROW_SKETCH)
 
 
-def merged_sketch(docs: DataFrame, settings: Settings) -> np.ndarray:
-    """One bit for each cell of each row: whether two documents or more may have an anchor there."""
+def merged_sketch(sketches: DataFrame, settings: Settings, height: int) -> np.ndarray:
+    """The sketches of all partitions, of `height` rows, as one: a bit for each cell, set where it is reached often."""
     fan = settings.fan
-    first = partition_sketches(docs, settings).withColumn("some", F.floor(F.col("part") / fan).cast("int"))
+    first = sketches.withColumn("some", F.floor(F.col("part") / fan).cast("int"))
 
     def some(rows: pa.Table) -> pa.Table:
         return merge(rows.select(ARROW_SKETCH.names), settings, rows.column("some")[0].as_py())
@@ -192,7 +206,7 @@ def merged_sketch(docs: DataFrame, settings: Settings) -> np.ndarray:
 
     level = first.groupBy("row", "region", "some").applyInArrow(some, SKETCH)
     rows = level.groupBy("row", "region").applyInArrow(every, SKETCH).select("row", "region", "more").toArrow()
-    out = np.zeros((settings.rows, 1 << max(0, settings.cell_bits - 3)), np.uint8)
+    out = np.zeros((height, 1 << max(0, settings.cell_bits - 3)), np.uint8)
     width = (1 << min(REGION_BITS, settings.cell_bits)) // 8
     for row, region, more in zip(*(rows.column(c).to_pylist() for c in ("row", "region", "more")), strict=True):
         bits = np.zeros(8 * width, bool)
@@ -202,32 +216,33 @@ def merged_sketch(docs: DataFrame, settings: Settings) -> np.ndarray:
 
 
 def estimated_repeated(anchors: np.ndarray, sketch: np.ndarray, settings: Settings) -> np.ndarray:
-    """Whether the sketch estimates two documents or more for each anchor."""
+    """Whether all rows of the sketch have the cell of each value."""
     out = np.ones(len(anchors), bool)
-    for row in range(settings.rows):
+    for row in range(len(sketch)):
         at = cells(anchors, row, settings)
         out &= (sketch[row][at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
     return out
 
 
-def candidates(rows: DataFrame, sent: Broadcast, settings: Settings) -> DataFrame:
-    """Windows estimated repeated: doc_id and mark of their row, first word, and two hashes. Without `mark`, no places, and a
-    document's equal windows once."""
-    placed = "mark" in rows.columns
+def candidates(rows: DataFrame, sketch: Broadcast, settings: Settings, known: Broadcast | None = None) -> DataFrame:
+    """Windows estimated repeated: two hashes and the doc_id; with the sketch of those known to be repeated only windows in that,
+    with the mark of their row and their first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = sent.value
         for batch, data, starts in pieces(batches):
             found = windows(data, starts, settings, twice=True)
-            chosen = np.flatnonzero(estimated_repeated(found.anchors, sketch, settings))
+            chosen = np.flatnonzero(estimated_repeated(found.anchors, sketch.value, settings))
             one, two = window_hashes(found, chosen, settings)
+            if known is not None:
+                some = estimated_repeated(one, known.value, settings)
+                chosen, one, two = chosen[some], one[some], two[some]
             of = found.of[chosen]
-            out = {"one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)), "doc_id": column(batch, "doc_id").take(pa.array(of))}
-            if placed:
+            out = {"one": pa.array(one.view(np.int64)), "two": pa.array(two), "doc_id": column(batch, "doc_id").take(pa.array(of))}
+            if known is not None:
                 out |= {"mark": column(batch, "mark").take(pa.array(of)), "place": pa.array((found.at[chosen] - found.firsts[of]).astype(np.int32))}
             yield pa.record_batch(out)
 
-    return rows.mapInArrow(run, "one long, two long, doc_id long" + (", mark long, place int" if placed else ""))
+    return rows.mapInArrow(run, "one long, two int, doc_id long" + ("" if known is None else ", mark long, place int"))
 
 
 def repeated_windows(rows: DataFrame, sent: Broadcast, settings: Settings) -> DataFrame:
@@ -279,11 +294,14 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), text: bool
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("mark"))
     known = rows.filter("doc_id is not null")
-    sent = spark.sparkContext.broadcast(merged_sketch(known, settings))
+    context = spark.sparkContext
+    sent = context.broadcast(merged_sketch(partition_sketches(known, settings), settings, settings.rows))
     repeated = written(repeated_windows(known, sent, settings), "repeated-windows")
-    hits = candidates(known, sent, settings).join(repeated, ["one", "two"]).filter("least < doc_id")
+    again = context.broadcast(merged_sketch(found_sketches(repeated, settings), settings, 1))
+    hits = candidates(known, sent, settings, again).join(repeated, ["one", "two"]).filter("least < doc_id")
     places = hits.groupBy("doc_id", "mark").agg(F.collect_set("place").alias("places"))
     places = written(places, "places")
-    sent.destroy()
+    for held in (sent, again):
+        held.destroy()
     told = rows.alias("r").join(places.alias("p"), (F.col("r.mark") == F.col("p.mark")) & (F.col("r.doc_id") == F.col("p.doc_id")), "left")
     return cut(told.select("r.doc_id", "r.text", "p.places"), settings, text)
