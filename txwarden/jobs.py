@@ -5,7 +5,7 @@
     publish   CSV table to the transactions topic
     alerts    transactions topic, score with a saved model: alert topic, inference log, unreadable messages
     train     split, scale, fit, evaluate, save, log
-    search    random search, then fit, evaluate, save and log
+    search    search that learns from its trials, then fit, evaluate, save and log
     drift     training table against inference log, summary as JSON, columns as a table
 """
 
@@ -23,7 +23,9 @@ from txwarden.functions.expressions import ALERT_ABOVE
 from txwarden.operators.drift import BY_SIZE, DISTANCES, MIN_ROWS, TESTS, columns_frame, drift_job, summary_frame
 from txwarden.operators.prepare import sample_rows
 from txwarden.operators.sequence import number_rows, with_metadata
-from txwarden.plans.training import importances, optimized_training_job, quick_training_job, score_rows, training_job
+from txwarden.plans.training import (
+    PARZEN, RANDOM, boosted_trees, importances, optimized_training_job, quick_training_job, regularised_trees, score_rows, training_job,
+)
 from txwarden.schemas import INFERENCE_LOG
 from txwarden.session import build_session
 from txwarden.sources import kafka
@@ -65,9 +67,13 @@ def run_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     start_alerts(messages, args).awaitTermination()
 
 
+LEARNERS = {"boosted": (boosted_trees, "maxIter"), "regularised": (regularised_trees, "n_estimators")}
+
+
 def train(spark: SparkSession, args: argparse.Namespace) -> dict:
     df = read_csv(spark, args.data)
-    options = {"params": {"maxIter": args.trees}, "model_path": args.model, "runs_path": args.runs, "data_path": args.data}
+    make, trees = LEARNERS[args.learner]
+    options = {"params": {trees: args.trees}, "model_path": args.model, "runs_path": args.runs, "data_path": args.data, "make": make}
     if args.quick:
         done = quick_training_job(df, rows=args.quick, **options)
     else:
@@ -84,6 +90,7 @@ def search(spark: SparkSession, args: argparse.Namespace) -> dict:
         df = sample_rows(df, args.quick)
     done = optimized_training_job(
         df, trials=args.trials, parallelism=args.parallelism, model_path=args.model, runs_path=args.runs, data_path=args.data,
+        make=LEARNERS[args.learner][0], method=args.method, budgets=args.budgets,
     )
     print(done["best"], done["metrics"])
     return done
@@ -112,14 +119,16 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{flag.replace('_', '-')}", **options)
 
     needed, optional = {"required": True}, {"default": None}
+    learner = {"choices": list(LEARNERS), "default": "boosted"}
     job("publish", publish, data=needed, servers=needed, topic={"default": kafka.TRANSACTIONS}, by_time={"action": "store_true"})
     job("alerts", run_alerts, model=needed, checkpoint=needed, servers=optional, source={"default": kafka.TRANSACTIONS},
         out={"default": kafka.ALERTS}, above={"type": float, "default": ALERT_ABOVE}, starting={"default": "latest"},
         log=needed, dead_letters=needed, once={"action": "store_true"})
     job("train", train, data=needed, model=optional, runs=optional, importances=optional,
-        trees={"type": int, "default": 200}, quick={"type": int, "default": 0})
+        trees={"type": int, "default": 200}, quick={"type": int, "default": 0}, learner=learner)
     job("search", search, data=needed, model=optional, runs=optional, trials={"type": int, "default": 50},
-        parallelism={"type": int, "default": 2}, quick={"type": int, "default": 0})
+        parallelism={"type": int, "default": 2}, quick={"type": int, "default": 0}, learner=learner,
+        method={"choices": [PARZEN, RANDOM], "default": PARZEN}, budgets={"type": float, "nargs": "+", "default": [1.0]})
     job("drift", drift, reference=needed, current=needed, summary=needed, columns=optional, minimum={"type": int, "default": MIN_ROWS},
         method={"choices": [DISTANCES, TESTS, BY_SIZE], "default": DISTANCES})
     return top

@@ -57,3 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative fits a reliable place to cut their lineage."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote under the shared folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
