@@ -14,8 +14,10 @@ from txwarden.plans.training import fit_model, score_rows
 from txwarden.session import scratch_path
 from txwarden.sources.sinks import load_model, save_model
 from txwarden.streaming.alerts import Outputs, alerts, enrich, file_writer, read_stream_table, run_available, scored_writer
+from txwarden.streaming.counters import counter_rates, step_summaries
 from txwarden.streaming.inference_log import append_log, log_writer, read_log
 from txwarden.streaming.rates import batch_rate, detected_total, latest_rows, latest_writer, minute_counts, rates_of_minutes
+from txwarden.streaming.stateful import drop_repeats, numbered_writer
 
 
 def _stream(spark, folder) -> DataFrame:
@@ -158,3 +160,70 @@ def streamed_scaling(spark, folder) -> DataFrame:
     found = stage.transform(alerts(_scored(spark, folder))).select("event_id", F.round("scaled", 6).alias("scaled"))
     run_available(file_writer(found, out, scratch_path(spark, "scaled-checkpoint")))
     return spark.read.schema(found.schema).parquet(out)
+
+
+COUNTED = TX + """
+, samples AS (SELECT DISTINCT event_type, epoch_us(ts) AS t, score * 100 AS v FROM tx),
+inside AS (SELECT event_type, t, v, (t // 3600000000 - k) * 3600000000 AS start FROM samples, range(24) r(k)),
+steps AS (SELECT *, lag(v) OVER (PARTITION BY event_type, start ORDER BY t, v) AS p FROM inside),
+sums AS (SELECT event_type, start, count(*) AS n, min(t) AS a, max(t) AS z, arg_min(v, {'t': t, 'v': v}) AS v,
+  arg_max(v, {'t': t, 'v': v}) - arg_min(v, {'t': t, 'v': v}) + sum(CASE WHEN v < p THEN p ELSE 0 END) AS rise FROM steps GROUP BY ALL HAVING n > 1 AND z > a),
+sides AS (SELECT *, (z - a) / 1e6 AS covered, (z - a) / 1e6 / (n - 1) AS gap, (start + 86400000000 - z) / 1e6 AS after,
+  least((a - start) / 1e6, CASE WHEN rise > 0 AND v >= 0 THEN (z - a) / 1e6 * (v / rise) END) AS before FROM sums),
+rates AS (SELECT *, rise * ((covered + CASE WHEN before < gap * 1.1 THEN before ELSE gap / 2 END + CASE WHEN after < gap * 1.1 THEN after ELSE gap / 2 END) / covered) AS increase FROM sides)
+SELECT make_timestamp(start) AS window_start, make_timestamp(start + 86400000000) AS window_end, event_type, n,
+  round(increase, 5) AS increase, round(increase / 86400, 9) AS per_second FROM rates"""
+
+
+def _rounded(rates: DataFrame) -> DataFrame:
+    return _plain(rates).withColumns({"increase": F.round("increase", 5), "per_second": F.round("per_second", 9)})
+
+
+@query("R2", COUNTED)
+def counter_increases(spark, folder) -> DataFrame:
+    """The scores of each kind of event as a counter that often restarts: its rate over a day, every hour."""
+    samples = transactions(spark, folder).withColumn("v", F.col("score") * 100)
+    return _rounded(counter_rates(step_summaries(samples, "ts", "v", ["event_type"], "1 hour"), ["event_type"], "1 day", "1 hour"))
+
+
+@query("R2", COUNTED)
+def streamed_counter_increases(spark, folder) -> DataFrame:
+    """The same from a stream whose files each hold samples of all hours, and some samples twice."""
+    out, source = scratch_path(spark, "counters"), scratch_path(spark, "samples")
+    rows = table(spark, folder, "events")
+    rows.union(rows.where("event_id % 3 = 0")).repartition(3).write.parquet(source)
+    stream = read_stream_table(spark, source, rows.schema, maxFilesPerTrigger=1)
+    samples = stream.withColumn("v", F.get_json_object("props", "$.k").cast("int") / F.lit(100.0) * 100)
+    summaries = step_summaries(samples, "ts", "v", ["event_type"], "1 hour", late="1000 days")
+    run_available(latest_writer(summaries, out, scratch_path(spark, "counters-checkpoint")))
+    newest = latest_rows(spark.read.parquet(out), ["slice", "event_type"])
+    return _rounded(counter_rates(newest, ["event_type"], "1 day", "1 hour"))
+
+
+@query("S4 S5", TX + 'SELECT event_id, "Amount", score AS fraud_probability FROM tx WHERE score > 0.8')
+def alerts_once(spark, folder) -> DataFrame:
+    """Alerts of a sink that sent its first batch twice and all of them once more at the end: each is read once."""
+    source, out = scratch_path(spark, "sent-alerts"), scratch_path(spark, "alerts-once")
+    sent = transactions(spark, folder).where("score > 0.8").select("event_id", "Amount", F.col("score").alias("fraud_probability"), "ts")
+    for part in (sent.where("event_id % 2 = 0"), sent.where("event_id % 2 = 0"), sent.where("event_id % 2 = 1"), sent):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = read_stream_table(spark, source, sent.schema, maxFilesPerTrigger=1)
+    once = drop_repeats(stream, "event_id", "ts", "1000 days").drop("ts")
+    run_available(file_writer(once, out, scratch_path(spark, "once-checkpoint")))
+    return spark.read.schema(once.schema).parquet(out)
+
+
+@query("W1", "SELECT count(*) AS n, count(*) AS numbers, CAST(1 AS BIGINT) AS lowest, count(*) AS highest, count(*) AS events FROM events")
+def numbered_stream(spark, folder) -> DataFrame:
+    """Events numbered over the batches of a stream and a restart: every number from 1 on once, every event once."""
+    source, out = scratch_path(spark, "unnumbered"), scratch_path(spark, "numbered")
+    state, checkpoint = scratch_path(spark, "numbers"), scratch_path(spark, "numbers-checkpoint")
+    rows = table(spark, folder, "events").select("event_id", "ts")
+    for half in (0, 1):
+        rows.where(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(source)
+        stream = read_stream_table(spark, source, rows.schema, maxFilesPerTrigger=1)
+        run_available(numbered_writer(stream, ["ts", "event_id"], out, state, checkpoint))
+    found = spark.read.parquet(out)
+    return found.agg(
+        F.count("*").alias("n"), F.count_distinct("number").alias("numbers"), F.min("number").alias("lowest"), F.max("number").alias("highest"),
+        F.count_distinct("event_id").alias("events"))
