@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from txwarden.llm.arrow import text_bytes
-from txwarden.llm.langid import EDGE, FACTORS, LETTERS, Settings, fit, languages, learned, logits
+from txwarden.llm.langid import EDGE, FACTORS, LETTERS, Settings, counted_runs, features, fit, gathered, languages, learned, logits, text_parts
 
 WORDS = {"aa": "the of and that with for was his they are", "bb": "der die und ist nicht das von mit für über", "cc": "ñandú el los que para por una señal ción"}
 
@@ -34,9 +34,26 @@ def by_hand(model, text):
     return np.mean(rows, axis=0) + model.offsets if rows else model.offsets
 
 
-def test_logits_are_the_mean_of_the_runs():
-    rows = made(60)
-    model = fit([r[1] for r in rows], [r[2] for r in rows], Settings(epochs=1))
+def sampled(spark, rows, settings):
+    """Feature rows of (rank, text, language)."""
+    df = spark.createDataFrame([(r[2], r[1], int(r[0])) for r in rows], "lang string, text string, rank long")
+    return gathered(features(df, settings).toArrow(), settings)
+
+
+def test_features_stay_small_and_in_order(spark):
+    rows = [*made(30), (31, "the of " * 100_000, "aa"), (32, "", "bb")]
+    sample = sampled(spark, rows, Settings())
+    assert sample.names == ("aa", "bb", "cc") and len(sample.ids) == len(sample.counts) == sample.starts[-1]
+    assert (np.diff(sample.starts) < 300).all() and sample.held.sum() == sum(r[0] % 5 == 0 for r in rows)
+    again = gathered(features(spark.createDataFrame([(r[2], r[1], int(r[0])) for r in rows], "lang string, text string, rank long").repartition(7), Settings()).toArrow(), Settings())
+    assert (again.ids == sample.ids).all() and (again.label == sample.label).all()
+    ids, counts = counted_runs(b"ab ab", 1 << 15)  # twice: edge a, ab, b edge; edge ab edge's threes and its four
+    assert counts.sum() == 2 * 6 and (counts == 2).all()
+    assert text_parts(b"x" * 100, True, Settings()) == [b"x" * 100] and [len(x) for x in text_parts(b"x" * 100, False, Settings())] == [100, 16, 40]
+
+
+def test_logits_are_the_mean_of_the_runs(spark):
+    model = fit(sampled(spark, made(60), Settings(epochs=1)), Settings(epochs=1))
     texts = ["", "a", "the of", "  ", "Über Das 12 nicht!", "x" * 5000, "é"]
     import pyarrow as pa
 
@@ -78,3 +95,12 @@ def test_held_out_accuracy(spark, folder):
     long_ = got[got["n_chars"] > 100]
     assert (long_["lang_pred"] == long_["lang"]).mean() > 0.98
     assert got["accepted"].mean() > 0.97
+
+
+def test_a_language_left_out_is_mostly_rejected(spark, folder):
+    docs = spark.read.parquet(f"{folder.replace('0.001', '0.01')}/documents.parquet").filter("n_chars > 100")
+    model = learned(docs.filter("lang <> 'de'"))
+    got = languages(docs, model, keep=("lang",)).toPandas()
+    own = got[got["kept_lang"] != "de"]
+    assert 0 < model.cutoff <= 1 and own["accepted"].mean() > 0.97
+    assert got[got["kept_lang"] == "de"]["accepted"].mean() < 0.5 * own["accepted"].mean()

@@ -5,11 +5,15 @@ the mean of its embeddings, and a linear softmax gives the languages. Embeddings
 stochastic gradient descent in numpy on a bounded sample. A part of the sample that is not trained on sets the temperature
 of the scores and the score below which a prediction is rejected.
 
+The sampled texts stay on the executors: what comes to the driver of each is the buckets of its runs and how often each
+occurs, at most six bytes a bucket whatever the length of the text.
+
 As the mean is linear, buckets are multiplied with the softmax weights once, and a text costs one lookup for each run.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txwarden.llm.arrow import column, pieces, text_bytes
+from txwarden.llm.arrow import column, pieces
 
 UNKNOWN = "und"
 EDGE = 0x20
@@ -37,7 +41,7 @@ class Settings:
     """`sample`: most labelled documents of one language that the model is fitted on (whole texts);
     `most`: languages it is fitted on, the most frequent ones. `spans`: lengths in
     bytes of the cuttings that are trained on beside each whole text, so that short texts are known too. `rejected`:
-    share of well-predicted calibration documents whose scores lie below the rejection cutoff, which is 0.5 at most."""
+    share of well-predicted calibration documents whose scores lie below the rejection cutoff."""
 
     sample: int = 800
     most: int = 1000
@@ -110,64 +114,114 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def sparse(text: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of one text and the share of its runs that each has."""
+@dataclass(frozen=True)
+class Sample:
+    """Buckets of the sampled texts and of their cuttings end to end, how often each occurs, and where each one's begin; for
+    each its language as a number, and whether it is kept for calibration."""
+
+    names: tuple[str, ...]
+    ids: np.ndarray
+    counts: np.ndarray
+    starts: np.ndarray
+    label: np.ndarray
+    held: np.ndarray
+
+
+def counted_runs(text: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of one text and how many of its runs each has."""
     flat, _ = edged(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     found = np.concatenate([f for f in bucket_runs(flat, buckets) if len(f)] or [np.zeros(0, np.int32)])
     ids, counts = np.unique(found[found < buckets], return_counts=True)
-    return ids, (counts / max(1, counts.sum())).astype(np.float32)
-
-
-def fit(texts: list[str], languages: list[str], settings: Settings = Settings()) -> Model:
-    """Train on most of the sample, calibrate on every fifth document of each language."""
-    names = tuple(sorted(set(languages)))
-    draw = np.random.default_rng(settings.seed)
-    label = np.array([names.index(x) for x in languages], np.int64)
-    held = np.zeros(len(texts), bool)
-    for k in range(len(names)):
-        held[np.flatnonzero(label == k)[4::5]] = True
-    rows = []
-    for i in np.flatnonzero(~held).tolist():
-        raw = texts[i].encode()
-        rows.append((*sparse(raw, settings.buckets), label[i]))
-        for span in settings.spans:
-            if len(raw) > span:
-                start = int(draw.integers(0, len(raw) - span))
-                rows.append((*sparse(raw[start : start + span], settings.buckets), label[i]))
-    size = len(names)
+    return ids.astype("<u2" if buckets <= 1 << 16 else "<u4"), counts.astype("<u4")
+
+
+def text_parts(raw: bytes, held: bool, settings: Settings) -> list[bytes]:
+    """A text, and unless it is held for calibration a cutting of each span, from a place that depends on the text alone."""
+    parts, draw = [raw], np.random.default_rng((settings.seed, zlib.crc32(raw)))
+    for span in settings.spans:
+        if not held and len(raw) > span:
+            start = int(draw.integers(0, len(raw) - span))
+            parts.append(raw[start : start + span])
+    return parts
+
+
+FEATURES = "lang string, rank long, part int, held boolean, ids binary, counts binary"
+
+
+def features(rows: DataFrame, settings: Settings) -> DataFrame:
+    """lang, rank and text to the buckets of each text and its cuttings. Every fifth text of a language is for calibration."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, rank, text in zip(*(column(batch, c) for c in ("lang", "rank", "text")), strict=True):
+                held = rank.as_py() % 5 == 0
+                parts = [counted_runs(x, settings.buckets) for x in text_parts(text.as_buffer().to_pybytes(), held, settings)]
+                n = len(parts)
+                yield pa.record_batch({
+                    "lang": pa.array([lang.as_py()] * n), "rank": pa.array([rank.as_py()] * n, pa.int64()), "part": pa.array(range(n), pa.int32()),
+                    "held": pa.array([held] * n), "ids": pa.array([i.tobytes() for i, _ in parts], pa.binary()),
+                    "counts": pa.array([c.tobytes() for _, c in parts], pa.binary()),
+                })
+
+    return rows.select("lang", "rank", "text").mapInArrow(run, FEATURES)
+
+
+def gathered(table: pa.Table, settings: Settings) -> Sample:
+    """The feature rows as flat arrays, in an order that does not depend on partitions."""
+    table = table.sort_by([("lang", "ascending"), ("rank", "ascending"), ("part", "ascending")]).combine_chunks()
+    langs = table.column("lang").to_pylist()
+    names = tuple(sorted(set(langs)))
+    flat = lambda name, kind: np.frombuffer(b"".join(x.as_buffer() for x in table.column(name)), kind)
+    ids = flat("ids", "<u2" if settings.buckets <= 1 << 16 else "<u4")
+    sizes = np.array([x.as_buffer().size for x in table.column("counts")], np.int64) // 4
+    where = {name: k for k, name in enumerate(names)}
+    return Sample(
+        names, ids, flat("counts", "<u4"), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+        np.array([where[x] for x in langs], np.int64), np.array(table.column("held").to_pylist(), bool))
+
+
+def fit(sample: Sample, settings: Settings = Settings()) -> Model:
+    """Train on the texts and cuttings that are not held, calibrate on those that are."""
+    size, draw = len(sample.names), np.random.default_rng(settings.seed)
+    rows = np.flatnonzero(~sample.held & (np.diff(sample.starts) > 0))
     embeddings = draw.normal(0, 1 / settings.width, (settings.buckets, settings.width)).astype(np.float32)
     outward = draw.normal(0, 1 / settings.width, (settings.width, size)).astype(np.float32)
     offsets = np.zeros(size, np.float32)
     steps = settings.epochs * max(1, len(rows))
     for step in range(settings.epochs * len(rows)):
         if step % len(rows) == 0:
-            order = draw.permutation(len(rows))
-        ids, share, y = rows[order[step % len(rows)]]
-        if not len(ids):
-            continue
+            order = draw.permutation(rows)
+        k = order[step % len(rows)]
+        ids, counts = (x[sample.starts[k] : sample.starts[k + 1]] for x in (sample.ids, sample.counts))
+        share = (counts / counts.sum()).astype(np.float32)
         rate = settings.rate * (1 - step / steps)
         mean = share @ embeddings[ids]
         slope = softmax(mean @ outward + offsets)
-        slope[y] -= 1
+        slope[sample.label[k]] -= 1
         back = outward @ slope
         outward -= 0.05 * rate * np.outer(mean, slope)
         offsets -= 0.001 * rate * slope
         embeddings[ids] -= rate * share[:, None] * back
     weights = np.vstack([embeddings @ outward, np.zeros((1, size))])
-    return calibrated(Model(names, weights, offsets, 0.0), [texts[i] for i in np.flatnonzero(held)], label[held], settings)
+    return calibrated(Model(sample.names, weights, offsets, 0.0), sample, settings)
 
 
-def calibrated(model: Model, texts: list[str], label: np.ndarray, settings: Settings) -> Model:
+def calibrated(model: Model, sample: Sample, settings: Settings) -> Model:
     """Divide the logits by the temperature under which the held-out labels are likeliest, and set the cutoff."""
-    if not len(texts):
+    held = np.flatnonzero(sample.held)
+    if not len(held):
         return model
-    raw = logits(model, *text_bytes(pa.array(texts, pa.large_string())))
+    raw = np.zeros((len(held), len(model.languages)))
+    for i, k in enumerate(held.tolist()):
+        ids, counts = (x[sample.starts[k] : sample.starts[k + 1]] for x in (sample.ids, sample.counts))
+        raw[i] = counts.astype(np.float64) @ model.weights[ids] / max(1, int(counts.sum())) + model.offsets
+    label, every = sample.label[held], np.arange(len(held))
     grid = np.geomspace(0.1, 10, 81)
-    loss = [-np.log(softmax(raw / t)[np.arange(len(label)), label] + 1e-12).mean() for t in grid]
+    loss = [-np.log(softmax(raw / t)[every, label] + 1e-12).mean() for t in grid]
     heat = grid[int(np.argmin(loss))]
     scores = softmax(raw / heat)
     right = np.sort(scores.max(axis=1)[scores.argmax(axis=1) == label])
-    cutoff = min(0.5, float(right[int(settings.rejected * len(right))])) if len(right) else 0.0
+    cutoff = float(right[int(settings.rejected * len(right))]) if len(right) else 0.0
     return Model(model.languages, (model.weights / heat).astype(np.float64), model.offsets / heat, cutoff)
 
 
@@ -185,16 +239,15 @@ def learned(docs: DataFrame, settings: Settings = Settings()) -> Model:
     share = F.pmod(place, F.lit(1 << 20)) * F.col("size") < F.lit(2 * settings.sample) * F.lit(1 << 20)
     cut = known.select("doc_id", "lang", "text").join(F.broadcast(sizes), "lang").filter(share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id", "text"))
-    rows = cut.select("doc_id", "lang", "text", rank.alias("rank")).filter(F.col("rank") <= settings.sample)
-    got = rows.select("doc_id", "lang", "text").toPandas().sort_values(["doc_id", "lang", "text"])
-    return fit(got["text"].tolist(), got["lang"].tolist(), settings)
+    rows = cut.select("lang", "text", rank.cast("long").alias("rank")).filter(F.col("rank") <= settings.sample)
+    return fit(gathered(features(rows, settings).toArrow(), settings), settings)
 
 
 def languages(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, accepted, and the columns of `keep` as they are.
 
     Only the text decides. A text that is null or has no letter gets `und`, score 0, not accepted; so does every text if
-    no language was learned. Ties go to the first language in order. The cutoff of the model decides `accepted`. Repeated
+    no language was learned. Ties go to the first language in order. `accepted`: the score is not below the model's cutoff. Repeated
     rows give a row each; an empty table gives an empty result; columns other than doc_id and text are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
