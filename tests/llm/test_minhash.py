@@ -74,9 +74,14 @@ def test_odd_texts(spark):
     texts = {1: None, 2: "", 3: " \n", 4: "one", 5: "One", 6: "one two", 7: "two one", 8: "a b c", 9: "A\tb\nC", 10: "a b c a b c", 11: "É b c", 12: "é b c", 13: "w " * 60_000, 14: "w " * 70_000}
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in texts.items()], "doc_id long, text string, rep string, n int")
     compare(docs, texts)
-    again = docs.union(docs.filter("doc_id in (8, 1)")).union(spark.createDataFrame([(None, "a b c", "x", 1)], docs.schema))
+    nameless = [(None, t, "x", 1) for t in ("a b c", "p q r s", "p q r s t u v w x y z " * 3, "p q r s t u v w x y z " * 3 + "a", None, "")]
+    again = docs.union(docs.filter("doc_id in (8, 1)")).union(spark.createDataFrame(nameless, docs.schema))
     got = near_duplicates(again).collect()
-    assert len(got) == len(texts) + 2 and sum(r.doc_id == 8 for r in got) == 2
+    assert len(got) == len(texts) + 2 + len(nameless) and sum(r.doc_id == 8 for r in got) == 2
+    alone = [(r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is None]
+    # A copy of document 8, one alone, two near copies of each other, two without words.
+    assert alone.count((1, 8, False)) == 1 and alone.count((2, None, True)) == 1 and alone.count((0, None, True)) == 2
+    assert sorted(x[2] for x in alone if x[0] > 2) == [False, True] and all(x[1] is None for x in alone if x[0] > 2)
     assert near_duplicates(docs.limit(0)).collect() == []
 
 

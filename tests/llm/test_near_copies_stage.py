@@ -47,3 +47,15 @@ def test_five_words_and_four_fifths(spark):
     assert any(similarity(*p, 5) < 0.8 and similarity(*p, 3) >= 0.85 for p in pairs)
     got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows(texts.items()), SCHEMA), "")
     assert {r.doc_id for r in got.collect()} == kept_by_hand(texts)
+
+
+def test_no_clean_document_is_lost(spark):
+    """Texts that share a doc_id or have none stay if they are no copies; copies go, with whatever id they have."""
+    words = lambda k: " ".join(f"t{k}x{i}" for i in range(60))
+    docs = [(1, words(1)), (1, words(2)), (2, words(2) + " more"), (None, words(3)), (None, words(3)), (None, words(4)), (3, words(4)), (5, words(5)), (5, words(5)), (None, words(6) + " end"), (None, words(6))]
+    table = [(i, t, "en", "ab"[k % 2], len(t)) for k, (i, t) in enumerate(docs)]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(table, SCHEMA), "").collect()
+    kept = sorted(((r.doc_id, r.text.split("x")[0]) for r in got), key=repr)
+    assert kept == sorted([(1, "t1"), (1, "t2"), (None, "t3"), (3, "t4"), (5, "t5"), (None, "t6")], key=repr)
+    assert all((r.doc_id, r.text, r.lang, r.source, r.n_chars) in table for r in got)
+    assert corpus_pipeline.near_copies(spark, spark.createDataFrame([], SCHEMA), "").collect() == []

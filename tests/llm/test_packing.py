@@ -2,6 +2,8 @@ from collections import defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from txwarden.llm.packing import Settings, best_fit, near_clusters, packed
 
 SCHEMA = "doc_id long, text string, source string, shard int, piece string"
@@ -89,3 +91,10 @@ def test_no_bin_holds_two_near_copies(spark):
     for members in bins.values():
         named = [groups[r.doc_id] for r in members if r.doc_id not in (None, 7777)]
         assert len(named) == len(set(named)) and sum(r.n_words == 60 for r in members) == 12
+
+
+def test_rows_without_ids_spread_over_shards(spark):
+    docs = spark.range(20_000).selectExpr("cast(null as long) as doc_id", "'one two three' as text", "cast(null as string) as source").repartition(5)
+    got = packed(docs, cluster=F.lit(None).cast("long"))
+    sizes = [r["count"] for r in got.groupBy(F.shiftright("bin_id", 32)).count().collect()]
+    assert len(sizes) == 14 and max(sizes) < 2000 and sum(sizes) == 20_000

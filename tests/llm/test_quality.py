@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from txwarden.llm.quality import GRIDS, RATIOS, Risk, binomial_tail, judged
+from txwarden.llm.quality import GRIDS, LEVELS, Risk, binomial_tail, judged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, words string, kept int"
@@ -72,9 +72,36 @@ def test_cutoffs_hold_the_limit_and_reject(spark):
     assert lost <= risk.limit * 4800
     assert got.filter("doc_id < 10000 and doc_id % 5 = 0 and kept").count() == 0
     assert got.filter("doc_id >= 10000 and not kept").count() == 0
-    # The cutoff is the lowest one of the grid that the exact tail certifies.
-    level = risk.error / sum(map(len, GRIDS.values()))
-    tops = [(t.count("#") + t.count("$")) * 0 + counts(t)[2] * 1000 / counts(t)[0] for i, t, _ in rows if i < 10_000 and i % 5]
-    certified = [c for c in GRIDS["symbols"] if (k := sum(x > c for x in tops)) < len(tops) * risk.limit / len(RATIOS) and tail(k, len(tops), risk.limit / len(RATIOS)) <= level]
-    hit = got.filter("array_contains(rejected_by, 'symbols')").agg(F.min(F.expr("n_symbols * 1000 / n_words"))).first()[0]
-    assert min(certified) < hit
+    # The level is the strictest one up to which the exact tail certifies all, by the joint rejections.
+    good_counts = [counts(t) for i, t, _ in rows if i < 10_000 and i % 5]
+    sums = [sum(any(above_by_hand(c, rule, GRIDS[rule][j]) for rule in GRIDS) for c in good_counts) for j in range(LEVELS)]
+    passed = [tail(k, len(good_counts), risk.limit) <= risk.error for k in sums]
+    level = passed.index(False) - 1 if False in passed else LEVELS - 1
+    for r in got.filter("doc_id < 10000").collect():
+        c = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert set(r.rejected_by) == {rule for rule in GRIDS if above_by_hand(c, rule, GRIDS[rule][level])}
+
+
+def above_by_hand(c, rule, cutoff):
+    """All lines of these texts are one."""
+    words, chars, symbols, dup, repeats = c
+    top, bottom = {"symbols": (symbols, words), "dup_lines": (dup, 1), "repeats": (repeats, words), "long_words": (chars, words)}[rule]
+    return 1000 * top > cutoff * bottom
+
+
+def test_few_labels_certify_and_a_failure_ends_the_sequence(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, text + (" #a #b #c" if i < losses else ""), lang) for lang, start, n, losses in (("few", 0, 216, 0), ("enough", 1000, 217, 0), ("lossy", 2000, 217, 2003)) for i in range(start, start + n)]
+    rows += [(5000 + k, text + "".join(f" #{i}" for i in range(60)), lang) for k, lang in enumerate(("few", "enough", "lossy", None))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in rows if i < 5000] + [(5003, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in judged(docs, labels).collect()}
+    assert [got[5000 + k].kept for k in range(4)] == [True, False, False, True]
+    assert not any(r.rejected_by for i, r in got.items() if i < 2000)
+
+
+def test_kept_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", "en", 7, "x")], "doc_id long, text string, lang string, kept_at int, stratum string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    row = judged(docs, labels, keep=("lang", "text", "stratum", "kept_at")).first()
+    assert (row.lang, row.text, row.stratum, row.kept_at, row.kept) == ("en", "a b c d e f g h i j k", "x", 7, True)

@@ -81,11 +81,12 @@ def profiles(docs: DataFrame, settings: Settings) -> DataFrame:
             sets = runs(*words(data, starts), settings.words)
             f1, f2 = sums(sets)
             yield pa.record_batch({
-                "doc_id": column(batch, "doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "f1": f1, "f2": f2,
+                "doc_id": column(batch, "doc_id"), "nameless": column(batch, "nameless"),
+                "n": pa.array([len(s) for s in sets], pa.int64()), "f1": f1, "f2": f2,
                 "sig": pa.array([signature(s, family).tobytes() if len(s) else None for s in sets], pa.binary()),
             })
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary")
+    return docs.select("doc_id", "nameless", "text").mapInArrow(run, "doc_id long, nameless boolean, n long, f1 long, f2 long, sig binary")
 
 
 def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -248,14 +249,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     `docs` has doc_id (integer) and text; other columns are ignored. A text is null, empty or without words: n_shingles 0,
     its own component, kept. Fewer words than a shingle: the whole sequence is one shingle. Equal sets are linked, ties go
-    to the smallest doc_id. A doc_id that repeats gives a row for each of its rows, and each follows its own text; a null
-    doc_id is dropped, as it cannot name a component. An empty table gives an empty result. A document of any length counts with all its words.
+    to the smallest doc_id. A doc_id that repeats gives a row for each of its rows, and each follows its own text; where such
+    rows have different texts their components meet in the doc_id, so callers that need them apart give ids of their own. A
+    document with a null doc_id links like any other, after all that have one: kept if it is alone, or the first (by a hash of
+    the text) of a component without any doc_id, which has a null component_id. An empty table gives an empty result. A
+    document of any length counts with all its words.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text")).filter("doc_id is not null")
+    # Documents without an id stand behind the others, by their texts.
+    surrogate = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    nameless = F.col("doc_id").isNull()
+    docs = docs.select(F.when(nameless, surrogate).otherwise(F.col("doc_id").cast("long")).alias("doc_id"), nameless.alias("nameless"), "text")
     known = written(profiles(docs, settings), "profiles")
+    least = F.min(F.struct("doc_id", "nameless", "sig")).alias("least")
     classes = written(
-        known.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "sig")).alias("least"))
-        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), F.col("least.sig").alias("sig")), "classes")
+        known.filter("n > 0").groupBy("f1", "f2", "n").agg(least)
+        .select("f1", "f2", "n", F.col("least.doc_id").alias("rep"), F.col("least.nameless").alias("nameless"), F.col("least.sig").alias("sig")), "classes")
     members = written(buckets(classes, settings), "members")
     asked = members.select("rep").distinct()
     wanted = docs.join(asked, docs["doc_id"] == asked["rep"], "left_semi")
@@ -264,7 +272,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     sets = full_sets(wanted, settings).join(own, ["rep", "f1", "f2"]).dropDuplicates(["rep", "f1", "f2"])
     stars = class_links(members, written(sets.select("rep", "n", "sig", "shingles"), "sets"), settings)
     named = with_components(classes.select("f1", "f2", "n", "rep"), stars).select("f1", "f2", "n", "comp")
-    joined = known.filter("n > 0").select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"]).select("doc_id", "n", "comp")
-    rest = known.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("comp"))
-    return joined.union(rest).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), (F.col("doc_id") == F.col("comp")).alias("kept"))
+    joined = known.filter("n > 0").select("doc_id", "nameless", "n", "f1", "f2").join(named, ["f1", "f2", "n"]).select("doc_id", "nameless", "n", "comp")
+    rest = known.filter("n = 0").select("doc_id", "nameless", "n", F.col("doc_id").alias("comp"))
+    # Components of documents without an id are few or none: their own smallest member tells them.
+    unnamed = known.filter("nameless").select(F.col("doc_id").alias("comp")).distinct().withColumn("unnamed", F.lit(True))
+    told = joined.union(rest).join(unnamed, "comp", "left")
+    return told.select(
+        F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("unnamed").isNull(), F.col("comp")).alias("component_id"), (F.col("doc_id") == F.col("comp")).alias("kept"))

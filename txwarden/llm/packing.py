@@ -7,7 +7,8 @@ their residual room, each with a bitmap of its sources and one of its clusters;
 that is large enough and goes on to the next ones until a bin has neither bit set, so the tightest compatible bin is found.
 
 Rows are dealt into shards by a hash, as many as the rows need at a fixed mean size, and each shard is packed by one task.
-Copies of a cluster and rows of a hot source spread over all shards. Only ids and lengths are shuffled, never texts.
+Copies of a cluster, rows of a hot source, and rows that repeat or have no doc_id spread over all shards, as every row's place
+in the table is part of its hash. Only ids and lengths are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -92,13 +93,13 @@ def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | N
 
     `docs` has doc_id, text and source; `cluster` names a document's duplicate cluster, by default equal texts up to the
     case of letters. `clusters` (mark, cluster), as near_clusters gives them, go before that where they name one. A null source or cluster conflicts with nothing. A null or empty text is one piece of no words. Ties
-    in length go by source, doc_id and place in the document; the bins of repeated rows may change places, nothing else. An
+    in length go by source, doc_id and place in the document; which rows share a shard depends on how the table is cut into files. An
     empty table gives an empty result; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = F.when(F.col("text").isNotNull(), F.xxhash64(F.lower("text"))) if cluster is None else cluster
     rows = docs.select("doc_id", text_words(F.col("text")).alias("total"), F.col("source").cast("string").alias("source"), named.alias("cluster"), text_mark().alias("mark"))
-    rows = written(rows, "lengths")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "lengths")
     if clusters is not None:
         near = clusters.select("mark", F.col("cluster").alias("near"))
         rows = written(rows.join(near, "mark", "left").withColumn("cluster", F.coalesce("near", "cluster")).drop("near"), "clustered")
@@ -107,7 +108,7 @@ def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | N
     pieces = rows.withColumn("n_pieces", n_pieces).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pieces") - 1)).alias("piece"))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("n_words", F.least(capacity, F.col("total") - F.col("start")))
     shards = max(1, -(-(rows.agg(F.sum(n_pieces)).first()[0] or 0) // settings.shard))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "source"), F.lit(shards)))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "source", "row"), F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n_words", "descending"), ("source", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
@@ -118,4 +119,4 @@ def packed(docs: DataFrame, settings: Settings = Settings(), cluster: Column | N
         return pa.table({**take, "bin_id": pa.array(np.array(bins, np.int64) + first), "bin_start": pa.array(places, pa.int64())})
 
     schema = f"doc_id {kind}, piece long, n_pieces long, start long, n_words long, bin_id long, bin_start long"
-    return pieces.drop("total", "mark").groupBy("shard").applyInArrow(run, schema)
+    return pieces.drop("total", "mark", "row").groupBy("shard").applyInArrow(run, schema)

@@ -1,17 +1,19 @@
 """Quality rules whose cutoffs are chosen on labelled documents so that false rejection stays limited, with proof.
 
-Method. Every rule compares one ratio of a text with a cutoff from a fixed grid. For each stratum, rule and cutoff the
-good documents among the labelled ones are counted: n of them, k above the cutoff. The exact binomial tail
-P(Bin(n, limit) <= k) is the p-value of "this cutoff rejects more than `limit` of the good documents". A cutoff is
-certified if its p-value is at most error / tests (Bonferroni over all strata, rules and cutoffs); each rule takes the
-lowest certified cutoff of its stratum, and none if there is none. The limit of a stratum is split evenly over the rules,
-so with probability 1 - error no stratum loses more than `limit` of its good documents to these rules.
+Method. Every rule compares one ratio of a text with a cutoff. A level sets the cutoffs of all rules at once, from a loose level
+to ever stricter ones, and a stricter level rejects all that a looser one does. For each stratum and level the good documents
+among the labelled ones are counted: n of them, k rejected by any rule. The exact binomial tail P(Bin(n, limit) <= k) is the
+p-value of "this level rejects more than `limit` of the good documents". The levels of a stratum are tested in their fixed
+order, from the loosest on, and the first that is not certified ends the sequence, so each is tested at the whole error of its
+stratum; the strata share the error evenly (Bonferroni). So with probability 1 - error no stratum loses more than `limit` of its
+good documents. A stratum needs log(error / strata) / log(1 - limit) good labels to certify anything, 217 for four strata.
 
 All of it is DataFrame expressions: no Python runs on the executors.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -28,12 +30,14 @@ RATIOS = {
     "repeats": ("n_repeat_words", "n_words"),
     "long_words": ("word_chars", "n_words"),
 }
+# Cutoffs of the rules, one for each level, loose to strict.
 GRIDS = {
-    "symbols": (10, 20, 50, 100, 150, 200, 300, 500, 800),
-    "dup_lines": (50, 100, 150, 200, 300, 400, 500, 700, 900),
-    "repeats": (10, 20, 40, 60, 80, 100, 120, 150, 180),
-    "long_words": (7000, 8000, 9000, 10000, 12000, 15000, 20000, 30000, 50000),
+    "symbols": (800, 500, 300, 200, 150, 100, 50, 20, 10),
+    "dup_lines": (900, 700, 500, 400, 300, 200, 150, 100, 50),
+    "repeats": (180, 150, 120, 100, 80, 60, 40, 20, 10),
+    "long_words": (50000, 30000, 20000, 15000, 12000, 10000, 9000, 8000, 7000),
 }
+LEVELS = len(GRIDS["symbols"])
 
 
 @dataclass(frozen=True)
@@ -107,37 +111,40 @@ def binomial_tail(k: Column, n: Column, p: float, terms: int = 1000) -> Column:
 
 
 def certified(counts: DataFrame, good: DataFrame, risk: Risk) -> DataFrame:
-    """Per stratum the lowest certified cutoff of each rule, as columns cut_<rule>; null where none is.
+    """stratum, level and the cutoffs cut_<rule> of each stratum where a level is certified: the strictest one that is.
 
-    `counts` are features, `good` has the doc_id of good documents. Documents that fail the base rules do not count.
+    `counts` are features with a stratum, `good` has the doc_id of good documents. Documents that fail the base rules do not count.
     """
     held = counts.filter("not base_failed").join(good.select("doc_id").distinct(), "doc_id", "left_semi")
-    held = held.withColumn("stratum", F.coalesce(F.col(risk.stratum).cast("string"), F.lit("")))
-    tests = [(rule, cutoff) for rule, grid in GRIDS.items() for cutoff in grid]
-    sums = [F.sum(above(rule, cutoff).cast("long")).alias(f"{rule}_{cutoff}") for rule, cutoff in tests]
-    table = held.groupBy("stratum").agg(F.count("*").alias("n"), *sums)
+    rejected = [functools.reduce(lambda a, b: a | b, [above(rule, GRIDS[rule][j]) for rule in RATIOS]) for j in range(LEVELS)]
+    table = held.groupBy("stratum").agg(F.count("*").alias("n"), *[F.sum(r.cast("long")).alias(f"k{j}") for j, r in enumerate(rejected)])
     table = written(table, "holdout")
-    level = risk.error / (F.lit(len(tests)) * table.agg(F.count("*")).scalar())
-    rows = table.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(cutoff).cast("long").alias("cutoff"), F.col(f"{rule}_{cutoff}").alias("k")) for rule, cutoff in tests
-    ])).alias("t")).select("stratum", "n", "t.*")
-    passed = rows.filter(binomial_tail(F.col("k"), F.col("n"), risk.limit / len(RATIOS)) <= level)
-    return passed.groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RATIOS])
+    error = risk.error / table.agg(F.count("*")).scalar()
+    rows = table.select("stratum", "n", F.posexplode(F.array(*[F.col(f"k{j}") for j in range(LEVELS)])).alias("level", "k"))
+    tested = rows.withColumn("passed", binomial_tail(F.col("k"), F.col("n"), risk.limit) <= error)
+    # The sequence ends at the first level that does not pass.
+    ends = tested.groupBy("stratum").agg(F.coalesce(F.min(F.when(~F.col("passed"), F.col("level"))), F.lit(LEVELS)).alias("end")).filter("end > 0")
+    level = F.col("end") - 1
+    grids = [F.get(F.array(*[F.lit(c).cast("long") for c in GRIDS[rule]]), level).alias(f"cut_{rule}") for rule in RATIOS]
+    return ends.select("stratum", level.alias("level"), *grids)
 
 
 def judged(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, the columns of `keep`, its counts, base_failed, the rules that reject it, kept.
+    """One row per document: doc_id, the columns of `keep` under their names, its counts, base_failed, the rules that reject it, kept.
 
     `docs` has doc_id, text and the stratum column; `labels` has doc_id and quality (1: good). Other columns are ignored.
     A null or empty text has no words and fails the base rules. A null stratum is a stratum of its own. Labels: a document
     with several counts as good if all that are not null are 1; null ids match nothing. Repeated rows count each. Without
     labels no cutoff is certified and only the base rules reject; an empty table gives an empty result.
     """
-    counts = written(features(docs, (risk.stratum, *keep)), "features")
+    kept = {name: f"_kept_{i}" for i, name in enumerate(keep)}
+    rows = docs.select(
+        "doc_id", "text", F.coalesce(F.col(risk.stratum).cast("string"), F.lit("")).alias("stratum"), *[F.col(c).alias(k) for c, k in kept.items()])
+    counts = written(features(rows, ("stratum", *kept.values())), "features")
     good = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
     cuts = written(certified(counts, good, risk), "cutoffs")
-    rows = counts.withColumn("stratum", F.coalesce(F.col(risk.stratum).cast("string"), F.lit(""))).join(cuts, "stratum", "left")
+    rows = counts.join(cuts, "stratum", "left")
     hits = F.concat(*[F.when(above(rule, F.col(f"cut_{rule}")), F.array(F.lit(rule))).otherwise(F.array().cast("array<string>")) for rule in RATIOS])
     return rows.select(
-        "doc_id", *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", hits.alias("rejected_by"),
-    ).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+        "doc_id", *[F.col(k).alias(c) for c, k in kept.items()], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        hits.alias("rejected_by"), (~F.col("base_failed") & (F.size(hits) == 0)).alias("kept"))
