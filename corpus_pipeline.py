@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwarden.llm.catalog import prepare
@@ -39,14 +39,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id; of rows that share a doc_id, the one with
-    the smallest hash. Rows without a doc_id stay."""
+    """One document of each group of near copies, the one with the smallest doc_id, those without one last, ties by the hash
+    of doc_id and text. A document is a doc_id with its text: other texts of one doc_id are documents of their own, and so are
+    texts without a doc_id. Of rows with the same doc_id and text the one with the smallest hash of all columns stays, once."""
     prepare(spark)
-    docs = docs.select(COLUMNS)
-    stay = near_duplicates(docs, NEAR).filter("kept").select("doc_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS[1:])))
-    rows = docs.join(stay, "doc_id", "left_semi").withColumn("place", first).filter("place = 1").select(COLUMNS)
-    return rows.union(docs.filter("doc_id is null"))
+    docs = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("mark"))
+    found = written(near_duplicates(docs.select(F.col("mark").alias("doc_id"), "text"), NEAR).select("doc_id", "component_id").distinct(), "groups")
+    ids = docs.groupBy("mark", "doc_id").agg(F.min(F.xxhash64(*COLUMNS)).alias("row"))
+    placed = ids.join(found.withColumnRenamed("doc_id", "mark"), "mark")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "row")).alias("first"))
+    stay = first.select("first.mark", "first.row")
+    rows = docs.withColumn("row", F.xxhash64(*COLUMNS)).join(stay, ["mark", "row"], "left_semi")
+    return rows.select(COLUMNS).dropDuplicates()
 
 
 def bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
