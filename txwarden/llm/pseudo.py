@@ -33,6 +33,8 @@ from txwarden.llm.store import written
 
 # Parameters travel in rows of so many values.
 ROW = 4096
+# Places that are scored at once.
+PLACES = 16384
 
 
 @dataclass(frozen=True)
@@ -46,7 +48,7 @@ class Settings:
     width: int = 16
     rounds: int = 2
     masked: float = 0.15
-    batch: int = 1024
+    batch: int = 2048
     rate: float = 0.1
     seed: int = 3
 
@@ -148,60 +150,98 @@ class Network:
             out[rows] += log_softmax_at(z, np.arange(len(rows)), word[rows])
         return out
 
-    def gradient(self, near: np.ndarray, target: np.ndarray) -> tuple[Network, np.ndarray]:
-        """Gradient of the summed negative log-probabilities; that of the embeddings as one row for each place."""
+    def gradient(self, near: np.ndarray, target: np.ndarray, heads: Heads | None = None) -> tuple[Heads, np.ndarray]:
+        """Gradient of the summed negative log-probabilities: of classes and words in `heads`, which is cleared first, and of the
+        embeddings as one row for each place."""
         s = self.settings
-        g = Network(s, np.zeros(len(self.values), np.float32))
+        g = heads or Heads(s)
+        g.values[:] = 0
         h = self.hidden(near)
         kind, word = np.divmod(target, s.classes)
         z = softmax(h @ self.classes.T + self.class_bias)
         z[np.arange(len(z)), kind] -= 1
-        g.classes += z.T @ h
-        g.class_bias += z.sum(axis=0)
+        np.matmul(z.T, h, out=g.classes)
+        g.class_bias[:] = z.sum(axis=0)
         back = z @ self.classes
         order = np.argsort(kind.astype(np.uint16), kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(s.classes + 1))
+        kind, word, h_sorted = kind[order], word[order], h[order]
+        ends = np.searchsorted(kind, np.arange(s.classes + 1))
+        own = np.empty_like(back)
         for c in np.flatnonzero(np.diff(ends)).tolist():
-            rows = order[ends[c] : ends[c + 1]]
-            z = softmax(h[rows] @ self.words[c].T + self.word_bias[c])
-            z[np.arange(len(rows)), word[rows]] -= 1
-            g.words[c] += z.T @ h[rows]
-            g.word_bias[c] += z.sum(axis=0)
-            back[rows] += z @ self.words[c]
+            a, b = ends[c], ends[c + 1]
+            z = softmax(h_sorted[a:b] @ self.words[c].T + self.word_bias[c])
+            z[np.arange(b - a), word[a:b]] -= 1
+            np.matmul(z.T, h_sorted[a:b], out=g.words[c])
+            g.word_bias[c] = z.sum(axis=0)
+            np.matmul(z, self.words[c], out=own[a:b])
+        back[order] += own
         return g, back * (1 - h * h)
 
-    def step(self, near: np.ndarray, target: np.ndarray, squares: Network) -> None:
+    def step(self, near: np.ndarray, target: np.ndarray, squares: Network, heads: Heads | None = None) -> None:
         """One step, each parameter at its own rate by the squares of its past gradients."""
-        g, back = self.gradient(near, target)
-        for name in ("classes", "class_bias", "words", "word_bias"):
-            slope, past = getattr(g, name), getattr(squares, name)
-            past += slope * slope
-            getattr(self, name).__isub__(self.settings.rate * slope / np.sqrt(past + 1))
+        g, back = self.gradient(near, target, heads)
+        slope, past, first = g.values, squares.values[-len(g.values) :], len(self.values) - len(g.values)
+        past += slope * slope
+        self.values[first:] -= self.settings.rate * slope / np.sqrt(past + 1)
         for o in range(near.shape[1]):
-            order = np.argsort(near[:, o], kind="stable")
-            rows, firsts = np.unique(near[order, o], return_index=True)
+            order = np.argsort(near[:, o].astype(np.uint16) if self.settings.size < 1 << 16 else near[:, o], kind="stable")
+            sorted_ = near[order, o]
+            new = np.ones(len(sorted_), bool)
+            new[1:] = sorted_[1:] != sorted_[:-1]
+            firsts = np.flatnonzero(new)
+            rows = sorted_[firsts]
             slope = np.add.reduceat(back[order], firsts, axis=0)
-            squares.near[o][rows] += slope * slope
-            self.near[o][rows] -= self.settings.rate * slope / np.sqrt(squares.near[o][rows] + 1)
+            past = squares.near[o][rows] + slope * slope
+            squares.near[o][rows] = past
+            self.near[o][rows] -= self.settings.rate * slope / np.sqrt(past + 1)
+
+
+class Heads:
+    """Classes and words of a network alone, as views of one vector: room for a gradient, kept between steps."""
+
+    def __init__(self, settings: Settings):
+        n, w = settings.classes, settings.width
+        shapes = [(n, w), (n,), (n, n, w), (n, n)]
+        sizes = [int(np.prod(x)) for x in shapes]
+        self.values = np.zeros(sum(sizes), np.float32)
+        parts = np.split(self.values, np.cumsum(sizes)[:-1])
+        self.classes, self.class_bias, self.words, self.word_bias = (p.reshape(x) for p, x in zip(parts, shapes, strict=True))
+
+
+# Logits between these bounds need no shift before their exponentials are added up in single precision.
+PLAIN = 40.0
+
+
+def exponentials(z: np.ndarray) -> np.ndarray:
+    """exp of logits, each row up to a factor; in place."""
+    if len(z) and not (-PLAIN < z.min() and z.max() < PLAIN):
+        z -= z.max(axis=1, keepdims=True)
+    return np.exp(z, out=z)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    e = exponentials(z)
+    e /= e.sum(axis=1, keepdims=True)
+    return e
 
 
 def log_softmax_at(z: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+    if len(z) and not (-PLAIN < z.min() and z.max() < PLAIN):
+        z -= z.max(axis=1, keepdims=True)
     picked = z[rows, columns]
-    return picked - np.log(np.exp(z, out=z).sum(axis=1))
+    np.exp(z, out=z)
+    return picked - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
-def neighbours(ids: np.ndarray, starts: np.ndarray, settings: Settings) -> np.ndarray:
-    """The ids around each place of each text, before it and after it; `size` beyond an edge of the text."""
+def neighbours(ids: np.ndarray, starts: np.ndarray, settings: Settings, chosen: np.ndarray | None = None) -> np.ndarray:
+    """The ids around each place of each text (or around the chosen places), before it and after it; `size` beyond an edge of
+    the text."""
     w, n = settings.window, len(starts) - 1
     place = np.arange(len(ids)) + w * (np.repeat(np.arange(n), np.diff(starts)) + 1)
     flat = np.full(len(ids) + w * (n + 1), settings.size, np.int32)
     flat[place] = ids
+    if chosen is not None:
+        place = place[chosen]
     return np.stack([flat[place + o] for o in (*range(-w, 0), *range(1, w + 1))], axis=1)
 
 
@@ -214,15 +254,15 @@ def trained(docs: DataFrame, ranked: np.ndarray, settings: Settings) -> Network:
         def run(batches: Iterator[pa.RecordBatch], sent=sent, turn=turn) -> Iterator[pa.RecordBatch]:
             values, ranked = sent.value
             own, squares = Network(settings, values.copy()), Network(settings, np.zeros(len(values), np.float32))
-            known, places = Vocabulary(ranked, settings), 0
+            known, places, heads = Vocabulary(ranked, settings), 0, Heads(settings)
             draw = np.random.default_rng((settings.seed, turn, TaskContext.get().partitionId()))
             for _, data, starts in pieces(batches):
                 hashes, firsts = words(data, starts)
                 ids = known.ids(hashes)
                 masked = draw.permutation(np.flatnonzero(draw.random(len(ids)) < settings.masked))
-                near = neighbours(ids, firsts, settings)[masked]
+                near = neighbours(ids, firsts, settings, masked)
                 for i in range(0, len(masked), settings.batch):
-                    own.step(near[i : i + settings.batch], ids[masked[i : i + settings.batch]], squares)
+                    own.step(near[i : i + settings.batch], ids[masked[i : i + settings.batch]], squares, heads)
                 places += len(masked)
             if places:
                 rows = [own.values[i : i + ROW].astype(np.float64) for i in range(0, len(own.values), ROW)]
@@ -251,7 +291,7 @@ def scores(docs: DataFrame, net: Network, ranked: np.ndarray, settings: Settings
             hashes, firsts = words(data, starts)
             ids = known.ids(hashes)
             near = neighbours(ids, firsts, settings)
-            steps = [net.log_probabilities(near[i : i + 32768], ids[i : i + 32768]) for i in range(0, len(ids), 32768)]
+            steps = [net.log_probabilities(near[i : i + PLACES], ids[i : i + PLACES]) for i in range(0, len(ids), PLACES)]
             counts = np.diff(firsts)
             total = np.bincount(np.repeat(np.arange(len(counts)), counts), np.concatenate(steps) if steps else None, len(counts))
             yield pa.record_batch({
