@@ -48,7 +48,7 @@ class Settings:
     width: int = 16
     rounds: int = 2
     masked: float = 0.15
-    batch: int = 2048
+    batch: int = 1024
     rate: float = 0.1
     seed: int = 3
 
