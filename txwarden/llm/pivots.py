@@ -4,12 +4,12 @@ Method. Vectors are mapped so that a higher inner product is a smaller distance:
 more component sqrt(M - |x|^2) and a query q gets 0; then |q' - x'|^2 = |q|^2 + M - 2 q.x. Each vector is keyed by its nearest
 pivot and its distance to it; vectors of a pivot in order of distance are annuli, stored as blocks of bounded size. For a
 block with distances lo..hi from its pivot no vector is nearer to q' than max(d - hi, lo - d), d being the distance of q'
-and the pivot. So a query expands from the annuli nearest to it, and stops when that bound exceeds its k-th best distance.
+and the pivot. So a query expands from the annuli nearest to it, and is done with one whose bound exceeds its k-th best distance.
 
 Queries are met in blocks. Every query first gets a k-th best score among the sample that the pivots were chosen from; the
-join of query blocks and annuli leaves out what that score excludes; the task that walks a query block's annuli in order of
-their bound stops at the first bound beyond all its queries. Scores are integers and exact; bounds are widened by more than
-their rounding error.
+join of query blocks and annuli leaves out what that score excludes, which is where most of the search stops. The task that
+walks a query block's annuli takes them in order of the block's median bound and passes over those beyond all its queries'
+bounds without a look at their vectors. Scores are integers and exact; bounds are widened by more than their rounding error.
 """
 
 from __future__ import annotations
