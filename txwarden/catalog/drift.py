@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txwarden.catalog.inputs import SALES, sales, table, transactions, vectors
 from txwarden.catalog.registry import query
 from txwarden.operators import drift as d
+from txwarden.operators import profiles as p
 from txwarden.session import scratch_path
 from txwarden.sources.sinks import write_summary
 
@@ -82,6 +83,18 @@ def drift_flags_from_bins(spark, folder) -> DataFrame:
     return d.column_drift(*_sides(spark, folder), COLUMNS, precise=False).select("column", "method", "drifted")
 
 
+@query("A31 S7", DRIFTED + """SELECT c AS "column", method, score >= 0.1 AS drifted FROM scored""")
+def drift_from_profile(spark, folder) -> DataFrame:
+    """The flags against a stored profile of the reference, written in two parts and merged as it is read."""
+    reference, current = _sides(spark, folder)
+    path, grid = scratch_path(spark, "profile"), None
+    for part in (0, 1):
+        own = reference.where(F.pmod(F.xxhash64(*COLUMNS), F.lit(2)) == part)
+        grid = grid or p.new_grid(own, COLUMNS)
+        p.save_profile(p.build_profile(own, COLUMNS, grid), path, str(part))
+    return p.profile_drift(p.load_profile(spark, path), current, COLUMNS).select("column", "method", "drifted")
+
+
 @query("A32", DRIFTED + """
 SELECT count(*) AS n_columns, CAST(count_if(score >= 0.1) AS BIGINT) AS n_drifted, count_if(score >= 0.1) / count(*) >= 0.5 AS dataset_drift,
        bool_or(c = 'Amount' AND score >= 0.1) AS target_drift,

@@ -249,20 +249,23 @@ def _expected_cut(held: int, rows: int) -> tuple[int, int]:
     return int(max(share - slack, 0.0) * HASH_RANGE), int(min(share + slack, 1.0) * HASH_RANGE)
 
 
-def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42, **slicing) -> DataFrame:
-    """min(n, rows) rows: those with the smallest key hashes.
+# Probabilities at which a sample brackets its last row, and the accuracy of the sketch behind them.
+BRACKETS, SKETCH = 2000, 20_000
 
-    The n-th hash is found as an order statistic, and rows below it are kept where they are; only
-    rows that share that hash are ordered, by key.
+
+def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = (), seed: int = 42) -> DataFrame:
+    """min(n, rows) rows: those with the smallest key hashes, ties by the keys.
+
+    One pass counts the rows and sketches their hashes, which brackets the n-th from above; only the rows below that are ordered.
     """
-    hashed = _with_digest(df, keys, seed, "sample")
-    numbered = hashed.withColumn("_n", digest_number(F.col("_h")))
-    rows = df.count()
-    if rows <= n:
-        return df
     if n <= 0:
         return df.limit(0)
-    cut = quantiles(numbered, "_n", [n / rows], ranks=lambda _, count: [min(n, count) - 1], **slicing)[0]["q"][0]
-    below = numbered.where(F.col("_n") < int(cut))
-    at = numbered.where(F.col("_n") == int(cut)).orderBy("_h", *(keys or df.columns)).limit(n - below.count())
-    return below.unionByName(at).drop("_h", "_n")
+    numbered = _with_digest(df, keys, seed, "sample").withColumn("_n", digest_number(F.col("_h")))
+    shares = [k / BRACKETS for k in range(BRACKETS + 1)]
+    facts = numbered.agg(F.count("*").alias("rows"), F.percentile_approx("_n", shares, SKETCH).alias("at")).first()
+    if facts["rows"] <= n:
+        return df
+    # A rank of the sketch is off by rows / SKETCH at most.
+    above = math.ceil(BRACKETS * (n / facts["rows"] + 2 / SKETCH))
+    near = numbered if above >= BRACKETS else numbered.where(F.col("_n") <= F.lit(facts["at"][above]))
+    return near.orderBy("_n", "_h", *(keys or df.columns)).limit(n).drop("_h", "_n")
