@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from txwarden.catalog.inputs import TX, table, transactions
 from txwarden.catalog.registry import query
 from txwarden.operators.prepare import AmountScaler
+from txwarden.operators.sketches import RANK_ERROR, latency_of_sketches, step_sketches
 from txwarden.plans.training import fit_model, score_rows
 from txwarden.session import scratch_path
 from txwarden.sources.sinks import load_model, save_model
@@ -227,3 +228,23 @@ def numbered_stream(spark, folder) -> DataFrame:
     return found.agg(
         F.count("*").alias("n"), F.count_distinct("number").alias("numbers"), F.min("number").alias("lowest"), F.max("number").alias("highest"),
         F.count_distinct("event_id").alias("events"))
+
+
+@query("A33 A9", TX + """
+SELECT user_id % 7 AS shard, count(*) AS requests, TRUE AS p95_within, TRUE AS p99_within, round(avg("Amount"), 6) AS mean_ms,
+       round(sum("Class") / count(*), 9) AS error_rate FROM tx GROUP BY 1""")
+def sketched_latency(spark, folder) -> DataFrame:
+    """Hourly sketches kept by a stream, merged: the share of exact values below each percentile, against three times the
+    sketch's error."""
+    out = scratch_path(spark, "latency-sketches")
+    stream = _stream(spark, folder).select("ts", (F.col("user_id") % 7).alias("shard"), "value", (F.col("event_type") == "error").alias("failed"))
+    hours = step_sketches(stream, "ts", "value", "failed", ["shard"], "1 hour", late="1000 days")
+    run_available(latest_writer(hours, out, scratch_path(spark, "sketches-checkpoint")))
+    report = latency_of_sketches(latest_rows(spark.read.parquet(out), ["slice", "shard"]), ["shard"])
+    exact = transactions(spark, folder).select((F.col("user_id") % 7).alias("shard"), "Amount").join(report, "shard")
+    share = lambda c: F.count_if(F.col("Amount") < F.col(c)) / F.count("*")
+    upto = lambda c: F.count_if(F.col("Amount") <= F.col(c)) / F.count("*")
+    near = lambda c, p: ((share(c) <= p + 3 * RANK_ERROR) & (upto(c) >= p - 3 * RANK_ERROR))
+    return exact.groupBy("shard").agg(
+        F.max("requests").alias("requests"), near("p95_ms", 0.95).alias("p95_within"), near("p99_ms", 0.99).alias("p99_within"),
+        F.round(F.max("mean_ms"), 6).alias("mean_ms"), F.round(F.max("error_rate"), 9).alias("error_rate"))
