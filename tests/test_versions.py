@@ -1,0 +1,61 @@
+import json
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
+
+from txwarden.sources import versions
+from txwarden.sources.versions import Overtaken, current_scorer, in_charge, load_in_charge, promote, save_version
+from txwarden.streaming.alerts import Outputs, run_available, scored_writer
+from txwarden.streaming.inference_log import read_log
+
+
+def constant(p):
+    return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, {p}D AS fraud_probability FROM __THIS__")])
+
+
+def test_one_of_two_promotions_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    assert in_charge(spark, path) == (0, None)
+    with pytest.raises(FileNotFoundError):
+        load_in_charge(spark, path)
+    one, two = save_version(constant(0.1), path), save_version(constant(0.2), path)
+    seen = in_charge(spark, path)[0]  # by both writers
+    assert promote(spark, path, one, seen) == 1
+    with pytest.raises(Overtaken):
+        promote(spark, path, two, seen)
+    assert in_charge(spark, path) == (1, one)
+    assert promote(spark, path, two, 1) == 2 and in_charge(spark, path) == (2, two)
+    assert promote(spark, path, one, 2) == 3 and in_charge(spark, path) == (3, one)  # back again
+    with pytest.raises(FileNotFoundError):
+        promote(spark, path, "nothing", 3)
+    # A writer that comes between the other's look and its rename
+    promote(spark, path, two, 3)
+    monkeypatch.setattr(versions, "in_charge", lambda *_: (3, one))
+    with pytest.raises(Overtaken):
+        promote(spark, path, one, 3)
+    monkeypatch.undo()
+    assert in_charge(spark, path) == (4, two)
+    assert sorted(x.name for x in (tmp_path / "m" / "promoted").iterdir() if not x.name.startswith(".")) == [f"{n:09d}" for n in (1, 2, 3, 4)]
+
+
+def test_a_stream_takes_up_a_version_between_batches(spark, tmp_path):
+    path, source = str(tmp_path / "m"), tmp_path / "in"
+    source.mkdir()
+    promote(spark, path, save_version(constant(0.3), path), 0)
+    scorer = current_scorer(spark, path, lambda model, rows: model.transform(rows))
+    outputs = Outputs(*[str(tmp_path / x) for x in ("log", "dead", "alerts")])
+    for k, text in enumerate(("a", "b", "c")):
+        (source / f"{text}.txt").write_text("\n".join(json.dumps({"Amount": 1.0, "transaction_id": f"{text}{i}"}) for i in range(4)))
+        if k == 1:
+            promote(spark, path, save_version(constant(0.9), path), 1)
+        messages = spark.readStream.text(str(source))
+        run_available(scored_writer(messages, scorer, outputs, str(tmp_path / "c"), schema=_schema(), features=["Amount"]))
+    got = {r.transaction_id: r.prediction for r in read_log(spark, outputs.log).collect()}
+    assert got == {f"{t}{i}": (0.3 if t == "a" else 0.9) for t in "abc" for i in range(4)}
+
+
+def _schema():
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField("Amount", T.DoubleType()), T.StructField("transaction_id", T.StringType())])

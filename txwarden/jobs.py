@@ -31,6 +31,7 @@ from txwarden.session import build_session
 from txwarden.sources import kafka
 from txwarden.sources.sinks import load_model, write_importances, write_summary
 from txwarden.sources.tables import read_csv, read_transactions
+from txwarden.sources.versions import current_scorer
 from txwarden.streaming.alerts import Outputs, scored_writer
 from txwarden.streaming.inference_log import read_log
 
@@ -52,10 +53,17 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def start_alerts(messages: DataFrame, args: argparse.Namespace) -> StreamingQuery:
-    """One query scores each message once and writes alerts, log and unreadable messages."""
-    model = load_model(args.model)
+    """One query scores each message once and writes alerts, log and unreadable messages; with `versions` each batch by the
+    version in charge."""
+    if bool(args.model) == bool(args.versions):
+        raise ValueError("name a model or a folder of versions")
+    if args.versions:
+        score = current_scorer(messages.sparkSession, args.versions)
+    else:
+        model = load_model(args.model)
+        score = lambda rows: score_rows(model, rows)
     outputs = Outputs(args.log, args.dead_letters, args.out, args.servers)
-    writer = scored_writer(messages, lambda rows: score_rows(model, rows), outputs, args.checkpoint, args.above)
+    writer = scored_writer(messages, score, outputs, args.checkpoint, args.above)
     return (writer.trigger(availableNow=True) if args.once else writer).start()
 
 
@@ -121,7 +129,7 @@ def parser() -> argparse.ArgumentParser:
     needed, optional = {"required": True}, {"default": None}
     learner = {"choices": list(LEARNERS), "default": "boosted"}
     job("publish", publish, data=needed, servers=needed, topic={"default": kafka.TRANSACTIONS}, by_time={"action": "store_true"})
-    job("alerts", run_alerts, model=needed, checkpoint=needed, servers=optional, source={"default": kafka.TRANSACTIONS},
+    job("alerts", run_alerts, model=optional, versions=optional, checkpoint=needed, servers=optional, source={"default": kafka.TRANSACTIONS},
         out={"default": kafka.ALERTS}, above={"type": float, "default": ALERT_ABOVE}, starting={"default": "latest"},
         log=needed, dead_letters=needed, once={"action": "store_true"})
     job("train", train, data=needed, model=optional, runs=optional, importances=optional,
