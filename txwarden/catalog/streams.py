@@ -15,6 +15,7 @@ from txwarden.plans.training import fit_model, score_rows
 from txwarden.session import scratch_path
 from txwarden.sources.sinks import load_model, save_model
 from txwarden.streaming.alerts import Outputs, alerts, enrich, file_writer, read_stream_table, run_available, scored_writer
+from txwarden.streaming.compaction import clean_log, fold_log
 from txwarden.streaming.counters import counter_rates, step_summaries
 from txwarden.streaming.inference_log import append_log, log_writer, read_log
 from txwarden.streaming.rates import batch_rate, detected_total, latest_rows, latest_writer, minute_counts, rates_of_minutes
@@ -67,6 +68,25 @@ def streamed_log_two_runs(spark, folder) -> DataFrame:
     return _logged(spark, out)
 
 
+@query("S6", TX + f"{LOG} UNION ALL {LOG} UNION ALL {LOG} WHERE score > 0.8")
+def streamed_log_folded(spark, folder) -> DataFrame:
+    """A log of many batches, folded after the first run and again after a second one and an append, then cleaned."""
+    out, source = scratch_path(spark, "inference-log"), scratch_path(spark, "log-events")
+    events = table(spark, folder, "events")
+    events.repartition(6).write.parquet(source)
+    score = F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)
+    rows = read_stream_table(spark, source, events.schema, maxFilesPerTrigger=2)
+    rows = rows.select("event_id", F.col("value").alias("Amount"), score.alias("fraud_probability"))
+    for _ in range(2):
+        run_available(log_writer(rows, out, scratch_path(spark, "log-checkpoint")))
+        fold_log(spark, out)
+    batch = transactions(spark, folder).select("event_id", "Amount", F.col("score").alias("fraud_probability"))
+    append_log(batch.where("fraud_probability > 0.8"), out)
+    fold_log(spark, out)
+    clean_log(spark, out, keep_seconds=0)
+    return _logged(spark, out)
+
+
 @query("A28", TX + "SELECT CAST(count_if(score > 0.5) AS BIGINT) AS detected FROM tx")
 def streamed_detections(spark, folder) -> DataFrame:
     out = scratch_path(spark, "detections")

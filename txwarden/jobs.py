@@ -33,6 +33,7 @@ from txwarden.sources.sinks import load_model, write_importances, write_summary
 from txwarden.sources.tables import read_csv, read_transactions
 from txwarden.sources.versions import current_scorer
 from txwarden.streaming.alerts import Outputs, scored_writer
+from txwarden.streaming.compaction import FILE_BYTES, clean_log, fold_log
 from txwarden.streaming.inference_log import read_log
 
 
@@ -116,6 +117,13 @@ def drift(spark: SparkSession, args: argparse.Namespace) -> dict:
     return summary
 
 
+def fold(spark: SparkSession, args: argparse.Namespace) -> int:
+    number = fold_log(spark, args.log, args.file_bytes)
+    gone = clean_log(spark, args.log, args.keep_hours * 3600)
+    print(f"state {number}, {gone} folders removed")
+    return number
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="txwarden")
     jobs = top.add_subparsers(required=True)
@@ -139,6 +147,7 @@ def parser() -> argparse.ArgumentParser:
         method={"choices": [PARZEN, RANDOM], "default": PARZEN}, budgets={"type": float, "nargs": "+", "default": [1.0]})
     job("drift", drift, reference=needed, current=needed, summary=needed, columns=optional, minimum={"type": int, "default": MIN_ROWS},
         method={"choices": [DISTANCES, TESTS, BY_SIZE], "default": DISTANCES})
+    job("fold", fold, log=needed, file_bytes={"type": int, "default": FILE_BYTES}, keep_hours={"type": float, "default": 24.0})
     return top
 
 

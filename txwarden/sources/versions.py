@@ -3,10 +3,8 @@
     PATH/versions/NAME       a saved model
     PATH/promoted/000000007  the name of the version that the seventh promotion put in charge
 
-A promotion writes a file aside and renames it to the next number, which the file system refuses if that is there; so of two
-writers that saw the same version in charge one wins and the other is told, and a writer that dies leaves nothing behind that
-counts. That needs a file system whose rename without overwriting is atomic (HDFS is; an object store has to offer it, and on
-a local disk two renames in the same instant are not kept apart). What is in charge is the highest number; older ones stay.
+Promotions are numbered states (`sources.numbered`): of two writers that saw the same version in charge one wins and the other is
+told. What is in charge is the highest number; older ones stay.
 """
 
 from __future__ import annotations
@@ -14,24 +12,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from txwarden.plans.training import score_rows
+from txwarden.sources.numbered import Overtaken, add_next, at, numbers, text_of
 from txwarden.sources.sinks import load_model, save_model
 
 
-class Overtaken(RuntimeError):
-    """Another promotion came first."""
-
-
-def _at(spark: SparkSession, path: str):
-    """The Hadoop path and its file system."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def save_version(model: PipelineModel, path: str) -> str:
     """Save a model as a new version, which nothing uses yet."""
     name = uuid.uuid4().hex
@@ -41,14 +29,8 @@ def save_version(model: PipelineModel, path: str) -> str:
 
 def in_charge(spark: SparkSession, path: str) -> tuple[int, str | None]:
     """The number of the last promotion and the version it names; 0 and None before the first."""
-    folder, files = _at(spark, f"{path}/promoted")
-    if not files.exists(folder):
-        return 0, None
-    numbers = [int(f.getPath().getName()) for f in files.listStatus(folder) if f.getPath().getName().isdigit()]
-    if not numbers:
-        return 0, None
-    last = max(numbers)
-    return last, spark.read.text(f"{path}/promoted/{last:09d}").first()["value"]
+    last = max(numbers(spark, f"{path}/promoted"), default=0)
+    return last, text_of(spark, f"{path}/promoted", last) if last else None
 
 
 def promote(spark: SparkSession, path: str, version: str, after: int) -> int:
@@ -56,28 +38,12 @@ def promote(spark: SparkSession, path: str, version: str, after: int) -> int:
 
     `Overtaken` if another promotion has come since, `FileNotFoundError` if there is no such version.
     """
-    saved, files = _at(spark, f"{path}/versions/{version}/metadata")
+    saved, files = at(spark, f"{path}/versions/{version}/metadata")
     if not files.exists(saved):
         raise FileNotFoundError(f"no version {version}")
     if in_charge(spark, path)[0] != after:
         raise Overtaken(f"promotion {after} is no longer the last one")
-    aside, files = _at(spark, f"{path}/promoted/.{uuid.uuid4().hex}")
-    where, _ = _at(spark, f"{path}/promoted/{after + 1:09d}")
-    out = files.create(aside, False)
-    try:
-        out.write(bytearray(f"{version}\n".encode()))
-    finally:
-        out.close()
-    hadoop, gateway = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
-    context = hadoop.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        context.rename(aside, where, gateway.new_array(hadoop.Options.Rename, 0))
-    except Py4JJavaError as e:
-        files.delete(aside, False)
-        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
-            raise
-        raise Overtaken(f"promotion {after + 1} was made by another writer") from None
-    return after + 1
+    return add_next(spark, f"{path}/promoted", version, after)
 
 
 def load_in_charge(spark: SparkSession, path: str) -> PipelineModel:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from txwarden.functions.expressions import is_detected
-from txwarden.streaming.runs import batch_folder, run_id
+from txwarden.streaming.compaction import log_table
+from txwarden.streaming.runs import batch_folder, lone_run, run_id
 
 
 def log_rows(scored: DataFrame, prediction_id: str, at: str | None = None, score: str = "fraud_probability") -> DataFrame:
@@ -31,7 +32,7 @@ def write_log(scored: DataFrame, path: str, run: str, number: int, score: str =
 
 def append_log(scored: DataFrame, path: str, score: str = "fraud_probability") -> None:
     """Batch append, as a run of its own."""
-    write_log(scored, path, str(uuid.uuid4()), 0, score)
+    write_log(scored, path, lone_run(), 0, score)
 
 
 def log_writer(scored: DataFrame, path: str, checkpoint: str, score: str = "fraud_probability") -> DataStreamWriter:
@@ -44,5 +45,7 @@ def log_writer(scored: DataFrame, path: str, checkpoint: str, score: str = "frau
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all runs, without the columns that only name folders."""
-    return spark.read.parquet(path).drop("run", "batch")
+    """Each row of all runs once, folded or not, without the columns that only name folders. Batches that are being written
+    are not seen. A folder without batches is read as a plain table."""
+    rows = log_table(spark, path)
+    return (spark.read.parquet(path) if rows is None else rows).drop("run", "batch")

@@ -8,6 +8,7 @@ id and never touches what is there.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +19,13 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
 
 def batch_folder(path: str, run: str, number: int) -> str:
     return f"{path}/run={run}/batch={number}"
+
+
+def lone_run() -> str:
+    """The id of a run that has one batch only."""
+    return f"lone-{uuid.uuid4()}"
+
+
+def ended(run: str) -> bool:
+    """Whether no batch of the run is ever written again."""
+    return run.startswith("lone-")
