@@ -4,8 +4,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from txwarden.llm.hosts import NUMBER, RULES, Settings, host_words, judged_urls, viterbi, word_counts
+from txwarden.llm.hosts import NUMBER, RULES, Settings, host_words, judged_urls, says_unwanted, viterbi, word_counts
 
 SCHEMA = "page_id long, url string, html string, host string, n int"
 
@@ -48,8 +49,8 @@ URLS = [
 
 
 def test_rules_hosts_and_paths(spark):
-    text = "<p>the great big casino and the free bets are big and great</p>" * 3
-    rows = [(i, u, text if i % 3 else None, "clash", 1) for i, u in enumerate(URLS)]
+    text, clean = "<p>the great big casino and the free bets are big and great</p>" * 3, "the great big and so on org"
+    rows = [(i, u, text if i in (8, 9, 10) else clean if i % 3 else None, "clash", 1) for i, u in enumerate(URLS)]
     rows += [(100 + i, f"http://m{'' if i % 2 else 'a'}.great.org/{'en' if i % 4 else 'de'}/{i}", "clean words", None, 0) for i in range(60)]
     rows += [(7, "http://c.org/en/9", "", None, 0), (None, "http://e.net/es/", None, None, None)]
     got = judged_urls(spark.createDataFrame(rows, SCHEMA)).collect()
@@ -73,9 +74,10 @@ def test_scores_against_counting_by_hand(spark):
     hosts = ["spam-a.org", "spam-b.org", "good.org", "fine.net"]
     rows = [(i, f"http://{hosts[i % 4]}/{'xx' if i % 5 else 'yy'}/{i}", None, None, 0) for i in range(40)]
     tokens = {r[0]: [x for x in re.split(r"[.-]", cut(r[1])[0])] + [NUMBER if x.isdigit() else x for x in re.findall(r"[0-9]+|[a-z]+", cut(r[1])[1])] for r in rows}
-    text = "good fine spam org net a b"
-    got = judged_urls(spark.createDataFrame([(*r[:2], text, *r[3:]) for r in rows], SCHEMA), settings).collect()
-    is_block = {i: "spam" in t for i, t in tokens.items()}
+    text = "<b title='spam'>good</b> fine {} org net a b"
+    is_block = {i: i % 4 == 0 or i % 7 == 0 for i in tokens}  # by the text alone, spam.org's or not
+    pages = [(r[0], r[1], text.format("Spam" if is_block[r[0]] else "spams"), *r[3:]) for r in rows]
+    got = judged_urls(spark.createDataFrame(pages, SCHEMA), settings).collect()
     b, a = Counter(), Counter()
     for i, t in tokens.items():
         (b if is_block[i] else a).update(t)
@@ -86,10 +88,39 @@ def test_scores_against_counting_by_hand(spark):
         assert r.score == pytest.approx(want)
 
 
+def test_labels_come_from_the_text(spark):
+    rows = [("one casino " + "word " * 998,), ("one casino " + "word " * 999,), ("casinos freely",), ("<a casino>",), (None,), ("",), ("é7",), ("a-FREE-b",)]
+    frame = spark.createDataFrame(rows, "html string")
+    assert [r[0] for r in frame.select(says_unwanted(F.col("html"), Settings())).collect()] == [True, False, False, False, False, False, False, True]
+    assert not any(r[0] for r in frame.select(says_unwanted(F.col("html"), Settings(unwanted=()))).collect())
+
+
+def test_verdicts_differ_from_the_list(spark):
+    """A name without a listed word is blocked for the company it keeps; one with a listed word is allowed if its pages are clean."""
+    bad, good = "jackpot slots casino lucky", "lucky organic farm jackpot vegetables slots market"
+    pages = [(i, f"http://luckyjackpot{i}.org/slots/{i}", bad) for i in range(40)]
+    pages += [(100 + i, f"http://organicfarm{i}.org/market/{i}", "organic vegetables market " * 400) for i in range(60)]
+    pages += [(200, "http://jackpotslots.org/slots/9", "organic market"), (201, "http://farmmarket.org/market/1", None), (202, "http://x.org/y", good)]
+    got = {r.page_id: r.verdict for r in judged_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), Settings(rules=())).collect()}
+    assert got[200] == "block" and got[201] == "allow"
+    assert {got[i] for i in range(40)} == {"block"} and {got[100 + i] for i in range(60)} == {"allow"}
+
+
+def test_long_words_and_long_unknown_runs(spark):
+    word, odd = "abcde" * 9, "qz" * 200  # 45 letters; 400 letters of no word
+    total = 1000.0
+    logs = {word: math.log(50 / total), "free": math.log(9 / total)}
+    assert viterbi(word + "free", logs, total) == [word, "free"]
+    assert viterbi("free" + odd, logs, total) == ["free", odd] and viterbi(odd, logs, total) == [odd]
+    pages = spark.createDataFrame([(1, f"{word} free " * 9)], "page_id long, html string")
+    hosts = spark.createDataFrame([(f"{word}free.org",)], "host string")
+    assert host_words(hosts, word_counts(pages), Settings()).first().host_words[:2] == [word, "free"]
+
+
 def test_word_counts(spark):
-    rows = [(1, "<p class='no'>One two, TWO</p>"), (2, None), (3, "two é three<br>x" + "y" * 40)]
+    rows = [(1, "<p class='no'>One two, TWO</p>"), (2, None), (3, "two é three<br>x" + "y" * 40 + " z" + "y" * 63)]
     got = {r.word: r.n for r in word_counts(spark.createDataFrame(rows, "page_id long, html string")).collect()}
-    assert got == {"one": 1, "two": 3, "three": 1}
+    assert got == {"one": 1, "two": 3, "three": 1, "x" + "y" * 40: 1}
 
 
 def test_hosts_with_digits_users_ports_and_other_letters(spark):
@@ -104,7 +135,9 @@ def test_hosts_with_digits_users_ports_and_other_letters(spark):
     hosts = spark.createDataFrame([(h,) for h in [*want, "", "__"]], "host string")
     got = {r.host: r.host_words for r in host_words(hosts, counts, Settings()).collect()}
     assert got == want
-    rows = [(i, f"http://{h}/x", text, None, 0) for i, h in enumerate(want)]
-    scores = {r.page_id: r.score for r in judged_urls(spark.createDataFrame(rows, SCHEMA), Settings(rules=())).collect()}
+    unwanted = ("casino", "pills")
+    rows = [(i, f"http://{h}/x", text if any(w in h for w in unwanted) else "great net org", None, 0) for i, h in enumerate(want)]
+    text = [(99, None, text, None, 0)]  # words only
+    scores = {r.page_id: r.score for r in judged_urls(spark.createDataFrame(rows + text, SCHEMA), Settings(rules=())).collect()}
     judged = dict(zip(want, (scores[i] for i in range(len(want))), strict=True))
     assert all(judged[h] > judged["great.net"] for h in want if "casino" in h or "pills" in h)

@@ -1,13 +1,15 @@
 """URL filter: explicit rules first, and for the rest a naive Bayes score over segmented host names and path tokens.
 
 Method. A host, without user and port, is cut into runs of letters and of digits; digits become a mark for numbers, and each
-run of letters is split into words by Viterbi over a unigram model: the split with the highest product of word probabilities. Word counts come from the text of all pages; a few stated words count as
-if they had been seen often, as names are made of them. A run of l letters that is no known word has the probability
-10 / (N * 10^l). Path tokens are the letter runs of the path, with a mark for numbers.
+run of letters is split into words by Viterbi over a unigram model: the split with the highest product of word probabilities.
+Word counts come from the text of all pages; a few stated words count as if they had been seen often, as names are made of
+them. A run of l letters that is no known word has the probability 10 / (N * 10^l). Path tokens are the letter runs of the
+path, with a mark for numbers.
 
-The multinomial naive Bayes model is fitted on all urls: a url is an example of `block` if a word of its host is one of the
-stated words, and of `allow` otherwise; so words that keep company with them weigh as well. Its score decides where no rule
-fits.
+The multinomial naive Bayes model is fitted on all pages. Its labels come from what a page says, not from its url: a url is an
+example of `block` if enough of the words of its page's text are stated words, and of `allow` otherwise. Its features are the
+words of host and path alone. So a stated word in a name weighs as much as such names lead to such pages, other words weigh by
+the same measure, and urls are judged that have no page text at all. The score decides where no rule fits.
 
 Words are only looked up for the labels that occur: every label's substrings are joined with the counts, so neither
 vocabulary nor hosts are collected. Urls with the same tokens are scored once.
@@ -31,7 +33,8 @@ from txwarden.llm.store import written
 # Words that names of unwanted hosts are made of; a parameter, in alphabetical order.
 UNWANTED = ("adult", "bets", "bonus", "casino", "cheap", "farm", "free", "loans", "lottery", "pills", "poker", "porn", "spam", "viagra", "win", "xxx")
 NUMBER = "#"
-LONGEST = 24
+# The most letters that the domain name system allows in a label, so in a word of one; fixed value.
+LONGEST = 63
 
 
 @dataclass(frozen=True)
@@ -56,11 +59,13 @@ RULES = (
 
 @dataclass(frozen=True)
 class Settings:
-    """`stated`: how often each unwanted word counts as seen, as a share of all words. `smoothing`: added to every count."""
+    """`stated`: how often each unwanted word counts as seen, as a share of all words. `share`: the least share of unwanted
+    words in the text of a page that makes its url an example of `block`. `smoothing`: added to every count."""
 
     rules: tuple[Rule, ...] = RULES
     unwanted: tuple[str, ...] = UNWANTED
     stated: float = 1e-4
+    share: float = 1e-3
     smoothing: float = 1.0
 
 
@@ -101,14 +106,30 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return pages.select("html").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def says_unwanted(html: Column, settings: Settings) -> Column:
+    """Whether at least `share` of the runs of letters a-z in a page's text are unwanted words; false without any."""
+    text = F.lower(F.regexp_replace(html, "<[^>]*>", " "))
+    words = F.regexp_count(text, F.lit("[a-z]+"))
+    found = F.regexp_count(text, F.lit(f"(?<![a-z])(?:{'|'.join(settings.unwanted)})(?![a-z])")) if settings.unwanted else F.lit(0)
+    return F.coalesce((found > 0) & (found >= words * settings.share), F.lit(False))
+
+
 def viterbi(label: str, logs: dict[str, float], total: float) -> list[str]:
-    """The split of a label with the highest product of word probabilities; ties go to the longer last word."""
-    best, cut = [0.0], [0]
+    """The split of a label with the highest product of word probabilities; ties go to the longer last word.
+
+    Known words have up to LONGEST letters, unknown runs any number: as their log probability falls by the same amount for
+    each letter, the best place for one to begin is kept from step to step.
+    """
+    letter, unknown = math.log(10), math.log(10 / total)
+    best, cut, begin = [0.0], [0], 0
     for end in range(1, len(label) + 1):
-        found = max(
-            (best[start] + logs.get(label[start:end], math.log(10 / total) - (end - start) * math.log(10)), -start)
-            for start in range(max(0, end - LONGEST), end)
-        )
+        if best[end - 1] + (end - 1) * letter > best[begin] + begin * letter:
+            begin = end - 1
+        found = (best[begin] + unknown - (end - begin) * letter, -begin)
+        for start in range(max(0, end - LONGEST), end):
+            log = logs.get(label[start:end])
+            if log is not None:
+                found = max(found, (best[start] + log, -start))
         best.append(found[0])
         cut.append(-found[1])
     out, end = [], len(label)
@@ -171,25 +192,23 @@ def judged_urls(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, score (log odds of `block`; above 0 the method blocks).
 
     `pages` has page_id, url and html; other columns are ignored. A null url, or one without `://`, has an empty host and
-    path, fits no rule and has no tokens: the shares of the classes alone decide. Null html has no words. Ties of a score at
-    0 are allowed. Repeated rows give a row each and count as often. An empty table gives an empty result. A host's labels
+    path, fits no rule and has no tokens: the shares of the classes alone decide. Null html has no words, so its url is an
+    example of `allow`. Ties of a score at 0 are allowed. Repeated rows give a row each and count as often. An empty table gives an empty result. A host's labels
     and urls of any length are taken whole; words of more than LONGEST letters are not looked up.
     """
     url = F.col("url")
-    rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), says_unwanted(F.col("html"), settings).alias("bad"))
     counts = written(word_counts(pages), "words")
     hosts = written(host_words(rows, counts, settings), "hosts")
     rows = rows.join(hosts, "host", "left")
-    rows = rows.select("page_id", "host", "path", F.coalesce("host_words", F.array().cast("array<string>")).alias("names"), path_tokens(F.col("path")).alias("steps"))
-    rows = written(rows, "urls")
-    kinds = rows.groupBy("names", "steps").agg(F.count("*").alias("n"))
+    names = F.coalesce("host_words", F.array().cast("array<string>")).alias("names")
+    rows = written(rows.select("page_id", "host", "path", "bad", names, path_tokens(F.col("path")).alias("steps")), "urls")
+    kinds = rows.groupBy("names", "steps").agg(F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("a"))
     kinds = written(kinds.withColumn("key", F.monotonically_increasing_id()), "kinds")
-    block = F.arrays_overlap("names", F.array(*[F.lit(w) for w in settings.unwanted]))
-    kinds_of = kinds.select("key", "n", block.alias("block"), F.explode(F.concat("names", "steps")).alias("token"))
-    of = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    tokens = written(kinds_of.groupBy("token").agg(of(F.col("block")).alias("b"), of(~F.col("block")).alias("a")), "tokens")
+    kinds_of = kinds.select("key", "b", "a", F.explode(F.concat("names", "steps")).alias("token"))
+    tokens = written(kinds_of.groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a")), "tokens")
     sums = tokens.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
-    shares = kinds.agg(of(block), of(~block)).first()
+    shares = kinds.agg(F.sum("b"), F.sum("a")).first()
     b, a, size = (float(x or 0) for x in sums)
     s = settings.smoothing
     weight = F.log((F.col("b") + s) / (b + s * size)) - F.log((F.col("a") + s) / (a + s * size)) if size else F.lit(0.0)
