@@ -8,8 +8,12 @@ and the pivot. So a query expands from the annuli nearest to it, and is done wit
 
 Queries are met in blocks. Every query first gets a k-th best score among the sample that the pivots were chosen from; the
 join of query blocks and annuli leaves out what that score excludes, which is where most of the search stops. The task that
-walks a query block's annuli takes them in order of the block's median bound and passes over those beyond all its queries'
-bounds without a look at their vectors. Scores are integers and exact; bounds are widened by more than their rounding error.
+walks a query block's annuli takes them in order of the least bound that any query of the block can have, and stops at the first
+one beyond the k-th best distance of all of them: those after it are farther still. Annuli of equal bound come in order of the
+block's median. Scores are integers and exact; bounds are widened by more than their rounding error.
+
+Components travel in as few bytes as the largest one needs, one for unit vectors times 64. Products are taken in double
+precision while the largest squared norm, which no score exceeds, is exact there, and in 64-bit integers beyond.
 """
 
 from __future__ import annotations
@@ -25,8 +29,11 @@ from pyspark.sql import functions as F
 from txwarden.llm.arrow import column
 from txwarden.llm.store import tasks, written
 
-# Products of larger numbers than this would no longer be exact in double precision.
-LARGEST = 1 << 52
+# Products of larger numbers than this would no longer be exact in double precision, or fit no 64-bit integer.
+EXACT = 1 << 52
+LARGEST = 1 << 62
+# The k-th best score of a query that has none yet.
+NONE = np.iinfo(np.int64).min
 
 
 @dataclass(frozen=True)
@@ -65,17 +72,32 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
-    """What a task must know: length of the vectors, the largest squared norm, pivots with their added component, the sample."""
+    """What a task must know: length of the vectors, the largest squared norm, the type that components travel in, pivots with
+    their added component, the sample."""
 
     width: int
     most: float
+    kind: str
     pivots: np.ndarray
     sample_ids: np.ndarray
     sample: np.ndarray
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
+        x = x.astype(float)
         return np.column_stack([x, np.sqrt(np.maximum(self.most - (x * x).sum(axis=1), 0))])
 
+    def read(self, raw: pa.BinaryScalar, rows: int) -> np.ndarray:
+        return np.frombuffer(raw.as_buffer(), self.kind).reshape(rows, self.width).astype(np.int64)
+
+    def scores(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Inner products of the rows of two tables of integers, exact."""
+        return (x.astype(float) @ y.astype(float).T).astype(np.int64) if self.most <= EXACT else x @ y.T
+
+    def radius(self, squares: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        """How far a vector may be that reaches a score, for queries of given squared norms."""
+        least = np.where(floors == NONE, -np.inf, floors)
+        return np.sqrt(np.maximum(squares + self.most - 2 * least, 0)) + self.slack()
+
     def to_pivots(self, lifted: np.ndarray) -> np.ndarray:
         squares = (lifted * lifted).sum(axis=1)[:, None] + (self.pivots * self.pivots).sum(axis=1)[None, :] - 2 * lifted @ self.pivots.T
         return np.sqrt(np.maximum(squares, 0))
@@ -86,8 +108,8 @@ class Index:
 
 
 def dense(lists: pa.Array, width: int) -> np.ndarray:
-    """A row for each list, shorter ones filled up with zeros."""
-    out = np.zeros((len(lists), width))
+    """A row of integers for each list, shorter ones filled up with zeros."""
+    out = np.zeros((len(lists), width), np.int64)
     values, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
     offsets = offsets - offsets[0]
     lengths = np.diff(offsets)
@@ -98,21 +120,23 @@ def dense(lists: pa.Array, width: int) -> np.ndarray:
 def fitted(vectors: DataFrame, settings: Settings) -> Index:
     """Sizes from one pass over all vectors; pivots from a bounded sample by hashed id."""
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    width, most = vectors.agg(F.max(F.size("v")), F.max(square)).first()
+    size = F.max(F.aggregate("v", F.lit(0).cast("long"), lambda s, x: F.greatest(s, F.when(x < 0, -(x + 1)).otherwise(x))))
+    width, most, largest = vectors.agg(F.max(F.size("v")), F.max(square), size).first()
     if most is not None and most > LARGEST:
-        raise ValueError(f"a squared norm of {most:g} is too large for exact scores")
+        raise ValueError(f"with a squared norm of {most:g} scores may not fit a long")
+    kind = next(k for k in ("i1", "<i2", "<i4", "<i8") if (largest or 0) <= np.iinfo(k).max)
     picked = vectors.orderBy(F.xxhash64(F.lit(settings.seed), "vec_id"), "vec_id").limit(settings.sample).toArrow()
     width = width or 0
-    sample = dense(picked.column("v").combine_chunks(), width) if picked.num_rows else np.zeros((0, width))
-    index = Index(width, float(most or 0), np.zeros((0, width + 1)), picked.column("vec_id").to_numpy(), sample)
-    return Index(width, index.most, choose_pivots(index.lifted(sample), settings.pivots), index.sample_ids, sample)
+    sample = dense(picked.column("v").combine_chunks(), width) if picked.num_rows else np.zeros((0, width), np.int64)
+    index = Index(width, float(most or 0), kind, np.zeros((0, width + 1)), picked.column("vec_id").to_numpy(), sample)
+    return Index(width, index.most, kind, choose_pivots(index.lifted(sample), settings.pivots), index.sample_ids, sample)
 
 
 def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
-    """The k-th highest score of each row, minus infinity where there are fewer."""
+    """The k-th highest score of each row, NONE where there are fewer."""
     if scores.shape[1] < k:
-        return np.full(len(scores), -np.inf)
-    return -np.partition(-scores, k - 1, axis=1)[:, k - 1]
+        return np.full(len(scores), NONE)
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
 
 
 def keyed(vectors: DataFrame, sent, queries: bool, settings: Settings) -> DataFrame:
@@ -126,17 +150,17 @@ def keyed(vectors: DataFrame, sent, queries: bool, settings: Settings) -> DataFr
             lifted = np.column_stack([x, np.zeros(len(x))]) if queries else index.lifted(x)
             away = index.to_pivots(lifted)
             near = away.argmin(axis=1) if len(x) else np.zeros(0, np.int64)
-            floor = np.full(len(x), -np.inf)
+            floor = np.full(len(x), NONE)
             if queries and len(x):
-                scores = np.where(ids[:, None] == index.sample_ids[None, :], -np.inf, x @ index.sample.T)
+                scores = np.where(ids[:, None] == index.sample_ids[None, :], NONE, index.scores(x, index.sample))
                 floor = kth_best(scores, settings.k)
-            raw = x.astype("<i8")
+            raw = x.astype(index.kind)
             yield pa.record_batch({
                 "vec_id": column(batch, "vec_id"), "pivot": pa.array(near, pa.int32()), "away": pa.array(away[np.arange(len(x)), near]),
                 "floor": pa.array(floor), "raw": pa.array([r.tobytes() for r in raw], pa.binary()),
             })
 
-    return vectors.mapInArrow(run, "vec_id long, pivot int, away double, floor double, raw binary")
+    return vectors.mapInArrow(run, "vec_id long, pivot int, away double, floor long, raw binary")
 
 
 def in_blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -152,7 +176,7 @@ def in_blocks(rows: DataFrame, size: int) -> DataFrame:
             number += 1
             return pa.record_batch({
                 "block": pa.array([(part << 32) + number], pa.int64()), "pivot": pa.array([pivot], pa.int32()),
-                "lo": pa.array([held[0][1]]), "hi": pa.array([held[-1][1]]), "floors": pa.array([[r[2] for r in held]], pa.list_(pa.float64())),
+                "lo": pa.array([held[0][1]]), "hi": pa.array([held[-1][1]]), "floors": pa.array([[r[2] for r in held]], pa.list_(pa.int64())),
                 "ids": pa.array([[r[0] for r in held]], pa.list_(pa.int64())), "vectors": pa.array([b"".join(r[3] for r in held)], pa.binary()),
             })
 
@@ -169,27 +193,27 @@ def in_blocks(rows: DataFrame, size: int) -> DataFrame:
 
     order = ["pivot", "away", "vec_id"]
     dealt = rows.repartitionByRange(tasks(rows.sparkSession), *order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, "block long, pivot int, lo double, hi double, floors array<double>, ids array<long>, vectors binary")
+    return dealt.mapInArrow(run, "block long, pivot int, lo double, hi double, floors array<long>, ids array<long>, vectors binary")
 
 
 def reach(blocks: DataFrame, sent) -> DataFrame:
-    """For each query block and pivot: nearest and farthest of its queries, and the largest distance still asked for."""
+    """For each query block and pivot: nearest, farthest and median distance of its queries, and the range still asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for batch in batches:
             for block, ids, floors, raw in zip(*[column(batch, n) for n in ("block", "ids", "floors", "vectors")], strict=True):
-                x = np.frombuffer(raw.as_buffer(), "<i8").reshape(len(ids), index.width).astype(float)
+                x = index.read(raw, len(ids)).astype(float)
                 away = index.to_pivots(np.column_stack([x, np.zeros(len(x))]))
-                radius = np.sqrt(np.maximum((x * x).sum(axis=1) + index.most - 2 * np.array(floors.as_py()), 0)) + index.slack()
+                radius = index.radius((x * x).sum(axis=1), np.array(floors.as_py()))
                 n = len(index.pivots)
                 yield pa.record_batch({
                     "asker": pa.array([block.as_py()] * n, pa.int64()), "pivot": pa.array(range(n), pa.int32()),
                     "near": pa.array((away - radius[:, None]).min(axis=0)), "far": pa.array((away + radius[:, None]).max(axis=0)),
-                    "mid": pa.array(np.median(away, axis=0)),
+                    "least": pa.array(away.min(axis=0)), "most": pa.array(away.max(axis=0)), "mid": pa.array(np.median(away, axis=0)),
                 })
 
-    return blocks.mapInArrow(run, "asker long, pivot int, near double, far double, mid double")
+    return blocks.mapInArrow(run, "asker long, pivot int, near double, far double, least double, most double, mid double")
 
 
 class Walk:
@@ -197,19 +221,25 @@ class Walk:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, index: Index, k: int):
         self.ids, self.x, self.k, self.index = ids, vectors, k, index
-        self.floor = floors.copy()
-        self.away = index.to_pivots(np.column_stack([vectors, np.zeros(len(vectors))]))
-        self.square = (vectors * vectors).sum(axis=1)
+        self.floor, self.over = floors.copy(), False
+        x = vectors.astype(float)
+        self.away = index.to_pivots(np.column_stack([x, np.zeros(len(x))]))
+        self.square = (x * x).sum(axis=1)
         none = np.zeros(0, np.int64)
-        self.row, self.found, self.score = none, none, np.zeros(0)
+        self.row, self.found, self.score = none, none, none
+
+    def ends(self, bound: float) -> bool:
+        """Whether an annulus of this bound, and so every later one, is beyond all queries."""
+        self.over = self.over or bound > self.index.radius(self.square, self.floor).max()
+        return self.over
 
     def meet(self, pivot: int, lo: float, hi: float, ids: np.ndarray, vectors: np.ndarray) -> None:
-        radius = np.sqrt(np.maximum(self.square + self.index.most - 2 * self.floor, 0)) + self.index.slack()
+        radius = self.index.radius(self.square, self.floor)
         bound = np.maximum(self.away[:, pivot] - hi, lo - self.away[:, pivot])
         open_ = np.flatnonzero(bound <= radius)
         if not len(open_):
             return
-        scores = self.x[open_] @ vectors.T
+        scores = self.index.scores(self.x[open_], vectors)
         good = (scores >= self.floor[open_][:, None]) & (self.ids[open_][:, None] != ids[None, :])
         at, j = np.nonzero(good)
         self.row = np.concatenate([self.row, open_[at]])
@@ -225,7 +255,7 @@ class Walk:
     def result(self) -> pa.RecordBatch:
         return pa.record_batch({
             "query_id": pa.array(self.ids[self.row], pa.int64()), "vec_id": pa.array(self.found, pa.int64()),
-            "score": pa.array(self.score.astype(np.int64)),
+            "score": pa.array(self.score, pa.int64()),
         })
 
 
@@ -236,7 +266,8 @@ def top_scores(rows: DataFrame, is_query: Column, settings: Settings = Settings(
     component, and rows without an id, take no part; shorter vectors count as filled up with zeros. A query is not its own
     candidate, and rows that share an id are not each other's; a repeated row is a candidate as often as it occurs, and a
     repeated query is asked once. Ties go to the smaller vec_id; with fewer candidates all are returned. An empty table
-    gives an empty result. Norms beyond exact arithmetic are refused with an error.
+    gives an empty result. Scores are exact up to the largest squared norm that a long holds, 2^62; beyond, where a score might not fit
+    its column, the input is refused with an error.
     """
     spark = rows.sparkSession
     vectors = written(whole_vectors(rows, settings), "vectors")
@@ -245,30 +276,28 @@ def top_scores(rows: DataFrame, is_query: Column, settings: Settings = Settings(
     asked = vectors.filter(is_query).dropDuplicates(["vec_id"])
     asking = written(in_blocks(keyed(asked, sent, True, settings), settings.queries), "asking")
     inside = annuli.select("block", "pivot", "lo", "hi").join(reach(asking, sent), "pivot").filter("hi >= near and lo <= far")
-    bound = F.greatest(F.col("mid") - F.col("hi"), F.col("lo") - F.col("mid"), F.lit(0.0))
-    visits = written(inside.select("asker", "block", bound.alias("bound")), "visits")
+    beyond = lambda first, last: F.greatest(F.col(first) - F.col("hi"), F.col("lo") - F.col(last), F.lit(0.0))
+    visits = written(inside.select("asker", "block", beyond("least", "most").alias("bound"), beyond("mid", "mid").alias("next")), "visits")
     lanes = visits.groupBy("asker").agg(F.ceil(F.count("*") / settings.lane).alias("lanes"))
     visits = visits.join(lanes, "asker").withColumn("lane", F.pmod(F.xxhash64("block"), F.col("lanes"))).drop("lanes")
     # Each lane begins with its query block, which sorts before all annuli.
     seats = visits.select("asker", "lane").distinct().join(asking.withColumnRenamed("block", "asker"), "asker")
-    head = seats.select("asker", "lane", F.lit(-1.0).alias("bound"), F.lit(-1).alias("pivot"), F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"), "floors", "ids", "vectors")
+    head = seats.select("asker", "lane", F.lit(-1.0).alias("bound"), F.lit(0.0).alias("next"), F.lit(-1).alias("pivot"), F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"), "floors", "ids", "vectors")
     tail = visits.join(annuli, "block").select(
-        "asker", "lane", "bound", "pivot", "lo", "hi", F.array().cast("array<double>").alias("floors"), "ids", "vectors")
-    stream = head.union(tail).repartition(tasks(spark), "asker", "lane").sortWithinPartitions("asker", "lane", "bound", "pivot", "lo")
+        "asker", "lane", "bound", "next", "pivot", "lo", "hi", F.array().cast("array<long>").alias("floors"), "ids", "vectors")
+    stream = head.union(tail).repartition(tasks(spark), "asker", "lane").sortWithinPartitions("asker", "lane", "bound", "next", "pivot", "lo")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, walk = sent.value, None
         for batch in batches:
-            cells = [column(batch, n) for n in ("pivot", "lo", "hi", "floors", "ids", "vectors")]
-            for pivot, lo, hi, floors, ids, raw in zip(*cells, strict=True):
-                names = ids.values.to_numpy()
-                x = np.frombuffer(raw.as_buffer(), "<i8").reshape(len(names), index.width).astype(float)
+            cells = [column(batch, n) for n in ("bound", "pivot", "lo", "hi", "floors", "ids", "vectors")]
+            for bound, pivot, lo, hi, floors, ids, raw in zip(*cells, strict=True):
                 if pivot.as_py() < 0:
                     if walk is not None:
                         yield walk.result()
-                    walk = Walk(names, x, floors.values.to_numpy(), index, settings.k)
-                else:
-                    walk.meet(pivot.as_py(), lo.as_py(), hi.as_py(), names, x)
+                    walk = Walk(ids.values.to_numpy(), index.read(raw, len(ids)), floors.values.to_numpy(), index, settings.k)
+                elif not walk.ends(bound.as_py()):
+                    walk.meet(pivot.as_py(), lo.as_py(), hi.as_py(), ids.values.to_numpy(), index.read(raw, len(ids)))
         if walk is not None:
             yield walk.result()
 
