@@ -163,15 +163,19 @@ def chosen_thresholds(spark, folder) -> DataFrame:
     return curves.threshold_report(sales(spark, folder), "score")
 
 
-COSTS = """
+def costs_sql(cost: str, revenue: str) -> str:
+    return f"""
 , t AS (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6])::DOUBLE AS threshold),
 c AS (SELECT threshold, CAST(count_if(score < threshold AND "Class" = 0) AS BIGINT) AS tn,
              CAST(count_if(score >= threshold AND "Class" = 0) AS BIGINT) AS fp,
              CAST(count_if(score < threshold AND "Class" = 1) AS BIGINT) AS fn,
              CAST(count_if(score >= threshold AND "Class" = 1) AS BIGINT) AS tp FROM tx, t GROUP BY threshold),
 costs AS (SELECT threshold, tp, fp, fn, tn, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS "precision",
-                 CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall, fn * 100 + fp AS total_cost,
-                 tp * 50 AS total_revenue, tp * 50 - (fn * 100 + fp) AS net_benefit FROM c)"""
+                 CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall, {cost} AS total_cost,
+                 {revenue} AS total_revenue, {revenue} - ({cost}) AS net_benefit FROM c)"""
+
+
+COSTS = costs_sql("fn * 100 + fp", "tp * 50")
 
 
 @query("A25", TX + COSTS + "SELECT * FROM costs")
@@ -179,6 +183,16 @@ def threshold_costs(spark, folder) -> DataFrame:
     return cost.business_costs(transactions(spark, folder), "score")
 
 
+OWN_COST, OWN_REVENUE = {"fn": 250, "fp": 3, "tp": 2}, {"tp": 80, "tn": 0.25}
+
+
+@query("A25 A26", TX + costs_sql("fn * 250 + fp * 3 + tp * 2", "tp * 80 + tn * CAST(0.25 AS DOUBLE)") + "SELECT * FROM costs ORDER BY net_benefit DESC, threshold LIMIT 1")
+def best_threshold_own_units(spark, folder) -> DataFrame:
+    """The best threshold where a checked alert costs as well, and a transaction let through rightly earns a fee."""
+    costs = cost.business_costs(transactions(spark, folder), "score", unit_cost=OWN_COST, unit_revenue=OWN_REVENUE)
+    return cost.best_by_net_benefit(costs)
+
+
 @query("A26", TX + COSTS + "SELECT * FROM costs ORDER BY net_benefit DESC, threshold LIMIT 1")
 def best_cost_threshold(spark, folder) -> DataFrame:
     return cost.best_by_net_benefit(cost.business_costs(transactions(spark, folder), "score"))
