@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -73,6 +74,50 @@ def test_random_vocabularies_against_merging_by_hand():
             assert [names[t] for t in walk.encode(word.encode())] == merge_by_hand(word, ranks)
 
 
+def test_arcs_of_the_tables(codec):
+    """The arcs are the pairs of tokens that merging leaves side by side."""
+    machine, draw = codec.encoder.automaton, np.random.default_rng(3)
+    letter = {b: t for t, raw in enumerate(machine.label) if len(raw) == 1 and machine.target[t] >= 0 for b in raw}
+    with open(vocabulary(), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ranks = {(model["vocab"][a], model["vocab"][b]): (i, model["vocab"][a + b]) for i, (a, b) in enumerate(pairs)}
+
+    def by_hand(raw):
+        parts = [letter[b] for b in raw]
+        while fits := [(ranks[p], i) for i, p in enumerate(zip(parts, parts[1:], strict=False)) if p in ranks]:
+            (_, made), i = min(fits)
+            parts[i : i + 2] = [made]
+        return parts
+
+    left, right = (draw.choice(np.flatnonzero(machine.target >= 0), 3000) for _ in range(2))
+    left[:1000] = draw.choice([letter[b] for b in b"abcdefghijklmnopqrstuvwxyz "], 1000)  # states that lack the most
+    has = machine.has_arcs(machine.target[left], right)
+    want = [by_hand(machine.label[a] + machine.label[b]) == [a, b] for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    assert has.tolist() == want and 0.2 < has.mean() < 0.999
+    assert (np.diff(machine.borders) > 0).all() and len(machine.borders) % 2 == 0
+    assert machine.has_arcs(np.zeros_like(right), right).all()
+
+
+@pytest.mark.parametrize("places", [1, 7, 1 << 16])
+def test_words_in_groups_and_blocks(codec, library, places, monkeypatch):
+    """Words of very different lengths, cut into blocks of places and groups of words anywhere."""
+    monkeypatch.setattr("txwarden.llm.automaton.GROUP_BYTES", 100 * places)
+    draw = random.Random(places)
+    words = ["".join(draw.choice("abcdeinorstß日") for _ in range(draw.choice([0, 1, 2, 5, 20, 400]))) for _ in range(60)]
+    ids, counts = Encoder(codec.encoder.automaton, places).encode_words([w.encode() for w in words])
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [t for x in want for t in x]
+    assert [len(x) for x in Encoder(codec.encoder.automaton).encode_words([])] == [0, 0]
+
+
+def test_a_byte_that_the_alphabet_lacks():
+    machine = compiled({0: b"a", 1: b"b"}, [(0, 1, 2)], 3)
+    assert Encoder(machine).encode(b"aab") == [0, 2]
+    with pytest.raises(ValueError, match="alphabet"):
+        Encoder(machine).encode(b"aac")
+
+
 def test_made_twice_is_refused():
     with pytest.raises(ValueError, match="twice"):
         compiled({0: b"a", 1: b"b"}, [(0, 0, 2), (0, 1, 3), (2, 1, 4), (0, 3, 4)], 5)
