@@ -167,17 +167,25 @@ def features(rows: DataFrame, settings: Settings) -> DataFrame:
 
 
 def gathered(table: pa.Table, settings: Settings) -> Sample:
-    """The feature rows as flat arrays, in an order that does not depend on partitions."""
-    table = table.sort_by([("lang", "ascending"), ("rank", "ascending"), ("part", "ascending")]).combine_chunks()
-    langs = table.column("lang").to_pylist()
-    names = tuple(sorted(set(langs)))
-    flat = lambda name, kind: np.frombuffer(b"".join(x.as_buffer() for x in table.column(name)), kind)
-    ids = flat("ids", "<u2" if settings.buckets <= 1 << 16 else "<u4")
-    sizes = np.array([x.as_buffer().size for x in table.column("counts")], np.int64) // 4
-    where = {name: k for k, name in enumerate(names)}
-    return Sample(
-        names, ids, flat("counts", "<u4"), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
-        np.array([where[x] for x in langs], np.int64), np.array(table.column("held").to_pylist(), bool))
+    """The feature rows as flat arrays, in an order that does not depend on partitions. Each value is copied once, to its place."""
+    order = pc.sort_indices(table.select(["lang", "rank", "part"]), [("lang", "ascending"), ("rank", "ascending"), ("part", "ascending")]).to_numpy()
+    names = tuple(sorted(table.column("lang").unique().to_pylist()))
+    label = pc.index_in(table.column("lang"), pa.array(names, pa.string())).to_numpy().astype(np.int64)
+    sizes = pc.binary_length(table.column("counts")).to_numpy().astype(np.int64) // 4
+    starts = np.concatenate([[0], np.cumsum(sizes[order])]).astype(np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = starts[:-1]
+
+    def flat(name: str, kind: str) -> np.ndarray:
+        out, row = np.empty(starts[-1], kind), 0
+        for chunk in table.column(name).chunks:
+            for value in chunk:
+                out[place[row] : place[row] + sizes[row]] = np.frombuffer(value.as_buffer(), kind)
+                row += 1
+        return out
+
+    ids, counts = flat("ids", "<u2" if settings.buckets <= 1 << 16 else "<u4"), flat("counts", "<u4")
+    return Sample(names, ids, counts, starts, label[order], table.column("held").to_numpy().astype(bool)[order])
 
 
 def fit(sample: Sample, settings: Settings = Settings()) -> Model:
