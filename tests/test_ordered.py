@@ -49,6 +49,26 @@ def test_walk_equals_window(spark, by, descending):
     assert key(map(tuple, mine.select(*columns).collect())) == key(map(tuple, want.select(*columns).collect()))
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_rows_in_order_of_time(spark, kind):
+    """Times without a zone lie two minutes apart over a day on which the session's zone skips an hour; a third are one time, some null."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start, step = F.lit("2024-03-09 22:00:00.000001").cast(kind), F.expr("make_dt_interval(0, 0, 2 * CAST(id AS INT))" if kind != "date" else "CAST(id / 10 AS INT)")
+        at = F.when(F.col("id") % 50 != 0, F.when(F.col("id") % 3 == 0, start).otherwise(start + step))
+        df = spark.range(1200).select("id", at.alias("t"), (F.col("id") % 7 + 1).alias("x")).repartition(5, "id")
+        sliced, several = slice_rows(df, ["t", "id"], rows_per_slice=150)
+        sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
+        assert several and len(sizes) >= 4 and max(sizes) < 600
+        mine = walk(df, ["t", "id"], totals={"run": "x"}, overall={"all": "x"}, ahead={"nx": "x", "nt": "t"}, rows_per_slice=150)
+        columns = ("id", "run", "all", "nx", "nt")
+        key = lambda d: sorted(map(tuple, d.select(*columns).collect()), key=lambda r: r[0])
+        assert key(mine) == key(naive(df, ["t", "id"], [], False))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @pytest.mark.parametrize("hot", [None, "hot"])
 def test_null_series_are_series_of_their_own(spark, hot):
     df = skewed(spark).withColumn("u", F.when(F.col("u") != "hot", F.col("u")).otherwise(F.lit(hot)))

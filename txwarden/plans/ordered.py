@@ -26,9 +26,16 @@ ROWS_PER_SLICE = 200_000
 SAMPLES_PER_SLICE = 20
 
 
-def _as_double(column: str) -> Column:
-    """Sort position as a double; NULL sorts first, as in Spark's ascending order."""
-    return F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
+def _as_double(df: DataFrame, column: str) -> Column:
+    """Sort position as a double; NULL sorts first, as in Spark's ascending order. Times are seconds since 1970, dates days."""
+    value, kind = F.col(column), df.select(column).schema[0].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        # Without a zone, as a session's zone may skip or repeat an hour; a difference in seconds is a decimal with its microseconds.
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        value = (value - epoch).cast("interval second").cast("decimal(20,6)")
+    elif isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    return F.coalesce(value.cast("double"), F.lit(float("-inf")))
 
 
 @dataclass(frozen=True)
@@ -66,7 +73,7 @@ def _bucket(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> Data
         return df.withColumn(out, F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     tmp = f"{out}_key"
-    keyed = df.withColumn(tmp, _as_double(column))
+    keyed = df.withColumn(tmp, _as_double(df, column))
     return (
         Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
         .transform(keyed)
@@ -85,7 +92,7 @@ def slice_rows(
 ) -> tuple[DataFrame, bool]:
     """Add `_slice`, a number that never falls along `order` within one `by` series.
 
-    `order` names numeric columns; the first must be exact as a double. A series that holds less
+    `order` names columns of numbers, times or dates; the first must be exact as a double. A series that holds less
     than one slice's share of the rows stays whole in slice 0, a larger one is cut. `source` is a
     cheaper DataFrame with the same key columns to sample from. Returns the rows and whether
     there is more than one slice.
@@ -100,7 +107,7 @@ def slice_rows(
 
     sample = (
         base.sample(min(1.0, SAMPLES_PER_SLICE * parts / n_rows), seed=11)
-        .select(*by, *[_as_double(c).alias(f"_k{i}") for i, c in enumerate(order[:2])])
+        .select(*by, *[_as_double(base, c).alias(f"_k{i}") for i, c in enumerate(order[:2])])
         .groupBy(*by, *[f"_k{i}" for i in range(len(order[:2]))])
         .count()
         .collect()  # about SAMPLES_PER_SLICE rows per slice
@@ -126,7 +133,7 @@ def slice_rows(
     number = F.col("_b0").cast("long")
     if found.second:
         out = _bucket(out, order[1], found.second, "_b1")
-        inside = F.when(_as_double(order[0]).isin(*found.frequent), F.col("_b1").cast("long")).otherwise(0)
+        inside = F.when(_as_double(df, order[0]).isin(*found.frequent), F.col("_b1").cast("long")).otherwise(0)
         number = number * (len(found.second) + 2) + inside
     if by:
         share: Counter = Counter()
