@@ -56,6 +56,19 @@ def test_missing_values_are_filled_by_training_medians(spark, rows, tmp_path):
         assert scores.where("fraud_probability BETWEEN 0 AND 1").count() == 1500 and scores.columns == [*gaps.columns, "fraud_probability"]
 
 
+@pytest.mark.parametrize("make, params", [(t.boosted_trees, SMALL), (t.regularised_trees, {"n_estimators": 1, "max_depth": 2})])
+def test_many_rows_are_dealt_to_more_tasks(rows, monkeypatch, make, params):
+    """The tasks of a fit grow with its rows; `partitions` is the least."""
+    dealt = []
+    repartition = type(rows).repartition
+    monkeypatch.setattr(type(rows), "repartition", lambda self, *a: dealt.append(a) or repartition(self, *a))
+    train, held = stratified_split(rows, ["id"])
+    t.fit_model(make(**params), train, FEATURES, held_out=held, partitions=2)
+    monkeypatch.setattr(t, "ROWS_PER_TASK", 250)
+    t.fit_model(make(**params), train, FEATURES, held_out=held, partitions=2)
+    assert dealt == [(2,), (-(-train.count() // 250),)] and dealt[1][0] >= 4
+
+
 def test_splits_hold_every_class(rows):
     few = rows.withColumn("Class", (F.col("id") < 15).cast("int"))
     parts = t.three_way_split(few, ["id"])
