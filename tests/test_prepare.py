@@ -241,3 +241,14 @@ def test_sample(spark):
     assert p.sample_rows(ties, 2000, ["k"]).count() == 2000
     # sampled rows still split in the usual proportion
     assert 0.1 < p.stratified_split(p.sample_rows(df, 300, ["id"]), ["id"])[1].count() / 300 < 0.3
+
+
+def test_exact_split_hashes_the_rows_once(spark, monkeypatch):
+    """The passes that look for the cut read held numbers, which are let go of at the end."""
+    df = spark.range(4000).withColumn("Class", (F.col("id") % 10 == 0).cast("int"))
+    plans, quantiles = [], p.quantiles
+    monkeypatch.setattr(p, "quantiles", lambda rows, *a, **o: plans.append(rows._jdf.queryExecution().withCachedData().toString()) or quantiles(rows, *a, **o))
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    train, test = p.stratified_split_exact(df, ["id"])
+    assert len(plans) == 1 and "InMemoryRelation" in plans[0]
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held and (train.count(), test.count()) == (3200, 800)
